@@ -127,9 +127,22 @@ def _numbered_by_range(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 def running_sums(df: DataFrame, position: str, columns: list[str]) -> DataFrame:
     """Replace `columns` by their sums up to each row in order of `position`.
 
-    Sums run within groups of FAN positions, then over FAN groups, then over the
-    rest, so the only one-task window sees one row per FAN * FAN positions.
+    Within the small bound this is one window. Above it sums run within groups of
+    FAN positions, then over FAN groups, then over the rest, so the only one-task
+    window sees one row per FAN * FAN positions.
     """
+    rows = settle(df, "to-sum")
+    small = fetch_small(rows)
+    if small is not None:
+        local = df.sparkSession.createDataFrame(small, schema=df.schema)
+        so_far = Window.orderBy(position).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        return local.withColumns({c: F.sum(c).over(so_far) for c in columns})
+    return _sums_in_levels(rows, position, columns)
+
+
+def _sums_in_levels(df: DataFrame, position: str, columns: list[str]) -> DataFrame:
     fan = F.lit(FAN).cast("bigint")
     rows = df.withColumn("_group", F.floor(F.col(position) / fan))
     groups = (
