@@ -1,0 +1,123 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import executed_plan, rows
+from intentloom.functions.text import extract_accuracy
+from intentloom.operators import evaluate
+from intentloom.plans.evaluation import score_and_evaluate
+
+PAIRS = "row_id bigint, y_true string, y_pred string"
+
+
+def frame(spark, pairs):
+    return spark.createDataFrame([(i, t, p) for i, (t, p) in enumerate(pairs)], PAIRS)
+
+
+def expected_report(pairs):
+    """Scores by their definitions, label by label."""
+    out = {}
+    for label in {t for t, _ in pairs} | {p for _, p in pairs}:
+        hits = sum(t == p == label for t, p in pairs)
+        predicted = sum(p == label for _, p in pairs)
+        support = sum(t == label for t, _ in pairs)
+        precision = hits / predicted if predicted else 0.0
+        recall = hits / support if support else 0.0
+        both = precision + recall
+        out[label] = (precision, recall, 2 * precision * recall / both if both else 0.0, support)
+    return out
+
+
+CASES = {
+    "never predicted": [("a", "b"), ("b", "b")],
+    "predicted without support": [("a", "z"), ("a", "a")],
+    "single class": [("a", "a"), ("a", "a")],
+    "all wrong": [("a", "b"), ("b", "c"), ("c", "")],
+    "one row": [("a", "a")],
+    "random": [(random.Random(i).choice("abcd"), random.Random(-i).choice("abcde")) for i in range(300)],
+}
+
+
+@pytest.mark.parametrize("pairs", CASES.values(), ids=CASES)
+def test_reports(spark, pairs):
+    confusion = evaluate.confusion_counts(frame(spark, pairs))
+    assert sum(r["rows"] for r in confusion.collect()) == len(pairs)
+    expected = expected_report(pairs)
+    for row in evaluate.class_report(confusion).collect():
+        scores = (row["precision"], row["recall"], row["f1"], row["support"])
+        assert scores == pytest.approx(expected[row["label"]])
+    averages = {r["section"]: r for r in evaluate.report_averages(confusion).collect()}
+    share = sum(t == p for t, p in pairs) / len(pairs)
+    assert averages["accuracy"]["f1"] == pytest.approx(share)
+    assert averages["weighted avg"]["recall"] == pytest.approx(share)
+    assert {r["support"] for r in averages.values()} == {len(pairs)}
+    for i, score in enumerate(("precision", "recall", "f1")):
+        macro = sum(v[i] for v in expected.values()) / len(expected)
+        weighted = sum(v[i] * v[3] for v in expected.values()) / len(pairs)
+        assert averages["macro avg"][score] == pytest.approx(macro)
+        assert averages["weighted avg"][score] == pytest.approx(weighted)
+    full = evaluate.full_report(confusion).collect()
+    assert [r["label"] or r["section"] for r in full if r["label"] != ""] == [
+        *sorted(label for label in expected if label), "accuracy", "macro avg", "weighted avg"
+    ]
+    assert evaluate.accuracy(frame(spark, pairs)).first()["accuracy"] == pytest.approx(share)
+    labels = rows(evaluate.report_label_set(frame(spark, pairs)))
+    assert labels == sorted([(label,) for label in expected], key=repr)
+
+
+def test_report_without_rows_is_empty(spark):
+    confusion = evaluate.confusion_counts(frame(spark, [("a", "a")]).where("row_id < 0"))
+    assert evaluate.full_report(confusion).collect() == []
+
+
+@pytest.mark.parametrize("n", [199, 200, 201, 400])
+def test_running_accuracy_reports_full_blocks(spark, n):
+    pairs = [("a", "a" if i % 3 else "b") for i in range(n)]
+    hits = [t == p for t, p in pairs]
+    expected = [(k, pytest.approx(sum(hits[:k]) / k)) for k in range(200, n + 1, 200)]
+    found = evaluate.running_accuracy(frame(spark, pairs).repartition(5)).orderBy("rows")
+    assert [tuple(r) for r in found.collect()] == expected
+
+
+def test_running_accuracy_never_windows_rows(spark):
+    preds = frame(spark, [("a", "a")] * 450)
+    plan = executed_plan(evaluate.running_accuracy(preds))
+    assert "y_true" not in plan  # the window reads block sums, not rows
+
+
+def test_full_report_computes_the_counts_once(spark):
+    preds = frame(spark, CASES["random"])
+    plan = executed_plan(evaluate.full_report(evaluate.confusion_counts(preds)))
+    assert "ReusedExchange" in plan
+
+
+def test_report_files(spark, tmp_path):
+    pairs = [("b", "b"), ("a", "b"), ("a", "a")]
+    report = evaluate.full_report(evaluate.confusion_counts(frame(spark, pairs)))
+    evaluate.write_eval_report(report, f"{tmp_path}/r")
+    evaluate.write_eval_report(report, f"{tmp_path}/r")  # a second run replaces the first
+    assert rows(evaluate.read_eval_table(spark, f"{tmp_path}/r")) == rows(report)
+    parts = sorted((tmp_path / "r" / "text").glob("part-*"))
+    lines = "".join(p.read_text() for p in parts).splitlines()
+    assert lines[:3] == ["Test Accuracy: 66.67%", "", "Classification Report:"]
+    assert [line.split()[0] for line in lines[3:]] == ["a", "b", "accuracy", "macro", "weighted"]
+    assert lines[3].split() == ["a", "1.00", "0.50", "0.67", "2"]
+    content = spark.read.text([str(p) for p in parts], wholetext=True)
+    figures = [r[0] for r in content.select(extract_accuracy(F.col("value"))).collect()]
+    assert [f for f in figures if f] == ["66.67"]
+
+
+def test_score_and_evaluate_resolves_answers(spark):
+    data = [("card_arrival", "Card Arrival"), ("pin", "PIN\nmore"), ("pin", "nonsense")]
+    df = spark.createDataFrame(data, "y_true string, answer string")
+    vocab = spark.createDataFrame([(0, "card_arrival"), (1, "pin")], "label bigint, intent string")
+
+    def scorer(rows):
+        return rows.withColumn("decoded", F.concat(F.lit("p ### Response:\n"), "answer"))
+
+    report = score_and_evaluate(df, scorer, vocab).collect()
+    assert {r["label"]: r["support"] for r in report if r["label"]} == {
+        "card_arrival": 1, "pin": 2, "nonsense": 0
+    }
+    assert next(r["f1"] for r in report if r["section"] == "accuracy") == pytest.approx(2 / 3)
