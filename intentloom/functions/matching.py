@@ -22,6 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MATCHES_DDL = "array<struct<label:string,ratio:double>>"
 MATCHES_ARROW = pa.list_(pa.struct([("label", pa.string()), ("ratio", pa.float64())]))
 REMEMBERED_STRINGS = 50_000
+CHAR_CLASSES = 128
 
 
 class LabelMatcher:
@@ -35,23 +36,15 @@ class LabelMatcher:
         self.labels = labels
         self.cutoff = cutoff
         self.n = n
-        self.columns = {c: i for i, c in enumerate(sorted(set("".join(labels))))}
         self.lengths = np.array([len(label) for label in labels], dtype=np.int64)
-        self.counts = np.zeros((len(labels), len(self.columns) + 1), dtype=np.int32)
-        for row, label in enumerate(labels):
-            for char in label:
-                self.counts[row, self.columns[char]] += 1
+        self.counts = np.stack([_char_counts(label) for label in labels or [""]])
 
     def upper_bounds(self, text: str) -> np.ndarray:
         """Ratio each label would have if all shared characters lined up."""
-        mine = np.zeros(self.counts.shape[1], dtype=np.int32)
-        for char in text:
-            column = self.columns.get(char)
-            if column is not None:
-                mine[column] += 1
+        mine = _char_counts(text)
         used = np.flatnonzero(mine)
         shared = np.minimum(self.counts[:, used], mine[used]).sum(axis=1)
-        return 2.0 * shared / np.maximum(self.lengths + len(text), 1)
+        return 2.0 * shared / (self.lengths + len(text))
 
     def best(self, text: str) -> list[tuple[float, str]]:
         if not self.labels or not text:
@@ -71,6 +64,12 @@ class LabelMatcher:
         return found
 
 
+def _char_counts(text: str) -> np.ndarray:
+    """Characters per class of code points; sharing a class only loosens the bound."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    return np.bincount(points % CHAR_CLASSES, minlength=CHAR_CLASSES).astype(np.int32)
+
+
 def closest_labels(labels: Broadcast, cutoff: float, n: int) -> Callable:
     """Arrow UDF: string -> its closest labels; null and empty strings have none."""
 

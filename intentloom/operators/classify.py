@@ -17,7 +17,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intentloom.functions.text import normalize_text, strip_message
-from intentloom.operators.scale import fetch_small, lookup_join
+from intentloom.operators.scale import (
+    fetch_small,
+    is_small,
+    lookup_join,
+    spread_join,
+    use_all_cores,
+)
 from intentloom.session import settle
 
 MAX_CLASSES = 1_000_000
@@ -48,8 +54,10 @@ class WordModel:
 def train_classifier_nb(df: DataFrame, text: str, label: str) -> WordModel:
     """Count words per class; the counts are written to the shared folder once."""
     labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+    texts = labelled.select(F.col(label).alias("label"), F.col(text).alias("text"))
     words = (
-        labelled.select(F.col(label).alias("label"), F.explode(_words(text)).alias("word"))
+        use_all_cores(texts)
+        .select("label", F.explode(_words("text")).alias("word"))
         .where("word != ''")
         .groupBy("label", "word")
         .agg(F.count("*").alias("n"))
@@ -86,8 +94,12 @@ def score_classifier_nb(df: DataFrame, id: str, text: str, model: WordModel) ->
     by_word = model.words.groupBy("word").agg(
         F.collect_list(F.struct("label", F.log(F.col("n") + 1).alias("weight"))).alias("seen")
     )
-    tokens = df.select(F.col(id).alias("id"), F.explode_outer(_words(text)).alias("word"))
-    known = lookup_join(tokens, by_word, "word", "left", ["id"], SMALL_WORDS)
+    texts = use_all_cores(df.select(F.col(id).alias("id"), F.col(text).alias("text")), "id")
+    tokens = texts.select("id", F.explode_outer(_words("text")).alias("word"))
+    if is_small(model.words, SMALL_WORDS):
+        known = tokens.join(F.broadcast(by_word), "word", "left")
+    else:
+        known = spread_join(tokens, by_word, "word", "left", ["id"])
     # the row without a label counts the known tokens of the text
     total = F.struct(
         F.lit(None).cast("string").alias("label"),
@@ -199,7 +211,7 @@ def train_classifier_ml(
         ),
     ]
     labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-    trained = Pipeline(stages=stages).fit(labelled.select(text, label))
+    trained = Pipeline(stages=stages).fit(use_all_cores(labelled.select(text, label)))
     names = IndexToString(
         inputCol="_prediction", outputCol="prediction", labels=trained.stages[0].labels
     )
@@ -209,7 +221,7 @@ def train_classifier_ml(
 
 def score_classifier_ml(df: DataFrame, id: str, model: PipelineModel) -> DataFrame:
     """(id, label) predicted by a trained model for its text column."""
-    return model.transform(df).select(F.col(id).alias("id"), F.col("prediction").alias("label"))
+    return model.transform(use_all_cores(df)).select(F.col(id).alias("id"), F.col("prediction").alias("label"))
 
 
 def save_model(model: WordModel | PipelineModel, path: str) -> None:

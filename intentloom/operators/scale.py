@@ -28,13 +28,27 @@ def fetch_small(df: DataFrame, max_rows: int | None = None) -> pa.Table | None:
     return table
 
 
+def is_small(stored: DataFrame, max_rows: int) -> bool:
+    """Whether a stored table may be broadcast, by its rows and its text bytes."""
+    texts = [F.octet_length(f.name) for f in stored.schema if f.dataType.typeName() == "string"]
+    size = stored.agg(
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0)).alias("bytes"),
+    ).first()
+    return size["rows"] <= max_rows and size["bytes"] <= SMALL_BYTES
+
+
+def use_all_cores(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread an input of fewer files than cores before costly work per row.
+
+    Large inputs have more files than that and pass unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
+
+
 def lookup_join(
-    big: DataFrame,
-    table: DataFrame,
-    on: str,
-    how: str,
-    spread_by: list[str],
-    max_rows: int | None = None,
+    big: DataFrame, table: DataFrame, on: str, how: str, spread_by: list[str]
 ) -> DataFrame:
     """Join a big table with a lookup table that is unique in `on`.
 
@@ -43,10 +57,17 @@ def lookup_join(
     `spread_by`, columns that tell rows of one key apart. The salt is a hash of
     stored values, so a rerun task sends its rows to the same place.
     """
-    small = fetch_small(table, max_rows)
+    small = fetch_small(table)
     if small is not None:
         local = big.sparkSession.createDataFrame(small, schema=table.schema)
         return big.join(F.broadcast(local), on, how)
+    return spread_join(big, table, on, how, spread_by)
+
+
+def spread_join(
+    big: DataFrame, table: DataFrame, on: str, how: str, spread_by: list[str]
+) -> DataFrame:
+    """The shuffled form of `lookup_join`."""
     frequent = big.groupBy(on).count().orderBy(F.desc("count")).limit(HOT_KEYS)
     hot = frequent.where(F.col(on).isNotNull()).select(on, F.lit(True).alias("_hot"))
     hot = settle(hot, "hot-keys")  # at most HOT_KEYS rows, so safe to broadcast

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from intentloom.functions import fixed
 from intentloom.functions import text as t
 from intentloom.operators import classify, corpus, evaluate, ledger, resolve, sampling
+from intentloom.operators.scale import lookup_join
 from intentloom.plans import standins as s
 from intentloom.plans.evaluation import score_and_evaluate as _evaluate
+from intentloom.plans.preparation import prepare_records as _prepare
 from intentloom.session import fresh_path
 from intentloom.sources import corpus as files
 from intentloom.streaming import scoring
@@ -417,6 +419,14 @@ def union_splits(spark, sf_dir):
     return s.corpus(spark, sf_dir).withColumn("text", t.normalize_text(F.col("text")))
 
 
+@query
+def prepare_records(spark, sf_dir):
+    vocab = s.language_labels(spark, sf_dir)
+    rows = lookup_join(s.corpus(spark, sf_dir), vocab, "intent", "inner", ["id"]).drop("intent")
+    splits = {name: rows.where(F.col("split") == name).drop("split") for name in ("train", "test")}
+    return _prepare(splits, vocab)
+
+
 # --- classifier ----------------------------------------------------------------------------
 
 

@@ -400,6 +400,15 @@ FROM events WHERE event_type <> 'error' GROUP BY user_id""",
 SELECT y_true AS label FROM resolved UNION SELECT y_pred FROM resolved""",
         "union_splits": f"""WITH {_corpus()}
 SELECT id, lower({_strip("text")}) AS text, intent, split FROM corpus""",
+        "prepare_records": f"""WITH {LANGUAGE_LABELS}, {_corpus()}, drawn AS (
+  SELECT * FROM corpus
+  QUALIFY row_number() OVER (PARTITION BY split, intent ORDER BY {sample_order}, id)
+    <= CASE split WHEN 'train' THEN {fixed.TRAIN_ROWS_PER_CLASS}
+                  ELSE {fixed.TEST_ROWS_PER_CLASS} END)
+SELECT id, lower({_strip("text")}) AS text, label, split, intent,
+  {_instruction("language_labels")} AS instruction,
+  lower({_strip("text")}) AS input, intent AS output
+FROM drawn JOIN language_labels USING (intent)""",
         "train_classifier_nb": f"""WITH {WORD_MODEL}
 SELECT label, word, n, round(ln(n + 1) - norm, 6) AS log_likelihood
 FROM words JOIN classes USING (label)""",

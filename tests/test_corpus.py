@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from helpers import executed_plan, rows, vocabulary
 from intentloom.functions import fixed
 from intentloom.operators import corpus, sampling
+from intentloom.plans.preparation import prepare_records
 
 
 def test_decode_label_keeps_undecodable_rows(spark):
@@ -102,3 +103,21 @@ def test_batches_cover_every_row_once_per_epoch(spark):
 def test_batches_sort_no_whole_epoch(spark):
     plan = executed_plan(sampling.training_batches(spark.range(5000), "id"))
     assert "SinglePartition" not in plan
+
+
+def test_prepare_records_normalizes_samples_and_decodes(spark):
+    schema = "id bigint, text string, label bigint"
+    train = spark.createDataFrame(
+        [(i, f"  Train {i}\t", i % 2) for i in range(20)] + [(90, "lost", 7), (91, "none", None)],
+        schema,
+    )
+    test = spark.createDataFrame([(i, f"Test {i}", 0) for i in range(5)], schema)
+    vocab = vocabulary(spark, ["a", "b"])
+    found = prepare_records({"train": train, "test": test}, vocab, {"train": 4, "test": 2})
+    counts = {(r["split"], r["intent"]): r["count"] for r in
+              found.groupBy("split", "intent").count().collect()}
+    assert counts == {("train", "a"): 4, ("train", "b"): 4, ("test", "a"): 2}
+    for row in found.collect():
+        assert row["text"] == row["input"] == f"{row['split']} {row['id']}"
+        assert row["output"] == row["intent"] == "ab"[row["label"]]
+        assert row["instruction"] == corpus.instruction_text(vocab)
