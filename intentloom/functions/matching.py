@@ -76,22 +76,44 @@ def closest_labels(labels: Broadcast, cutoff: float, n: int) -> Callable:
     @F.arrow_udf(MATCHES_DDL)
     def closest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = LabelMatcher(labels.value, cutoff, n)
-        known: dict[str | None, list] = {}
-        for batch in batches:
-            # repeated strings are matched once per batch, and mostly once per task
-            coded = batch.dictionary_encode()
-            if len(known) > REMEMBERED_STRINGS:
-                known.clear()
-            answers = []
-            for text in coded.dictionary.to_pylist():
-                if text not in known:
-                    known[text] = [
-                        {"label": label, "ratio": ratio}
-                        for ratio, label in matcher.best(text or "")
-                    ]
-                answers.append(known[text])
-            answers.append([])
-            rows = coded.indices.fill_null(len(answers) - 1)
-            yield pa.array(answers, type=MATCHES_ARROW).take(rows)
+
+        def matches(text: str | None) -> list[dict]:
+            return [{"label": label, "ratio": ratio} for ratio, label in matcher.best(text or "")]
+
+        return _by_distinct(batches, matches, MATCHES_ARROW)
+
+    return closest
+
+
+def closest_label(labels: Broadcast, cutoff: float) -> Callable:
+    """Arrow UDF: string -> its closest label, or null."""
+
+    @F.arrow_udf("string")
+    def closest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        matcher = LabelMatcher(labels.value, cutoff, 1)
+
+        def match(text: str | None) -> str | None:
+            found = matcher.best(text or "")
+            return found[0][1] if found else None
+
+        return _by_distinct(batches, match, pa.string())
 
     return closest
+
+
+def _by_distinct(
+    batches: Iterator[pa.Array], answer: Callable, kind: pa.DataType
+) -> Iterator[pa.Array]:
+    """Answer each distinct string once per batch, and mostly once per task."""
+    known: dict[str | None, object] = {}
+    for batch in batches:
+        coded = batch.dictionary_encode()
+        if len(known) > REMEMBERED_STRINGS:
+            known.clear()
+        answers = []
+        for text in [*coded.dictionary.to_pylist(), None]:
+            if text not in known:
+                known[text] = answer(text)
+            answers.append(known[text])
+        rows = coded.indices.fill_null(len(answers) - 1)
+        yield pa.array(answers, type=kind).take(rows)

@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from intentloom.functions import fixed
-from intentloom.functions.matching import LabelMatcher, closest_labels
+from intentloom.functions.matching import LabelMatcher, closest_label, closest_labels
 from intentloom.functions.text import normalize_text, strip_message
 from intentloom.operators.scale import fetch_small, first_per_group, lookup_join
 
@@ -37,11 +38,10 @@ class FoldedVocabulary:
             table = vocab.sparkSession.createDataFrame(small, schema=table.schema)
         return cls(table, small)
 
-    def closest(self, cutoff: float, n: int):
-        """UDF over a lower-cased string; only for a vocabulary within the bound."""
-        spark = self.table.sparkSession
-        labels = spark.sparkContext.broadcast(self.small.column("folded").to_pylist())
-        return closest_labels(labels, cutoff, n)
+    def shared(self) -> Broadcast:
+        """The lower-cased labels of a vocabulary within the bound, for the UDFs."""
+        context = self.table.sparkSession.sparkContext
+        return context.broadcast(self.small.column("folded").to_pylist())
 
 
 def exact_match_label(raws: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def best_label_topk(
     folded = FoldedVocabulary.of(vocab)
     keyed = _distinct_raws(raws)
     if folded.small is not None:
-        closest = folded.closest(cutoff, n)(F.col("folded"))
+        closest = closest_labels(folded.shared(), cutoff, n)(F.col("folded"))
         ranked = keyed.select("raw", F.posexplode(closest).alias("pos", "match")).select(
             "raw",
             (F.col("pos") + 1).alias("rank"),
@@ -96,8 +96,7 @@ def resolve_prediction(
         keyed = keyed.join(F.broadcast(exact), "_key", "left")
         # the UDF sees null wherever the exact match has settled the row
         unmatched = F.when(F.col("_exact").isNull(), F.col("_key"))
-        near = F.get(folded.closest(cutoff, 1)(unmatched), F.lit(0)).getField("label")
-        near = keyed.withColumn("_folded", near)
+        near = keyed.withColumn("_folded", closest_label(folded.shared(), cutoff)(unmatched))
         fuzzy = folded.table.select(
             F.col("folded").alias("_folded"), F.col("intent").alias("_fuzzy")
         )

@@ -30,12 +30,24 @@ def query(function: Query) -> Query:
 # --- inputs shared by several queries -----------------------------------------
 
 
-def _raws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.generations(spark, sf_dir).select(
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return s.messages(s.table(spark, sf_dir, "conversations"))
+
+
+def _generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return s.generations(s.table(spark, sf_dir, "part"))
+
+
+def _extracted(generations: DataFrame) -> DataFrame:
+    return generations.select(
         "row_id", "run", "y_true", t.extract_answer(F.col("decoded")).alias("raw")
     )
 
 
+def _raws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _extracted(_generations(spark, sf_dir))
+
+
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resolved prediction pairs (row_id, run, y_true, raw, y_pred, match_kind)."""
     return resolve.resolve_prediction(
@@ -198,7 +210,7 @@ def normalize_text(spark, sf_dir):
 @query
 def strip_message(spark, sf_dir):
     bare = t.strip_message(F.col("message")).alias("message")
-    return s.messages(spark, sf_dir).select("conv_id", "turn", bare)
+    return _messages(spark, sf_dir).select("conv_id", "turn", bare)
 
 
 @query
@@ -226,7 +238,7 @@ def render_eval_prompt(spark, sf_dir):
     instruction = F.lit(corpus.instruction_text(s.source_labels(spark, sf_dir)))
     message = t.strip_message(F.col("message"))
     prompt = t.render_eval_prompt(instruction, message)
-    return s.messages(spark, sf_dir).select("conv_id", "turn", prompt.alias("prompt"))
+    return _messages(spark, sf_dir).select("conv_id", "turn", prompt.alias("prompt"))
 
 
 @query
@@ -234,7 +246,7 @@ def fallback_instruction(spark, sf_dir):
     no_labels = s.source_labels(spark, sf_dir).where("intent = ''")
     instruction = F.lit(corpus.instruction_text(no_labels))
     prompt = t.render_eval_prompt(instruction, t.strip_message(F.col("message")))
-    return s.messages(spark, sf_dir).select("conv_id", "turn", prompt.alias("prompt"))
+    return _messages(spark, sf_dir).select("conv_id", "turn", prompt.alias("prompt"))
 
 
 @query
@@ -246,7 +258,7 @@ def extract_accuracy(spark, sf_dir):
 @query
 def extract_answer(spark, sf_dir):
     answer = t.extract_answer(F.col("decoded"))
-    return s.generations(spark, sf_dir).select("row_id", answer.alias("raw"))
+    return _generations(spark, sf_dir).select("row_id", answer.alias("raw"))
 
 
 @query
@@ -266,7 +278,7 @@ def preview_rows(spark, sf_dir):
 
 @query
 def message_gate(spark, sf_dir):
-    return scoring.message_gate(s.messages(spark, sf_dir), "message")
+    return scoring.message_gate(_messages(spark, sf_dir), "message")
 
 
 # --- joins -------------------------------------------------------------------------
@@ -461,7 +473,7 @@ def save_load_model(spark, sf_dir):
 
 @query
 def batch_score_udf(spark, sf_dir):
-    return _score(s.messages(spark, sf_dir)).select("conv_id", "turn", "decoded")
+    return _score(_messages(spark, sf_dir)).select("conv_id", "turn", "decoded")
 
 
 @query
@@ -486,7 +498,7 @@ def score_and_evaluate(spark, sf_dir):
 @query
 def evaluate_answers(spark, sf_dir):
     """Stored answers to report in one plan: extract, resolve, count, average."""
-    answers = s.generations(spark, sf_dir)
+    answers = _generations(spark, sf_dir)
     report = _evaluate(answers, lambda df: df, s.part_labels(spark, sf_dir))
     return _rounded(report, "precision", "recall", "f1")
 
@@ -494,32 +506,19 @@ def evaluate_answers(spark, sf_dir):
 # --- streams -----------------------------------------------------------------------------------
 
 
-def _drain(stream) -> None:
-    stream.awaitTermination()
-
-
-def _stream(spark: SparkSession, stored: DataFrame, name: str) -> DataFrame:
-    """A table as a file stream."""
-    path = fresh_path(spark, name)
-    stored.write.parquet(path)
-    return spark.readStream.schema(stored.schema).parquet(path)
-
-
 @query
 def stream_score(spark, sf_dir):
-    feed = _stream(spark, s.messages(spark, sf_dir), "feed")
+    feed = s.messages(s.table_stream(spark, sf_dir, "conversations"))
     out, state = fresh_path(spark, "answers"), fresh_path(spark, "state")
     vocab = s.part_labels(spark, sf_dir)
-    _drain(scoring.stream_score(feed, "message", _score, vocab, out, state))
+    scoring.stream_score(feed, "message", _score, vocab, out, state).awaitTermination()
     return spark.read.parquet(out)
 
 
 @query
 def stream_accuracy(spark, sf_dir):
-    preds = _resolved(spark, sf_dir).select("row_id", "y_true", "y_pred")
-    feed = _stream(spark, preds, "predictions")
+    answers = _extracted(s.generations(s.table_stream(spark, sf_dir, "part")))
+    preds = resolve.resolve_prediction(answers, "raw", s.part_labels(spark, sf_dir))
     out, state = fresh_path(spark, "marks"), fresh_path(spark, "state")
-    _drain(scoring.stream_accuracy(feed, out, state))
+    scoring.stream_accuracy(preds, out, state).awaitTermination()
     return _rounded(scoring.read_stream_accuracy(spark, out), "accuracy")
-
-

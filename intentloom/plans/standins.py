@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a stream of files."""
+    schema = table(spark, sf_dir, name).schema
+    # as a glob: a stream does not take the plain path of a single file
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled corpus (doc_id, text, intent): the intent is the source."""
     return table(spark, sf_dir, "documents").select(
@@ -59,7 +66,7 @@ def part_label() -> Column:
     return F.replace(F.col("p_name"), F.lit(" "), F.lit("_"))
 
 
-def generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def generations(parts: DataFrame) -> DataFrame:
     """(row_id, run, y_true, decoded): eight kinds of answers to the parts' names."""
     label = part_label()
     noun = F.substring_index("p_name", " ", -1)
@@ -76,7 +83,7 @@ def generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("p_partkey") % len(answers)
     answer = F.coalesce(*[F.when(kind == i, a) for i, a in enumerate(answers)])
     head = f"{fixed.INSTRUCTION_MARK}\nx\n{fixed.ANSWER_MARK}\n"
-    return table(spark, sf_dir, "part").select(
+    return parts.select(
         F.col("p_partkey").alias("row_id"),
         F.replace(F.col("p_brand"), F.lit("#"), F.lit("_")).alias("run"),
         label.alias("y_true"),
@@ -84,7 +91,7 @@ def generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(conversations: DataFrame) -> DataFrame:
     """(conv_id, turn, message): a feed with blank messages and control words."""
     message = (
         F.when(F.col("role") == "user", F.col("text"))
@@ -92,9 +99,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.length("text") > 1000, F.lit(" QUIT\n"))
         .otherwise(F.concat(F.lit("q "), F.col("text")))
     )
-    return table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", message.alias("message")
-    )
+    return conversations.select("conv_id", "turn", message.alias("message"))
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
