@@ -86,7 +86,7 @@ def prompt_budget(
     Words stand in for model tokens. Lengths are counted before the percentiles
     are taken, so these see one row per distinct length.
     """
-    words = F.size(F.split(F.col(prompt), r"\s+")).cast("bigint")
+    words = F.regexp_count(F.col(prompt), F.lit(r"\s+")).cast("bigint") + 1
     lengths = df.select(words.alias("words")).groupBy("words").agg(F.count("*").alias("rows"))
 
     def percentile(share: float):

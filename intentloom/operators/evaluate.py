@@ -14,6 +14,8 @@ from intentloom.functions.text import percent_text
 from intentloom.operators.scale import running_sums
 
 CLASS_SECTION = "class"
+SCORES = ["precision", "recall", "f1"]
+NAME_WIDTH = len("weighted avg")
 
 
 def accuracy(preds: DataFrame) -> DataFrame:
@@ -70,11 +72,10 @@ def report_averages(confusion: DataFrame) -> DataFrame:
     The macro average is the plain mean over all labels, including those that
     only occur as predictions. The accuracy row has its figure in `f1`.
     """
-    scores = ["precision", "recall", "f1"]
     total = F.sum("support")
 
     def row(section_no: int, section: str, figures: list[Column]) -> Column:
-        values = [v.alias(s) for v, s in zip(figures, scores)]
+        values = [v.alias(s) for v, s in zip(figures, SCORES)]
         return F.struct(
             F.lit(section_no).alias("section_no"), F.lit(section).alias("section"), *values
         )
@@ -82,8 +83,8 @@ def report_averages(confusion: DataFrame) -> DataFrame:
     empty = F.lit(None).cast("double")
     rows = F.array(
         row(1, "accuracy", [empty, empty, F.sum("hits") / total]),
-        row(2, "macro avg", [F.avg(s) for s in scores]),
-        row(3, "weighted avg", [F.sum(F.col(s) * F.col("support")) / total for s in scores]),
+        row(2, "macro avg", [F.avg(s) for s in SCORES]),
+        row(3, "weighted avg", [F.sum(F.col(s) * F.col("support")) / total for s in SCORES]),
     )
     return (
         _class_scores(confusion)
@@ -102,31 +103,50 @@ def full_report(confusion: DataFrame) -> DataFrame:
     return classes.unionByName(averages).orderBy("section_no", "label")
 
 
-def report_lines(report: DataFrame) -> DataFrame:
-    """The text form of a report, (position, label, line) in reading order."""
-    header = F.array(
-        _line(-3, F.concat(F.lit(fixed.ACCURACY_HEADING), percent_text(F.col("f1")), F.lit("%"))),
-        _line(-2, F.lit("")),
-        _line(-1, F.lit(fixed.REPORT_HEADING)),
+def report_lines(report: DataFrame, width: int) -> DataFrame:
+    """The text form of a report, (position, label, line) in reading order.
+
+    The layout is the usual one of classification reports: names right-aligned to
+    `width`, two decimals, the averages set apart.
+    """
+
+    def row(name: Column, *cells: Column) -> Column:
+        return F.concat(_right(name, width), F.lit(" "), *[_right(c, 10) for c in cells])
+
+    def position(place: int, text: Column) -> Column:
+        return F.struct(F.lit(place).alias("position"), text.alias("line"))
+
+    share = {c: F.coalesce(F.format_number(c, 2), F.lit("")) for c in SCORES}
+    own = F.struct(
+        (F.col("section_no") * 10).alias("position"),
+        row(
+            F.coalesce("label", "section"), *share.values(), F.col("support").cast("string")
+        ).alias("line"),
     )
-    name = F.coalesce("label", "section")
-    figures = [
-        F.lpad(F.coalesce(F.format_number(c, 2), F.lit("")), 10, " ")
-        for c in ("precision", "recall", "f1")
-    ]
-    support = F.lpad(F.col("support").cast("string"), 12, " ")
-    body = F.array(_line(F.col("section_no"), F.concat(name, *figures, support)))
-    lines = F.when(F.col("section") == "accuracy", F.concat(header, body)).otherwise(body)
-    return report.select(F.explode(lines).alias("_"), "label").select(
-        "_.position", "label", "_.line"
+    blank = F.lit("")
+    heads = [F.lit(h) for h in ("precision", "recall", "f1-score", "support")]
+    around = F.array(
+        position(-5, F.concat(F.lit(fixed.ACCURACY_HEADING), percent_text(F.col("f1")), F.lit("%"))),
+        position(-4, blank),
+        position(-3, F.lit(fixed.REPORT_HEADING)),
+        position(-2, row(blank, *heads)),
+        position(-1, blank),
+        position(5, blank),
+        own,
+        position(40, blank),
     )
+    # the one accuracy row brings along the lines that are there once
+    lines = F.when(F.col("section") == "accuracy", around).otherwise(F.array(own))
+    return report.select("label", F.inline(lines)).select("position", "label", "line")
 
 
 def write_eval_report(report: DataFrame, path: str) -> None:
     """Write a report as a table and as text; text part files are in line order."""
     report.write.mode("overwrite").parquet(f"{path}/table")
     stored = read_eval_table(report.sparkSession, path)
-    lines = report_lines(stored).orderBy("position", "label").select("line")
+    names = stored.agg(F.max(F.length(F.coalesce("label", "section"))).alias("width"))
+    width = max(names.first()["width"] or 0, NAME_WIDTH)
+    lines = report_lines(stored, width).orderBy("position", "label").select("line")
     lines.write.mode("overwrite").text(f"{path}/text")
 
 
@@ -139,9 +159,10 @@ def _is_hit() -> Column:
     return F.col("y_true") == F.col("y_pred")
 
 
-def _line(position: int | Column, text: Column) -> Column:
-    position = F.lit(position) if isinstance(position, int) else position
-    return F.struct(position.alias("position"), text.alias("line"))
+def _right(text: Column, width: int) -> Column:
+    """Right-aligned, and never cut."""
+    padding = F.greatest(F.lit(width) - F.length(text), F.lit(0))
+    return F.concat(F.repeat(F.lit(" "), padding), text)
 
 
 def _class_scores(confusion: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from intentloom.functions import fixed
 from intentloom.functions.matching import LabelMatcher, closest_label, closest_labels
 from intentloom.functions.text import normalize_text, strip_message
 from intentloom.operators.scale import fetch_small, first_per_group, lookup_join
+from intentloom.session import settle
 
 # Above the broadcast bound labels are matched in blocks of about this many.
 BLOCK_LABELS = 5_000
@@ -34,7 +35,9 @@ class FoldedVocabulary:
             F.min_by("intent", "label").alias("intent")
         )
         small = fetch_small(table)
-        if small is not None:
+        if small is None:
+            table = settle(table, "vocabulary")
+        else:
             table = vocab.sparkSession.createDataFrame(small, schema=table.schema)
         return cls(table, small)
 
@@ -73,7 +76,8 @@ def best_label_topk(
             F.col("match.ratio").alias("ratio"),
         )
     else:
-        matches = _closest_in_blocks(keyed.select("folded").distinct(), folded.table, cutoff, n)
+        keys = keyed.select("folded").distinct()
+        matches = _closest_in_blocks(keys, folded.table, cutoff, n)
         ranked = keyed.withColumnRenamed("folded", "key").join(matches, "key").drop("key")
     return lookup_join(ranked, folded.table, "folded", "inner", ["raw"]).select(
         "raw", "rank", F.col("intent").alias("label"), "ratio"
@@ -127,7 +131,7 @@ def _resolve_by_key(
     )
     near = near.join(folded.table, "folded").select("_key", F.col("intent").alias("_fuzzy"))
     answers = found.join(near, "_key", "left").where("_exact is not null or _fuzzy is not null")
-    return lookup_join(keyed, answers, "_key", "left", df.columns)
+    return lookup_join(keyed, settle(answers, "answers"), "_key", "left", df.columns)
 
 
 def invalid_predictions(preds: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -186,9 +190,10 @@ def _closest_in_blocks(
     # one extra character of slack on both ends keeps rounding harmless
     lowest = F.floor(F.log2(F.greatest(F.floor(length / span) - 1, F.lit(1.0))))
     highest = F.floor(F.log2(F.ceil(length * span) + 1))
+    classes = F.sequence(lowest.cast("int"), highest.cast("int"))
     key_rows = (
         keys.where("folded != ''")
-        .select("folded", F.explode(F.sequence(lowest.cast("int"), highest.cast("int"))).alias("class"))
+        .select("folded", F.explode(classes).alias("class"))
         .where(F.col("class").isin(*sorted(blocks)))
         .select(
             "class",

@@ -124,7 +124,8 @@ def _numbered_by_range(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """
     sequence = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     ranged = (
-        df.repartitionByRange(*keys)
+        settle(df, "to-number")  # sampling the bounds and sorting both read it
+        .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_seq", sequence)

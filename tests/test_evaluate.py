@@ -99,10 +99,16 @@ def test_report_files(spark, tmp_path):
     evaluate.write_eval_report(report, f"{tmp_path}/r")  # a second run replaces the first
     assert rows(evaluate.read_eval_table(spark, f"{tmp_path}/r")) == rows(report)
     parts = sorted((tmp_path / "r" / "text").glob("part-*"))
-    lines = "".join(p.read_text() for p in parts).splitlines()
-    assert lines[:3] == ["Test Accuracy: 66.67%", "", "Classification Report:"]
-    assert [line.split()[0] for line in lines[3:]] == ["a", "b", "accuracy", "macro", "weighted"]
-    assert lines[3].split() == ["a", "1.00", "0.50", "0.67", "2"]
+    text = "".join(p.read_text() for p in parts)
+    assert text == (
+        "Test Accuracy: 66.67%\n\nClassification Report:\n"
+        "              precision    recall  f1-score   support\n\n"
+        "           a       1.00      0.50      0.67         2\n"
+        "           b       0.50      1.00      0.67         1\n\n"
+        "    accuracy                           0.67         3\n"
+        "   macro avg       0.75      0.75      0.67         3\n"
+        "weighted avg       0.83      0.67      0.67         3\n\n"
+    )
     content = spark.read.text([str(p) for p in parts], wholetext=True)
     figures = [r[0] for r in content.select(extract_accuracy(F.col("value"))).collect()]
     assert [f for f in figures if f] == ["66.67"]

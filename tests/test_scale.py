@@ -105,3 +105,21 @@ def test_the_cluster_names_the_shared_folder():
     assert session.shared_folder(_Session("yarn", "hdfs://x/y")) == "hdfs://x/y"
     with pytest.raises(RuntimeError):
         session.shared_folder(_Session("yarn"))
+
+
+def test_few_files_are_spread_and_many_are_not(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
+    spark.range(100).repartition(8).write.parquet(f"{tmp_path}/many")
+    one = scale.use_all_cores(spark.read.parquet(f"{tmp_path}/one"), "id")
+    many = scale.use_all_cores(spark.read.parquet(f"{tmp_path}/many"), "id")
+    assert "Exchange hashpartitioning(id" in executed_plan(one)
+    assert "Exchange" not in executed_plan(many)
+
+
+def test_is_small_counts_rows_and_text(spark, monkeypatch):
+    df = spark.range(10).select("id", F.repeat(F.lit("x"), F.lit(10)).alias("t"))
+    assert scale.is_small(df, 10)
+    assert not scale.is_small(df, 9)
+    monkeypatch.setattr(scale, "SMALL_BYTES", 99)
+    assert not scale.is_small(df, 10)
+    assert scale.is_small(df.where("id < 0"), 10)
