@@ -27,6 +27,7 @@ from intentloom.operators.scale import (
 from intentloom.session import settle
 
 MAX_CLASSES = 1_000_000
+FEW_CLASSES = 128
 WORD_BREAK = "[^a-z]+"
 SCORE_DIGITS = 6
 # A word model up to this size is broadcast (see also scale.SMALL_BYTES).
@@ -85,7 +86,57 @@ def train_classifier_nb(df: DataFrame, text: str, label: str) -> WordModel:
 
 
 def score_classifier_nb(df: DataFrame, id: str, text: str, model: WordModel) -> DataFrame:
-    """(id, label): the most likely class of each row; ties go to the first name.
+    """(id, label): the most likely class of each row; ties go to the first name."""
+    texts = use_all_cores(df.select(F.col(id).alias("id"), F.col(text).alias("text")), "id")
+    tokens = texts.select("id", F.explode_outer(_words("text")).alias("word"))
+    few = fetch_small(model.classes.select("label", "log_prior", "log_norm"), FEW_CLASSES)
+    if few is not None:
+        return _score_all_classes(tokens, model, few.sort_by("label").to_pylist())
+    return _score_seen_classes(tokens, model)
+
+
+def _with_model(tokens: DataFrame, by_word: DataFrame, model: WordModel) -> DataFrame:
+    """Left join of the tokens with the model's words."""
+    if is_small(model.words, SMALL_WORDS):
+        return tokens.join(F.broadcast(by_word), "word", "left")
+    return spread_join(tokens, by_word, "word", "left", ["id"])
+
+
+def _score_all_classes(tokens: DataFrame, model: WordModel, classes: list[dict]) -> DataFrame:
+    """One weight column per class: a single sum per text, all inside codegen."""
+    columns = {f"w{i}": c["label"] for i, c in enumerate(classes)}
+    weight = F.log(F.col("n") + 1)
+    by_word = model.words.groupBy("word").agg(
+        *[
+            F.coalesce(F.max(F.when(F.col("label") == label, weight)), F.lit(0.0)).alias(column)
+            for column, label in columns.items()
+        ]
+    )
+    sums = (
+        _with_model(tokens, by_word, model)
+        .groupBy("id")
+        .agg(
+            F.count("w0").alias("known"),
+            *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in columns],
+        )
+    )
+    scores = [
+        F.struct(
+            F.round(
+                F.col(f"w{i}") - F.col("known") * F.lit(c["log_norm"]) + F.lit(c["log_prior"]),
+                SCORE_DIGITS,
+            ).alias("score"),
+            F.lit(-i).alias("place"),
+        )
+        for i, c in enumerate(classes)
+    ]
+    names = F.array(*[F.lit(c["label"]) for c in classes])
+    best = F.array_max(F.array(*scores)).getField("place")
+    return sums.select("id", F.get(names, -best).alias("label"))
+
+
+def _score_seen_classes(tokens: DataFrame, model: WordModel) -> DataFrame:
+    """Scoring for many classes, by the (class, word) pairs that were seen.
 
     A class that shares no word with a text scores prior - tokens * norm. The best
     of those depends only on the number of known tokens, so only the classes that
@@ -94,12 +145,7 @@ def score_classifier_nb(df: DataFrame, id: str, text: str, model: WordModel) ->
     by_word = model.words.groupBy("word").agg(
         F.collect_list(F.struct("label", F.log(F.col("n") + 1).alias("weight"))).alias("seen")
     )
-    texts = use_all_cores(df.select(F.col(id).alias("id"), F.col(text).alias("text")), "id")
-    tokens = texts.select("id", F.explode_outer(_words("text")).alias("word"))
-    if is_small(model.words, SMALL_WORDS):
-        known = tokens.join(F.broadcast(by_word), "word", "left")
-    else:
-        known = spread_join(tokens, by_word, "word", "left", ["id"])
+    known = _with_model(tokens, by_word, model)
     # the row without a label counts the known tokens of the text
     total = F.struct(
         F.lit(None).cast("string").alias("label"),
