@@ -64,6 +64,11 @@ def utc_wall_clock(created_at: Column) -> Column:
     return F.convert_timezone(None, F.lit("UTC"), created_at)
 
 
+def iso_utc(created_at: Column) -> Column:
+    """A UTC TIMESTAMP_NTZ column as ISO text."""
+    return F.date_format(created_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
+
 def percent_text(share: Column) -> Column:
     """A share as percent with two decimals, exact ties to the even digit."""
     return F.format_number(share * 100, 2)

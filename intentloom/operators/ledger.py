@@ -22,8 +22,8 @@ def read_eval_reports(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_run_manifest(runs: DataFrame, path: str) -> None:
-    """Append one JSON manifest per run; a missing accuracy is kept as null.
+def write_run_manifest(runs: DataFrame, path: str, mode: str = "append") -> None:
+    """Write one JSON manifest per run; a missing accuracy is kept as null.
 
     `runs`: run_name, created_at_utc, outputs, sample_data, configs,
     test_accuracy_percent, all strings.
@@ -35,7 +35,7 @@ def write_run_manifest(runs: DataFrame, path: str) -> None:
         "test_accuracy_percent",
     )
     text = F.to_json(manifest, {"ignoreNullFields": "false"})
-    runs.select(text.alias("value")).write.mode("append").text(path)
+    runs.select(text.alias("value")).write.mode(mode).text(path)
 
 
 def read_run_ledger(spark: SparkSession, path: str) -> DataFrame:

@@ -11,10 +11,11 @@ from intentloom.functions import fixed
 from intentloom.functions import text as t
 from intentloom.operators import classify, corpus, evaluate, ledger, resolve, sampling
 from intentloom.operators.scale import lookup_join
+from intentloom.plans import publishing
 from intentloom.plans import standins as s
 from intentloom.plans.evaluation import score_and_evaluate as _evaluate
 from intentloom.plans.preparation import prepare_records as _prepare
-from intentloom.session import fresh_path
+from intentloom.session import fresh_path, settle
 from intentloom.sources import corpus as files
 from intentloom.streaming import scoring
 
@@ -503,6 +504,30 @@ def evaluate_answers(spark, sf_dir):
     return _rounded(report, "precision", "recall", "f1")
 
 
+@query
+def answer_messages(spark, sf_dir):
+    """A feed of messages to labels, as a batch."""
+    vocab = s.part_labels(spark, sf_dir)
+    return scoring.answer_messages(_messages(spark, sf_dir), "message", _score, vocab)
+
+
+@query
+def publish_run(spark, sf_dir):
+    """Publish a run twice under one name and once under its time; newest of the ledger."""
+    root = fresh_path(spark, "artifacts")
+    events = s.table(spark, sf_dir, "events")
+    times = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    report = settle(evaluate.full_report(_confusion(spark, sf_dir)), "report")
+    tables = {
+        "outputs": report,
+        "sample_data": s.table(spark, sf_dir, "documents"),
+        "configs": s.part_labels(spark, sf_dir),
+    }
+    for name, time in (("a", times["last"]), ("a", times["first"]), ("", times["last"])):
+        publishing.publish_run(tables, report, root, name, F.to_timestamp_ntz(F.lit(str(time))))
+    return ledger.latest_run(ledger.read_run_ledger(spark, publishing.manifests_of(root)))
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 

@@ -275,6 +275,8 @@ def statements() -> dict[str, str]:
     train_prompt = f"{_prompt('instruction', 'input')} || output || {_quoted(END_MARK)}"
     given = "CASE WHEN event_type = 'view' THEN '  run ' || user_id || chr(9) ELSE '  ' END"
     sample_order = _shuffled(f"'{fixed.SEED}:'", "id")
+    answered = f"""WITH RECURSIVE {_resolved(FEED_ANSWERS)}
+SELECT conv_id, turn, message, decoded, raw, y_pred, match_kind FROM resolved"""
     update = fixed.BATCH_ROWS * fixed.ACCUMULATION
     return {
         "scan_corpus": """SELECT text, 'train' AS split FROM documents
@@ -427,7 +429,13 @@ resolved AS (
   FROM pages JOIN predicted ON id = page_id),
 {_report("resolved")} {FULL_REPORT}""",
         "evaluate_answers": f"WITH RECURSIVE {RESOLVED}, {_report('resolved')} {FULL_REPORT}",
-        "stream_score": f"""WITH RECURSIVE {_resolved(FEED_ANSWERS)}
-SELECT conv_id, turn, message, decoded, raw, y_pred, match_kind FROM resolved""",
+        "answer_messages": answered,
+        "stream_score": answered,
+        "publish_run": f"""WITH RECURSIVE {RESOLVED}
+SELECT strftime(max(ts), 'run_%Y%m%d_%H%M%S_utc') AS run_name,
+  strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%f+00:00') AS created_at_utc,
+  (SELECT {_percent("avg(CAST(y_true = y_pred AS INTEGER))")} FROM resolved)
+    AS test_accuracy_percent
+FROM events""",
         "stream_accuracy": f"WITH RECURSIVE {RESOLVED} {_running('resolved')}",
     }

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intentloom.functions import fixed
-from intentloom.functions.text import normalize_text
+from intentloom.functions.text import iso_utc, normalize_text
 from intentloom.operators.scale import lookup_join
 from intentloom.sources.corpus import label_dim, union_splits
 
@@ -123,7 +123,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("run_"), F.col("user_id"))
     return first.select(
         name.alias("run_name"),
-        F.date_format("_.ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("created_at_utc"),
+        iso_utc(F.col("_.ts")).alias("created_at_utc"),
         F.concat(F.lit("outputs/"), name).alias("outputs"),
         F.lit("sample_data").alias("sample_data"),
         F.lit("configs").alias("configs"),

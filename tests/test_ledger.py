@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from intentloom.functions.text import extract_accuracy
 from intentloom.operators import ledger
+from intentloom.plans.publishing import manifests_of, publish_run
 
 RUNS = "run_name string, created_at_utc string, outputs string, sample_data string, " \
     "configs string, test_accuracy_percent string"
@@ -78,3 +79,29 @@ def test_a_snapshot_needs_all_its_tables(spark, tmp_path):
         ledger.snapshot_run(tables, "r", str(tmp_path))
     with pytest.raises(ValueError):
         ledger.snapshot_run(snapshot(spark, 1), " ", str(tmp_path))
+
+
+def report(spark, share):
+    rows = [("class", 0.5), ("accuracy", share)] if share is not None else []
+    return spark.createDataFrame(rows, "section string, f1 double")
+
+
+def test_published_runs_are_in_the_ledger(spark, tmp_path):
+    root = f"{tmp_path}/artifacts"
+
+    def publish(name, at, share):
+        time = F.to_timestamp_ntz(F.lit(at))
+        return publish_run(snapshot(spark, 1), report(spark, share), root, name, time)
+
+    assert publish(" a ", "2024-05-01 10:00:00", 0.25) == "a"
+    assert publish("", "2024-05-02 10:00:00.5", None) == "run_20240502_100000_utc"
+    assert publish("a", "2024-05-01 11:00:00", 0.5) == "a"
+    found = ledger.read_run_ledger(spark, manifests_of(root))
+    assert rows(found.select("run_name", "created_at_utc", "test_accuracy_percent")) == [
+        ("a", "2024-05-01T11:00:00.000000+00:00", "50.00"),
+        ("run_20240502_100000_utc", "2024-05-02T10:00:00.500000+00:00", None),
+    ]
+    assert ledger.latest_run(found).first()["run_name"] == "run_20240502_100000_utc"
+    assert ledger.read_snapshots(spark, root, "configs").count() == 2
+    now = publish_run(snapshot(spark, 1), report(spark, 1.0), root)
+    assert now.startswith("run_2") and ledger.read_snapshots(spark, root, "configs").count() == 3
