@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from intentloom.functions.text import normalize_text, strip_message
 from intentloom.operators.scale import (
+    SMALL_BYTES,
     fetch_small,
     is_small,
     lookup_join,
@@ -89,20 +90,27 @@ def score_classifier_nb(df: DataFrame, id: str, text: str, model: WordModel) ->
     """(id, label): the most likely class of each row; ties go to the first name."""
     texts = use_all_cores(df.select(F.col(id).alias("id"), F.col(text).alias("text")), "id")
     tokens = texts.select("id", F.explode_outer(_words("text")).alias("word"))
-    few = fetch_small(model.classes.select("label", "log_prior", "log_norm"), FEW_CLASSES)
-    if few is not None:
-        return _score_all_classes(tokens, model, few.sort_by("label").to_pylist())
-    return _score_seen_classes(tokens, model)
-
-
-def _with_model(tokens: DataFrame, by_word: DataFrame, model: WordModel) -> DataFrame:
-    """Left join of the tokens with the model's words."""
-    if is_small(model.words, SMALL_WORDS):
+    constants = model.classes.select("label", "log_prior", "log_norm", "vocabulary")
+    few = fetch_small(constants, FEW_CLASSES)
+    classes = [] if few is None else few.sort_by("label").to_pylist()
+    words_fit = is_small(model.words, SMALL_WORDS)
+    # one weight of 8 bytes per word and class
+    columns_fit = sum(c["vocabulary"] for c in classes) * 8 <= SMALL_BYTES
+    if classes and (columns_fit or not words_fit):
+        return _score_all_classes(tokens, model, classes, words_fit and columns_fit)
+    return _score_seen_classes(tokens, model, words_fit)
+
+
+def _with_model(tokens: DataFrame, by_word: DataFrame, fits: bool) -> DataFrame:
+    """Left join of the tokens with the model's words; `fits` allows a broadcast."""
+    if fits:
         return tokens.join(F.broadcast(by_word), "word", "left")
     return spread_join(tokens, by_word, "word", "left", ["id"])
 
 
-def _score_all_classes(tokens: DataFrame, model: WordModel, classes: list[dict]) -> DataFrame:
+def _score_all_classes(
+    tokens: DataFrame, model: WordModel, classes: list[dict], fits: bool
+) -> DataFrame:
     """One weight column per class: a single sum per text, all inside codegen."""
     columns = {f"w{i}": c["label"] for i, c in enumerate(classes)}
     weight = F.log(F.col("n") + 1)
@@ -113,7 +121,7 @@ def _score_all_classes(tokens: DataFrame, model: WordModel, classes: list[dict])
         ]
     )
     sums = (
-        _with_model(tokens, by_word, model)
+        _with_model(tokens, by_word, fits)
         .groupBy("id")
         .agg(
             F.count("w0").alias("known"),
@@ -135,7 +143,7 @@ def _score_all_classes(tokens: DataFrame, model: WordModel, classes: list[dict])
     return sums.select("id", F.get(names, -best).alias("label"))
 
 
-def _score_seen_classes(tokens: DataFrame, model: WordModel) -> DataFrame:
+def _score_seen_classes(tokens: DataFrame, model: WordModel, fits: bool) -> DataFrame:
     """Scoring for many classes, by the (class, word) pairs that were seen.
 
     A class that shares no word with a text scores prior - tokens * norm. The best
@@ -145,7 +153,7 @@ def _score_seen_classes(tokens: DataFrame, model: WordModel) -> DataFrame:
     by_word = model.words.groupBy("word").agg(
         F.collect_list(F.struct("label", F.log(F.col("n") + 1).alias("weight"))).alias("seen")
     )
-    known = _with_model(tokens, by_word, model)
+    known = _with_model(tokens, by_word, fits)
     # the row without a label counts the known tokens of the text
     total = F.struct(
         F.lit(None).cast("string").alias("label"),
@@ -267,7 +275,8 @@ def train_classifier_ml(
 
 def score_classifier_ml(df: DataFrame, id: str, model: PipelineModel) -> DataFrame:
     """(id, label) predicted by a trained model for its text column."""
-    return model.transform(use_all_cores(df)).select(F.col(id).alias("id"), F.col("prediction").alias("label"))
+    texts = use_all_cores(df.select(F.col(id).alias("id"), model.stages[0].getInputCol()))
+    return model.transform(texts).select("id", F.col("prediction").alias("label"))
 
 
 def save_model(model: WordModel | PipelineModel, path: str) -> None:

@@ -125,8 +125,11 @@ def report_lines(report: DataFrame, width: int) -> DataFrame:
     )
     blank = F.lit("")
     heads = [F.lit(h) for h in ("precision", "recall", "f1-score", "support")]
+    accuracy_line = F.concat(
+        F.lit(fixed.ACCURACY_HEADING), percent_text(F.col("f1")), F.lit("%")
+    )
     around = F.array(
-        position(-5, F.concat(F.lit(fixed.ACCURACY_HEADING), percent_text(F.col("f1")), F.lit("%"))),
+        position(-5, accuracy_line),
         position(-4, blank),
         position(-3, F.lit(fixed.REPORT_HEADING)),
         position(-2, row(blank, *heads)),

@@ -89,8 +89,8 @@ def resolve_prediction(
 ) -> DataFrame:
     """Add y_pred and match_kind ('exact', 'fuzzy' or 'none') to each row.
 
-    With a vocabulary within the bound this is a projection around one broadcast
-    join: no shuffle, so it runs on streams and does not mind repeated answers.
+    With a vocabulary within the bound these are two broadcast joins and a UDF: no
+    shuffle, so it runs on streams and does not mind repeated answers.
     """
     folded = FoldedVocabulary.of(vocab)
     raw = strip_message(F.col(raw_col))
@@ -123,13 +123,14 @@ def _resolve_by_key(
     df: DataFrame, keyed: DataFrame, folded: FoldedVocabulary, exact: DataFrame, cutoff: float
 ) -> DataFrame:
     """Resolve the distinct keys only, then bring the answers back to the rows."""
-    keys = keyed.where("_key != ''").groupBy("_key").agg(F.lit(1).alias("_one")).drop("_one")
+    keys = keyed.where("_key != ''").select("_key").distinct()
     found = keys.join(exact, "_key", "left")
     open_keys = found.where("_exact is null").select(F.col("_key").alias("folded"))
     near = _closest_in_blocks(open_keys, folded.table, cutoff, 1).select(
         F.col("key").alias("_key"), "folded"
     )
-    near = near.join(folded.table, "folded").select("_key", F.col("intent").alias("_fuzzy"))
+    near = lookup_join(near, folded.table, "folded", "inner", ["_key"])
+    near = near.select("_key", F.col("intent").alias("_fuzzy"))
     answers = found.join(near, "_key", "left").where("_exact is not null or _fuzzy is not null")
     return lookup_join(keyed, settle(answers, "answers"), "_key", "left", df.columns)
 
@@ -216,7 +217,7 @@ def _closest_in_blocks(
     order = [F.desc("ratio"), F.desc("folded")]
     best = first_per_group(found, ["key"], order, n)
     rank = F.row_number().over(Window.partitionBy("key").orderBy(*order))
-    return best.select("key", rank.alias("rank"), "folded", "ratio")
+    return settle(best.select("key", rank.alias("rank"), "folded", "ratio"), "matches")
 
 
 def _match_stream(cutoff: float, n: int):

@@ -221,6 +221,8 @@ classes AS (
   FROM (SELECT lang AS label, count(*) AS docs FROM documents GROUP BY 1)
   LEFT JOIN (SELECT label, sum(n) AS tokens FROM words GROUP BY 1) USING (label))"""
 
+PAGE_FEED = "SELECT page_id AS id, html AS text FROM pages"
+
 
 def _word_scores(feed: str) -> str:
     """CTE predicted (id, label) for a feed SELECT of (id, text)."""
@@ -300,7 +302,8 @@ SELECT run, {_percent("share")} AS accuracy,
 FROM (SELECT run, avg(CAST(y_true = y_pred AS INTEGER)) AS share FROM resolved GROUP BY run)""",
         "write_run_manifest": f"WITH {RUNS} {manifest}",
         "read_run_ledger": f"""WITH {RUNS} SELECT run_name, created_at_utc, outputs, sample_data,
-  configs, test_accuracy_percent, CAST(test_accuracy_percent AS DOUBLE) AS test_accuracy FROM runs""",
+  configs, test_accuracy_percent, CAST(test_accuracy_percent AS DOUBLE) AS test_accuracy
+FROM runs""",
         "snapshot_run": """SELECT doc_id, lang, source, n_chars, 'run a' AS run_name
 FROM documents""",
         "normalize_text": f"SELECT doc_id, lower({_strip('text')}) AS text FROM documents",
@@ -308,7 +311,8 @@ FROM documents""",
 SELECT conv_id, turn, {_strip('message')} AS message FROM messages""",
         "sft_columns": f"WITH {RECORDS} SELECT doc_id, {record_columns} FROM records",
         "project_sft": f"WITH {RECORDS} SELECT instruction, input, output FROM records",
-        "render_train_prompt": f"WITH {RECORDS} SELECT doc_id, {train_prompt} AS prompt FROM records",
+        "render_train_prompt": f"""WITH {RECORDS}
+SELECT doc_id, {train_prompt} AS prompt FROM records""",
         "render_eval_prompt": f"""WITH {SOURCE_LABELS}, {MESSAGES}
 SELECT conv_id, turn, {_prompt(_instruction("source_labels"), _strip("message"))} AS prompt
 FROM messages""",
@@ -361,7 +365,8 @@ sampled AS (
 SELECT split, CAST(count(*) AS BIGINT) AS rows, count(DISTINCT intent) AS classes, 'full' AS stage
 FROM corpus GROUP BY split
 UNION ALL
-SELECT split, CAST(count(*) AS BIGINT), count(DISTINCT intent), 'sampled' FROM sampled GROUP BY split""",
+SELECT split, CAST(count(*) AS BIGINT), count(DISTINCT intent), 'sampled'
+FROM sampled GROUP BY split""",
         "build_instruction": f"""WITH {PART_LABELS}
 SELECT {_instruction("part_labels")} AS instruction""",
         "accuracy": f"""WITH RECURSIVE {RESOLVED}
@@ -414,7 +419,7 @@ FROM drawn JOIN language_labels USING (intent)""",
         "train_classifier_nb": f"""WITH {WORD_MODEL}
 SELECT label, word, n, round(ln(n + 1) - norm, 6) AS log_likelihood
 FROM words JOIN classes USING (label)""",
-        "score_classifier_nb": f"""WITH {_word_scores("SELECT page_id AS id, html AS text FROM pages")}
+        "score_classifier_nb": f"""WITH {_word_scores(PAGE_FEED)}
 SELECT id, label FROM predicted""",
         "save_load_model": f"""WITH {_word_scores(
             "SELECT conv_id || '/' || turn AS id, text FROM conversations")}
@@ -423,7 +428,7 @@ SELECT id, label FROM predicted""",
 SELECT conv_id, turn, {MARK} || chr(10) || {FIRST_WORD} || chr(10) || 'end' AS decoded
 FROM messages""",
         "score_and_evaluate": f"""WITH
-{_word_scores("SELECT page_id AS id, html AS text FROM pages")},
+{_word_scores(PAGE_FEED)},
 resolved AS (
   SELECT regexp_extract(html, '<html lang="([a-z]+)"', 1) AS y_true, label AS y_pred
   FROM pages JOIN predicted ON id = page_id),

@@ -43,11 +43,13 @@ def predict(train, texts):
     return out
 
 
-@pytest.mark.parametrize("classes", ["few", "many"])
+@pytest.mark.parametrize("classes", ["few", "few but wide", "many"])
 @pytest.mark.parametrize("path", ["broadcast", "shuffled"])
 def test_word_model_scores_as_defined(spark, monkeypatch, path, classes):
     if classes == "many":
         monkeypatch.setattr(classify, "FEW_CLASSES", 2)
+    if classes == "few but wide":
+        monkeypatch.setattr(classify, "SMALL_BYTES", 10)
     if path == "shuffled":
         monkeypatch.setattr(classify, "SMALL_WORDS", 3)
         monkeypatch.setattr(scale, "SMALL_ROWS", 2)
