@@ -2,23 +2,28 @@
 
 # The prompt texts, the answer mark and the control words are what
 # trained models and stored reports contain, so they cannot be reworded.
-INSTRUCTION_HEAD = (
+INSTRUCTION_TEMPLATE = (
     "You are a banking intent classifier. Given a customer's message, "
-    "classify it into EXACTLY ONE of these intents: "
+    "classify it into EXACTLY ONE of these intents: {label_list}. "
+    "Only output the intent label, nothing else."
 )
-INSTRUCTION_TAIL = ". Only output the intent label, nothing else."
 INSTRUCTION_WITHOUT_LABELS = (
     "You are a banking intent classifier. Given a customer's message, "
     "classify it into one of the banking intent categories. "
     "Only output the intent label, nothing else."
 )
-PROMPT_PREAMBLE = (
-    "Below is an instruction that describes a task, paired with an input that "
-    "provides further context. Write a response that appropriately completes "
-    "the request."
-)
-INSTRUCTION_MARK = "### Instruction:"
-INPUT_MARK = "### Input:"
+PROMPT_TEMPLATE = """\
+Below is an instruction that describes a task, paired with an input that provides \
+further context. Write a response that appropriately completes the request.
+
+### Instruction:
+{instruction}
+
+### Input:
+{input}
+
+### Response:
+{output}"""
 ANSWER_MARK = "### Response:"
 CONTROL_WORDS = ("quit", "exit", "q")
 ACCURACY_HEADING = "Test Accuracy: "

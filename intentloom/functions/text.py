@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,25 +26,30 @@ def extract_answer(decoded: Column) -> Column:
     return strip_message(F.substring_index(answer, "\n", 1))
 
 
+def fill_template(template: str, **columns: Column) -> Column:
+    """A text template with columns in place of its named fields."""
+    parts = []
+    for text, field, _, _ in Formatter().parse(template):
+        parts.append(F.lit(text))
+        if field is not None:
+            parts.append(columns[field])
+    return F.concat(*parts)
+
+
 def render_train_prompt(
     instruction: Column, message: Column, answer: Column, end_mark: str
 ) -> Column:
     """Full training prompt, answer and end-of-sequence mark included."""
-    return F.concat(_prompt_up_to_answer(instruction, message), answer, F.lit(end_mark))
+    prompt = fill_template(
+        fixed.PROMPT_TEMPLATE, instruction=instruction, input=message, output=answer
+    )
+    return F.concat(prompt, F.lit(end_mark))
 
 
 def render_eval_prompt(instruction: Column, message: Column) -> Column:
     """The prompt a model completes: same template, empty answer, no end mark."""
-    return _prompt_up_to_answer(instruction, message)
-
-
-def _prompt_up_to_answer(instruction: Column, message: Column) -> Column:
-    return F.concat(
-        F.lit(f"{fixed.PROMPT_PREAMBLE}\n\n{fixed.INSTRUCTION_MARK}\n"),
-        instruction,
-        F.lit(f"\n\n{fixed.INPUT_MARK}\n"),
-        message,
-        F.lit(f"\n\n{fixed.ANSWER_MARK}\n"),
+    return fill_template(
+        fixed.PROMPT_TEMPLATE, instruction=instruction, input=message, output=F.lit("")
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from intentloom.functions import fixed
+from intentloom.functions.text import fill_template
 from intentloom.operators.scale import lookup_join
 
 
@@ -33,10 +34,8 @@ def fallback_instruction(vocab: DataFrame) -> DataFrame:
 
 def _with_labels() -> Column:
     listed = F.expr("listagg(intent, ', ') WITHIN GROUP (ORDER BY label)")
-    return F.concat(
-        F.lit(fixed.INSTRUCTION_HEAD),
-        F.coalesce(listed, F.lit("")),
-        F.lit(fixed.INSTRUCTION_TAIL),
+    return fill_template(
+        fixed.INSTRUCTION_TEMPLATE, label_list=F.coalesce(listed, F.lit(""))
     )
 
 

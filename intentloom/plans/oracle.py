@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from intentloom.functions import fixed
-from intentloom.plans.standins import END_MARK
+from intentloom.plans.standins import ANSWER_HEAD, END_MARK
 
 
 def _quoted(text: str) -> str:
@@ -25,14 +27,18 @@ def _answer(column: str) -> str:
     return _strip(f"string_split({after}, chr(10))[1]")
 
 
-def _prompt(instruction: str, message: str) -> str:
-    return (
-        _quoted(f"{fixed.PROMPT_PREAMBLE}\n\n{fixed.INSTRUCTION_MARK}\n")
-        + f" || {instruction} || "
-        + _quoted(f"\n\n{fixed.INPUT_MARK}\n")
-        + f" || {message} || "
-        + _quoted(f"\n\n{fixed.ANSWER_MARK}\n")
-    )
+def _filled(template: str, **fields: str) -> str:
+    """SQL text of a template with SQL expressions in place of its named fields."""
+    parts = []
+    for text, field, _, _ in Formatter().parse(template):
+        parts.append(_quoted(text))
+        if field is not None:
+            parts.append(fields[field])
+    return " || ".join(parts)
+
+
+def _prompt(instruction: str, message: str, answer: str = "''") -> str:
+    return _filled(fixed.PROMPT_TEMPLATE, instruction=instruction, input=message, output=answer)
 
 
 def _labels(name: str, source: str) -> str:
@@ -45,7 +51,7 @@ def _labels(name: str, source: str) -> str:
 
 def _instruction(labels: str) -> str:
     listed = f"(SELECT string_agg(intent, ', ' ORDER BY label) FROM {labels})"
-    return f"{_quoted(fixed.INSTRUCTION_HEAD)} || {listed} || {_quoted(fixed.INSTRUCTION_TAIL)}"
+    return _filled(fixed.INSTRUCTION_TEMPLATE, label_list=listed)
 
 
 SOURCE_LABELS = _labels("source_labels", "source AS intent FROM documents")
@@ -71,7 +77,7 @@ MESSAGES = """messages AS (
 GENERATIONS = f"""generations AS (
   SELECT p_partkey AS row_id, replace(p_brand, '#', '_') AS run,
          replace(p_name, ' ', '_') AS y_true,
-         {_quoted(fixed.INSTRUCTION_MARK + chr(10) + "x" + chr(10))} || {MARK} || chr(10) ||
+         {_quoted(ANSWER_HEAD)} ||
          CASE p_partkey % 8
            WHEN 0 THEN replace(p_name, ' ', '_')
            WHEN 1 THEN upper(replace(p_name, ' ', '_'))
@@ -274,7 +280,7 @@ def statements() -> dict[str, str]:
   '","source_paths":{"outputs":"' || outputs || '","sample_data":"' || sample_data ||
   '","configs":"' || configs || '"},"test_accuracy_percent":' ||
   coalesce('"' || test_accuracy_percent || '"', 'null') || '}' AS manifest FROM runs"""
-    train_prompt = f"{_prompt('instruction', 'input')} || output || {_quoted(END_MARK)}"
+    train_prompt = f"{_prompt('instruction', 'input', 'output')} || {_quoted(END_MARK)}"
     given = "CASE WHEN event_type = 'view' THEN '  run ' || user_id || chr(9) ELSE '  ' END"
     sample_order = _shuffled(f"'{fixed.SEED}:'", "id")
     answered = f"""WITH RECURSIVE {_resolved(FEED_ANSWERS)}

@@ -13,7 +13,8 @@ from intentloom.functions.text import iso_utc, normalize_text
 from intentloom.operators.scale import lookup_join
 from intentloom.sources.corpus import label_dim, union_splits
 
-END_MARK = "<|eot_id|>"
+END_MARK = "</s>"
+ANSWER_HEAD = f"### Instruction:\nx\n{fixed.ANSWER_MARK}\n"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,12 +83,11 @@ def generations(parts: DataFrame) -> DataFrame:
     ]
     kind = F.col("p_partkey") % len(answers)
     answer = F.coalesce(*[F.when(kind == i, a) for i, a in enumerate(answers)])
-    head = f"{fixed.INSTRUCTION_MARK}\nx\n{fixed.ANSWER_MARK}\n"
     return parts.select(
         F.col("p_partkey").alias("row_id"),
         F.replace(F.col("p_brand"), F.lit("#"), F.lit("_")).alias("run"),
         label.alias("y_true"),
-        F.concat(F.lit(head), answer).alias("decoded"),
+        F.concat(F.lit(ANSWER_HEAD), answer).alias("decoded"),
     )
 
 

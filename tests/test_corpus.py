@@ -19,7 +19,7 @@ def test_decode_label_keeps_undecodable_rows(spark):
 def test_instruction_lists_labels_in_id_order(spark):
     vocab = spark.createDataFrame([(1, "a"), (0, "z")], "label bigint, intent string")
     text = corpus.build_instruction(vocab).first()["instruction"]
-    assert text == fixed.INSTRUCTION_HEAD + "z, a" + fixed.INSTRUCTION_TAIL
+    assert text == fixed.INSTRUCTION_TEMPLATE.format(label_list="z, a")
     assert corpus.instruction_text(vocab) == text
 
 

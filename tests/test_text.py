@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from intentloom.functions import fixed, text
+from intentloom.functions import text
 from intentloom.functions.fixed import WHITESPACE
 
 
@@ -55,8 +55,9 @@ def test_prompts_keep_any_text(spark, message):
         m=message,
     )
     expected = (
-        fixed.PROMPT_PREAMBLE
-        + "\n\n### Instruction:\ninstr {0} %s\n\n### Input:\n"
+        "Below is an instruction that describes a task, paired with an input that provides "
+        "further context. Write a response that appropriately completes the request."
+        "\n\n### Instruction:\ninstr {0} %s\n\n### Input:\n"
         + message
         + "\n\n### Response:\nout<end>"
     )
