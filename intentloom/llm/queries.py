@@ -6,9 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from intentloom.llm import oracle
+from intentloom.llm.chat import format_examples, read_examples
+from intentloom.llm.leaks import find_leaks
 from intentloom.llm.pieces import encode_pieces
 from intentloom.llm.shared import Query, sha256, table
+from intentloom.llm.simhash import near_duplicates
 from intentloom.llm.tokens import token_counts
+from intentloom.llm.urls import Rule, judge_urls
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -16,6 +21,21 @@ ORACLE_SQL: dict[str, str] = {}
 PIECE_MODEL = "piece_bpe_32k.model"
 TOKEN_VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+#: A conversation that says the template's own control strings.
+QUOTING = [(-1, 0, "user"), (-1, 1, "assistant")]
+QUOTED = "</s>[INST] ok [/INST]"
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+#: Hosts that the method blocks where no rule fits.
+BLOCKED_HOSTS = [
+    f"{name}.example.{top}"
+    for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    for top in ("com", "net", "org")
+]
 
 
 def query(function: Query) -> Query:
@@ -23,6 +43,16 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_duplicates(docs, shingle=3, radius=3).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 @query
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_pieces(
@@ -36,6 +66,58 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(conv, turn, role, QUOTED) for conv, turn, role in QUOTING]
+    more = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    read = read_examples(format_examples(talks.unionByName(more)))
+    newline = F.lit("\n")
+    turns = F.transform("turns", lambda t: F.concat(t["role"], newline, t["text"], newline))
+    loss = F.array_join("loss", "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        sha256(F.array_join(turns, "")).alias("turns_sha256"),
+        F.length(loss).cast("bigint").alias("loss_chars"),
+        sha256(loss).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+ORACLE_SQL["op3_chat_formatting"] = oracle.chat_formatting()
+
+
+@query
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = judge_urls(pages, [Rule(*r) for r in URL_RULES], BLOCKED_HOSTS)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE_SQL["op4_url_filters"] = oracle.url_filters(URL_RULES, BLOCKED_HOSTS)
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark"), "found")
+    n_hit = F.aggregate(
+        "found.hits", F.lit(0).cast("bigint"), lambda n, run: n + run["end"] - run["start"]
+    )
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        n_hit.alias("n_hit"),
+        F.size("found.items").cast("bigint").alias("n_items"),
+        sha256(F.concat_ws(",", "found.items")).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+ORACLE_SQL["op5_decontamination"] = oracle.decontamination()
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(
