@@ -13,6 +13,7 @@ from intentloom.llm.pieces import encode_pieces
 from intentloom.llm.shared import Query, sha256, table
 from intentloom.llm.simhash import near_duplicates
 from intentloom.llm.tokens import token_counts
+from intentloom.llm.toxicity import fit_toxicity, labelled_texts, score_toxicity
 from intentloom.llm.urls import Rule, judge_urls
 
 QUERIES: dict[str, Query] = {}
@@ -124,3 +125,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path(TOKEN_VOCABULARY)
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = fit_toxicity(labelled_texts(docs, labels.where(~held_out)))
+    return score_toxicity(docs, model, "score").select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
