@@ -10,11 +10,13 @@ from intentloom.llm import oracle
 from intentloom.llm.chat import format_examples, read_examples
 from intentloom.llm.leaks import find_leaks
 from intentloom.llm.pieces import encode_pieces
+from intentloom.llm.quality import LEAST_WORDS, add_features, learn_rules
 from intentloom.llm.shared import Query, sha256, table
 from intentloom.llm.simhash import near_duplicates
 from intentloom.llm.tokens import token_counts
 from intentloom.llm.toxicity import fit_toxicity, labelled_texts, score_toxicity
 from intentloom.llm.urls import Rule, judge_urls
+from intentloom.session import settle
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -119,6 +121,30 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op5_decontamination"] = oracle.decontamination()
 
 
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    features = settle(add_features(docs), "quality-features")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where("quality in (0, 1)")
+    labels = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    labelled = features.join(labels, "doc_id").withColumn("bad", 1 - F.col("quality"))
+    rules = learn_rules(settle(labelled, "quality-labelled"))
+    failed = (F.col("n_words") < LEAST_WORDS) | (
+        100 * F.col("n_repeat_words") > 50 * F.col("n_words")
+    )
+    return features.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & ~rules.rejects()).alias("kept"),
+        rules.number().alias("rule"),
+    )
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(
