@@ -13,6 +13,7 @@ from intentloom.llm.pieces import encode_pieces
 from intentloom.llm.quality import LEAST_WORDS, add_features, learn_rules
 from intentloom.llm.shared import Query, sha256, table
 from intentloom.llm.simhash import near_duplicates
+from intentloom.llm.surrogates import replace_entities
 from intentloom.llm.tokens import token_counts
 from intentloom.llm.toxicity import fit_toxicity, labelled_texts, score_toxicity
 from intentloom.llm.urls import Rule, judge_urls
@@ -24,6 +25,8 @@ ORACLE_SQL: dict[str, str] = {}
 PIECE_MODEL = "piece_bpe_32k.model"
 TOKEN_VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+#: Key of the surrogates; a real corpus has a secret one.
+SURROGATE_KEY = "a key for the given tables"
 #: A conversation that says the template's own control strings.
 QUOTING = [(-1, 0, "user"), (-1, 1, "assistant")]
 QUOTED = "</s>[INST] ok [/INST]"
@@ -165,3 +168,16 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    replaced = replace_entities(docs, SURROGATE_KEY, "replaced")
+    kinds = F.transform("replaced.entities", lambda e: e["kind"])
+    return replaced.select(
+        "doc_id",
+        F.size("replaced.entities").cast("bigint").alias("n_entities"),
+        F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("kinds"),
+        F.col("replaced.text").alias("text"),
+    )
