@@ -11,6 +11,7 @@ from intentloom.llm.chat import format_examples, read_examples
 from intentloom.llm.leaks import find_leaks
 from intentloom.llm.pieces import encode_pieces
 from intentloom.llm.quality import LEAST_WORDS, add_features, learn_rules
+from intentloom.llm.repeats import remove_repeats
 from intentloom.llm.shared import Query, sha256, table
 from intentloom.llm.simhash import near_duplicates
 from intentloom.llm.surrogates import replace_entities
@@ -148,6 +149,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(
