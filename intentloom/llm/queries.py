@@ -53,7 +53,7 @@ def query(function: Query) -> Query:
 @query
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return near_duplicates(docs, shingle=3, radius=3).select(
+    return near_duplicates(docs, shingle=3, radius=3, similarity=None).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),

@@ -1,10 +1,13 @@
 """Near copies by SimHash, with an exact comparison of all fingerprints in tiles.
 
-Fingerprints are cut into four parts of 16 bits. Two fingerprints that differ in at
-most r bits have population counts that differ by at most r over all parts
-together, so fingerprints with the same four counts form a tile, and only tiles
-within that distance are compared, every pair in them, with exclusive-or and bit
-counts in numpy. Only distinct fingerprints are compared: exact copies cost nothing.
+Fingerprints are cut into parts, and those with the same population count in every
+part form a tile. Two fingerprints that differ in at most r bits have counts that
+differ by at most r over all parts together, so only tiles within that distance are
+compared, every pair in them, with exclusive-or and bit counts in numpy. Only
+distinct fingerprints are compared: exact copies cost nothing.
+
+The tiles skip most pairs for a small radius, but what is left still grows with the
+square of the distinct fingerprints; see the README for figures.
 """
 
 from __future__ import annotations
@@ -19,15 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from intentloom.llm.graph import components
-from intentloom.llm.shared import LOWER, per_text
+from intentloom.llm.shared import LOWER, lists, per_text, unused
 from intentloom.session import settle
 
 BITS = 64
-PARTS = 4
-PART_BITS = BITS // PARTS
-COUNTS = PART_BITS + 1
-#: Fingerprints of a block, on average; blocks are what is sent and compared.
-BLOCK = 4_096
+#: Parts up to this radius, and beyond, where four counts would skip too little.
+FINE_RADIUS, FINE_PARTS, COARSE_PARTS = 3, 4, 1
+#: Fingerprints of a block, on average, by number of parts; blocks are what is sent.
+BLOCKS = {FINE_PARTS: 4_096, COARSE_PARTS: 32_768}
 #: Pairs that are compared at once, at 8 bytes each.
 AT_ONCE = 1 << 20
 SEED = 42
@@ -64,35 +66,33 @@ def fingerprint_udf(shingle: int, seed: int = SEED) -> Callable:
     )
 
 
-def _tile(fingerprint: Column) -> Column:
-    """Number of a tile: the four population counts as digits."""
-    mask = (1 << PART_BITS) - 1
+def _tile(fingerprint: Column, parts: int) -> Column:
+    """Number of a tile: the population counts as digits."""
+    width = BITS // parts
     tile = F.lit(0)
-    for part in range(PARTS):
-        bits = F.shiftrightunsigned(fingerprint, part * PART_BITS).bitwiseAND(F.lit(mask))
-        tile = tile * COUNTS + F.bit_count(bits)
+    for part in range(parts):
+        bits = F.shiftrightunsigned(fingerprint, part * width)
+        if width < BITS:
+            bits = bits.bitwiseAND(F.lit((1 << width) - 1))
+        tile = tile * (width + 1) + F.bit_count(bits)
     return tile.cast("int")
 
 
-def _steps(radius: int) -> list[tuple[int, ...]]:
-    """Ways to tiles within the radius; of a way and its opposite only one."""
-    span = range(-radius, radius + 1)
-    steps = itertools.product(span, repeat=PARTS)
-    return [s for s in steps if sum(map(abs, s)) <= radius and s >= (0,) * PARTS]
-
-
-def _neighbours(tile: Column, radius: int) -> Column:
-    """Array of the tiles within the radius, the tile itself included."""
-    digits = [
-        F.floor(tile / COUNTS ** (PARTS - 1 - part)) % COUNTS for part in range(PARTS)
-    ]
+def _neighbours(tile: Column, radius: int, parts: int) -> Column:
+    """Array of the tiles within the radius, the tile itself included; of two tiles
+    only one has the other in its array."""
+    counts = BITS // parts + 1
+    scales = [counts ** (parts - 1 - part) for part in range(parts)]
+    digits = [F.floor(tile / scale) % counts for scale in scales]
     ways = []
-    for step in _steps(radius):
+    for step in itertools.product(range(-radius, radius + 1), repeat=parts):
+        if sum(map(abs, step)) > radius or step < (0,) * parts:
+            continue
         inside = F.lit(True)
         for digit, move in zip(digits, step):
             if move:
-                inside = inside & (digit + move).between(0, COUNTS - 1)
-        shift = sum(m * COUNTS ** (PARTS - 1 - part) for part, m in enumerate(step))
+                inside = inside & (digit + move).between(0, counts - 1)
+        shift = sum(move * scale for move, scale in zip(step, scales))
         ways.append(F.when(inside, tile + F.lit(shift)))
     return F.array_compact(F.array(*ways))
 
@@ -116,19 +116,26 @@ def _forest(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _close(home: np.ndarray, guests: np.ndarray, radius: int, same: bool) -> np.ndarray:
-    """Links between two blocks as rows (a, b), thinned to a forest if there are many."""
+    """Links between two blocks as rows (a, b), thinned to a forest if there are many.
+
+    The forest takes the closest pairs first, so what it leaves out is connected by
+    pairs that are at least as close.
+    """
     found = []
     rows = max(1, AT_ONCE // max(1, len(home)))
     for start in range(0, len(guests), rows):
         part = guests[start : start + rows]
-        near = np.bitwise_count(part[:, None] ^ home[None, :]) <= radius
-        a, b = np.nonzero(near)
+        distance = np.bitwise_count(part[:, None] ^ home[None, :])
+        a, b = np.nonzero(distance <= radius)
         if same:
-            a, b = a[a + start < b], b[a + start < b]
-        a, b = part[a], home[b]
+            upper = a + start < b
+            a, b = a[upper], b[upper]
         if len(a) > len(part) + len(home):
-            kept = _forest(a, b)
+            order = np.argsort(distance[a, b], kind="stable")
+            a, b = a[order], b[order]
+            kept = _forest(part[a], home[b])
             a, b = a[kept], b[kept]
+        a, b = part[a], home[b]
         found.append(np.stack([a, b], axis=1))
     return np.concatenate(found)
 
@@ -172,13 +179,14 @@ def close_pairs(distinct: DataFrame, radius: int) -> DataFrame:
 
     `distinct` is a stored table with one row per fingerprint. There are at most
     17^4 tiles, whatever the data, so their sizes may be broadcast; a large tile is
-    cut by a hash into blocks of about BLOCK fingerprints. Each block is sent to the
+    cut by a hash into blocks of some thousand fingerprints. Each block is sent to the
     blocks of the tiles around its own, and compared there while it streams by.
     """
-    tiled = distinct.select("fingerprint", _tile(F.col("fingerprint")).alias("tile"))
+    parts = FINE_PARTS if radius <= FINE_RADIUS else COARSE_PARTS
+    tiled = distinct.select("fingerprint", _tile(F.col("fingerprint"), parts).alias("tile"))
     sizes = settle(
         tiled.groupBy("tile").agg(
-            F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks")
+            F.ceil(F.count("*") / F.lit(BLOCKS[parts])).cast("int").alias("blocks")
         ),
         "tiles",
     )
@@ -192,7 +200,7 @@ def close_pairs(distinct: DataFrame, radius: int) -> DataFrame:
     homes = blocks.select("tile", "block", F.lit(True).alias("home"), "prints")
     around = sizes.select(
         F.col("tile").alias("from_tile"),
-        F.explode(_neighbours(F.col("tile"), radius)).alias("tile"),
+        F.explode(_neighbours(F.col("tile"), radius, parts)).alias("tile"),
     )
     around = settle(
         around.join(F.broadcast(sizes), "tile").select(
@@ -211,10 +219,53 @@ def close_pairs(distinct: DataFrame, radius: int) -> DataFrame:
     return meeting.mapInArrow(_compare(radius), "a bigint, b bigint")
 
 
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """Distinct hashes of a text's shingles, sorted; none for a wordless text."""
+    words = text.encode().translate(LOWER).split()
+    if not words:
+        return np.empty(0, dtype=np.int64)
+    last = max(1, len(words) - shingle + 1)
+    found = {xxhash.xxh64_intdigest(b" ".join(words[k : k + shingle])) for k in range(last)}
+    return np.sort(np.fromiter(found, dtype=np.uint64, count=len(found))).view(np.int64)
+
+
+def similar_links(
+    links: DataFrame, docs: DataFrame, distinct: DataFrame, shingle: int, similarity: float
+) -> DataFrame:
+    """The links whose texts share enough of their distinct shingles (Jaccard).
+
+    `docs` has the columns id and text, `distinct` the smallest id per fingerprint;
+    that document's text stands for its fingerprint. Only texts with a link are read.
+    """
+
+    @F.arrow_udf("array<bigint>")
+    def hashes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            found = [shingle_hashes(text.as_py() or "", shingle) for text in batch]
+            yield lists(found, pa.int64())
+
+    ends = links.select(F.explode(F.array("a", "b")).alias("fingerprint")).distinct()
+    wanted = distinct.join(ends, "fingerprint").where("id is not null")
+    read = docs.join(wanted, "id").dropDuplicates(["fingerprint"])
+    sets = settle(read.select("fingerprint", hashes("text").alias("hashes")), "shingle-sets")
+    left = sets.select(F.col("fingerprint").alias("a"), F.col("hashes").alias("of_a"))
+    right = sets.select(F.col("fingerprint").alias("b"), F.col("hashes").alias("of_b"))
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    either = F.size("of_a") + F.size("of_b") - F.col("shared")
+    return (
+        links.join(left, "a")
+        .join(right, "b")
+        .withColumn("shared", shared)
+        .where(F.col("shared") >= F.lit(similarity) * either)
+        .select("a", "b")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
-    radius: int = 3,
+    radius: int = 12,
+    similarity: float | None = 0.8,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -223,18 +274,26 @@ def near_duplicates(
     Texts are lower-cased (A-Z), words are runs without ASCII white space, shingles
     of `shingle` words count as often as they occur. A text of fewer words is one
     shingle. Null, empty and wordless texts have fingerprint 0 and are linked like
-    any other. Repeated rows and ids are rows of their own in one component; a null
-    id counts as larger than all others, so `component` is null only where every id
-    of the component is. Other columns are not read. Empty tables give empty results.
+    any other. Fingerprints within `radius` bits are linked; with a `similarity` only
+    if the distinct shingles of their texts are that similar (Jaccard), too. Texts of
+    one fingerprint always belong together. 12 bits are what texts of similarity 0.8
+    hardly ever differ by more.
+
+    Repeated rows and ids are rows of their own in one component; a null id counts as
+    larger than all others, so `component` is null only where every id of the
+    component is; fingerprints with null ids only are not compared by their texts.
+    Other columns are not read. Empty tables give empty results.
     """
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     prints = settle(
-        docs.select(
-            F.col(id_col).alias("id"), fingerprint_udf(shingle)(F.col(text_col)).alias("fingerprint")
-        ),
+        own.select("id", fingerprint_udf(shingle)(F.col("text")).alias("fingerprint")),
         "fingerprints",
     )
     distinct = settle(prints.groupBy("fingerprint").agg(F.min("id").alias("id")), "distinct")
-    linked = components(close_pairs(distinct, radius)).withColumnRenamed("node", "fingerprint")
+    links = close_pairs(distinct, radius)
+    if similarity is not None:
+        links = similar_links(settle(links.distinct(), "close"), own, distinct, shingle, similarity)
+    linked = components(links).withColumnRenamed("node", "fingerprint")
     rooted = distinct.join(linked, "fingerprint", "left").withColumn(
         "root", F.coalesce("root", "fingerprint")
     )
@@ -243,3 +302,33 @@ def near_duplicates(
     return prints.join(named, "fingerprint").select(
         F.col("id").alias(id_col), "fingerprint", "component"
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    shingle: int = 5,
+    radius: int = 12,
+    similarity: float | None = 0.8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """`docs` with one row of each component of `near_duplicates`: that of its smallest id.
+
+    All columns stay. Of rows with a null id one stays where no other row of the
+    component has an id; of several rows with the kept id and fingerprint one stays.
+    """
+    found = near_duplicates(docs, shingle, radius, similarity, id_col, text_col)
+    order = F.struct(F.col(id_col).isNull().alias("last"), id_col, "fingerprint")
+    kept = (
+        found.withColumn("group", F.struct("component", F.when(F.col("component").isNull(), F.col("fingerprint"))))
+        .groupBy("group")
+        .agg(F.min(order).alias("kept"))
+        .select("kept.*")
+    )
+    mark, print_ = unused(docs, "_fingerprint"), unused(docs, "_kept_id")
+    kept = settle(
+        kept.select(F.col(id_col).alias(print_), F.col("fingerprint").alias(mark)), "kept"
+    )
+    marked = docs.withColumn(mark, fingerprint_udf(shingle)(F.col(text_col)))
+    same = marked[id_col].eqNullSafe(kept[print_]) & (marked[mark] == kept[mark])
+    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
