@@ -103,6 +103,36 @@ def full_report(confusion: DataFrame) -> DataFrame:
     return classes.unionByName(averages).orderBy("section_no", "label")
 
 
+def compare_runs(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Two runs' reports side by side, from their confusion counts.
+
+    (section_no, section, label, first_f1, second_f1, f1_change, first_support,
+    second_support). A label that only one run knows has nulls on the other side.
+    """
+    key = ["section_no", "section", "label"]
+    sides = []
+    for name, confusion in (("first", first), ("second", second)):
+        # labels are never null in class rows, so '' marks the averages
+        report = full_report(confusion).withColumn("label", F.coalesce("label", F.lit("")))
+        sides.append(
+            report.select(
+                *key, F.col("f1").alias(f"{name}_f1"), F.col("support").alias(f"{name}_support")
+            )
+        )
+    joined = sides[0].join(sides[1], key, "full")
+    label = F.when(F.col("section") == CLASS_SECTION, F.col("label"))
+    return joined.select(
+        "section_no",
+        "section",
+        label.alias("label"),
+        "first_f1",
+        "second_f1",
+        (F.col("second_f1") - F.col("first_f1")).alias("f1_change"),
+        "first_support",
+        "second_support",
+    )
+
+
 def report_lines(report: DataFrame, width: int) -> DataFrame:
     """The text form of a report, (position, label, line) in reading order.
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from intentloom.functions import fixed
-from intentloom.operators.scale import first_per_group
+from intentloom.operators.scale import SMALL_ROWS, first_per_group, is_small
+from intentloom.session import settle
 
 # Positions are counted per hash prefix of this many hex digits: 65,536 even groups.
 PREFIX_DIGITS = 4
@@ -23,11 +27,64 @@ def sample_capped_per_class(
     """At most n rows per class, the same rows for the same seed.
 
     `within` names further grouping columns, such as the split. Rows without a
-    label are left out.
+    label are left out. Ids are unique within a group. Rows are chosen by group and
+    id alone; the other columns are not sorted, only joined to what was chosen.
     """
-    order = [_shuffled(F.lit(f"{seed}:"), F.col(id)), F.col(id)]
     labelled = df.where(F.col(label).isNotNull())
-    return first_per_group(labelled, [*within, label], order, n)
+    groups = [*within, label]
+    if set(df.columns) <= {*groups, id}:
+        return first_per_group(labelled, groups, _by_seed(seed, id), n)
+    keys = labelled.select(*groups, id)
+    chosen = settle(first_per_group(keys, groups, _by_seed(seed, id), n), "chosen")
+    if is_small(chosen, SMALL_ROWS):
+        chosen = F.broadcast(chosen)
+    matches = [labelled[c].eqNullSafe(chosen[c]) for c in [*groups, id]]
+    return labelled.join(chosen, reduce(and_, matches), "left_semi")
+
+
+def _by_seed(seed: int, id: str) -> list[Column]:
+    return [_shuffled(F.lit(f"{seed}:"), F.col(id)), F.col(id)]
+
+
+def stratified_split(
+    df: DataFrame, label: str, id: str, share: float, seed: int = fixed.SEED
+) -> DataFrame:
+    """(id, label, split): the first rows of each class in shuffled order validate.
+
+    A class of n rows gives floor(share * n). Rows are ordered by a hash; its prefix
+    cuts each class into even ranges whose counts tell where they lie, so no class is
+    ever sorted as a whole. Rows without a label are left out.
+    """
+    ranged = (
+        df.where(F.col(label).isNotNull())
+        .select(F.col(id).alias("id"), F.col(label).alias("label"))
+        .withColumn("_order", _shuffled(F.lit(f"{seed}:"), F.col("id")))
+        .withColumn("_range", F.substring("_order", 1, PREFIX_DIGITS))
+    )
+    counts = ranged.groupBy("label", "_range").agg(F.count("*").alias("_rows"))
+    by_range = Window.partitionBy("label").orderBy("_range")
+    offsets = counts.select(
+        "label",
+        "_range",
+        (
+            F.sum("_rows").over(by_range.rowsBetween(Window.unboundedPreceding, 0))
+            - F.col("_rows")
+        ).alias("_offset"),
+        F.sum("_rows").over(Window.partitionBy("label")).alias("_all"),
+    )
+    inside = Window.partitionBy("label", "_range").orderBy("_order", "id")
+    place = F.col("_offset") + F.row_number().over(inside)
+    return (
+        ranged.join(offsets, ["label", "_range"])
+        .withColumn("_place", place)
+        .select(
+            "id",
+            "label",
+            F.when(F.col("_place") <= F.floor(F.lit(share) * F.col("_all")), "validation")
+            .otherwise("train")
+            .alias("split"),
+        )
+    )
 
 
 def training_batches(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from intentloom.functions import fixed
 from intentloom.functions import text as t
-from intentloom.operators import classify, corpus, evaluate, ledger, resolve, sampling
+from intentloom.operators import checks, classify, corpus, evaluate, ledger, resolve, sampling
 from intentloom.operators.scale import lookup_join
 from intentloom.plans import publishing
 from intentloom.plans import standins as s
@@ -282,6 +282,24 @@ def message_gate(spark, sf_dir):
     return scoring.message_gate(_messages(spark, sf_dir), "message")
 
 
+@query
+def clean_corpus(spark, sf_dir):
+    return checks.clean_corpus(s.raw_corpus(spark, sf_dir), "id", "text", "intent")
+
+
+@query
+def validate_sft(spark, sf_dir):
+    vocab = s.source_labels(spark, sf_dir).where("label % 3 <> 0")
+    return checks.validate_sft(s.documents(spark, sf_dir), vocab, 20)
+
+
+@query
+def split_overlap(spark, sf_dir):
+    docs = s.table(spark, sf_dir, "documents").select("doc_id", "text")
+    tests = F.col("doc_id") % 5 == 0
+    return checks.split_overlap(docs.where(~tests), docs.where(tests), "text")
+
+
 # --- joins -------------------------------------------------------------------------
 
 
@@ -346,6 +364,20 @@ def corpus_profile(spark, sf_dir):
     return before.unionByName(after)
 
 
+@query
+def class_balance(spark, sf_dir):
+    return _rounded(checks.class_balance(s.corpus(spark, sf_dir)), "ratio")
+
+
+@query
+def compare_runs(spark, sf_dir):
+    """Answers as they came against answers mapped to labels."""
+    resolved = _resolved(spark, sf_dir)
+    plain = evaluate.confusion_counts(resolved.withColumn("y_pred", F.col("raw")))
+    compared = evaluate.compare_runs(plain, evaluate.confusion_counts(resolved))
+    return _rounded(compared, "first_f1", "second_f1", "f1_change")
+
+
 @query
 def build_instruction(spark, sf_dir):
     return corpus.build_instruction(s.part_labels(spark, sf_dir))
@@ -397,6 +429,12 @@ def sample_capped_per_class(spark, sf_dir):
     return sampling.sample_capped_per_class(docs, "lang", "doc_id")
 
 
+@query
+def stratified_split(spark, sf_dir):
+    docs = s.table(spark, sf_dir, "documents")
+    return sampling.stratified_split(docs, "lang", "doc_id", 0.1)
+
+
 @query
 def running_accuracy(spark, sf_dir):
     return _rounded(evaluate.running_accuracy(_resolved(spark, sf_dir)), "accuracy")
@@ -504,6 +542,9 @@ def evaluate_answers(spark, sf_dir):
     return _rounded(report, "precision", "recall", "f1")
 
 
+QUERIES["eval_pipeline"] = evaluate_answers
+
+
 @query
 def answer_messages(spark, sf_dir):
     """A feed of messages to labels, as a batch."""

@@ -166,10 +166,10 @@ RATIOS = _ratios(STORED_ANSWERS)
 RESOLVED = _resolved(STORED_ANSWERS)
 
 
-def _report(source: str) -> str:
+def _report(source: str, prediction: str = "y_pred") -> str:
     """CTEs class_scores and report from a CTE with y_true and y_pred."""
     return f"""confusion AS (
-  SELECT y_true, y_pred, count(*) AS rows FROM {source} GROUP BY ALL),
+  SELECT y_true, {prediction} AS y_pred, count(*) AS rows FROM {source} GROUP BY ALL),
 names AS (SELECT y_true AS label FROM confusion UNION SELECT y_pred FROM confusion),
 sides AS (
   SELECT label,
@@ -373,6 +373,46 @@ FROM corpus GROUP BY split
 UNION ALL
 SELECT split, CAST(count(*) AS BIGINT), count(DISTINCT intent), 'sampled'
 FROM sampled GROUP BY split""",
+        "clean_corpus": f"""WITH {MESSAGES}, raw AS (
+  SELECT doc_id AS id, text, lang AS intent FROM documents
+  UNION ALL
+  SELECT -1 - conv_id * 1000 - turn, message, CASE WHEN turn % 4 <> 3 THEN 'feed' END
+  FROM messages)
+SELECT min(id) AS id, text, intent FROM raw
+WHERE intent IS NOT NULL AND {_strip("text")} <> '' GROUP BY text, intent""",
+        "validate_sft": f"""WITH {SOURCE_LABELS}, counts AS (
+  SELECT source AS intent, count(*) AS rows,
+    count(*) FILTER (WHERE text <> lower({_strip("text")})) AS not_normalized
+  FROM documents GROUP BY source)
+SELECT 'not_normalized' AS rule, CAST(sum(not_normalized) AS BIGINT) AS violations FROM counts
+UNION ALL SELECT 'unknown_label', CAST(sum(rows) AS BIGINT) FROM counts
+WHERE intent NOT IN (SELECT intent FROM source_labels WHERE label % 3 <> 0)
+UNION ALL SELECT 'over_cap', CAST(sum(greatest(rows - 20, 0)) AS BIGINT) FROM counts""",
+        "split_overlap": f"""SELECT lower({_strip("text")}) AS text,
+  count(*) FILTER (WHERE doc_id % 5 <> 0) AS train_rows,
+  count(*) FILTER (WHERE doc_id % 5 = 0) AS test_rows
+FROM documents GROUP BY 1 HAVING train_rows > 0 AND test_rows > 0""",
+        "class_balance": f"""WITH {_corpus()}, counts AS (
+  SELECT split, intent AS label, count(*) AS rows FROM corpus GROUP BY ALL)
+SELECT split, label, rows, min(rows) OVER (PARTITION BY split) AS smallest,
+  max(rows) OVER (PARTITION BY split) AS largest,
+  round(max(rows) OVER (PARTITION BY split) / min(rows) OVER (PARTITION BY split), 6) AS ratio
+FROM counts""",
+        "compare_runs": f"""WITH RECURSIVE {RESOLVED},
+plain AS (WITH {_report("resolved", "raw")} SELECT * FROM report),
+mapped AS (WITH {_report("resolved")} SELECT * FROM report)
+SELECT CAST(coalesce(a.section_no, b.section_no) AS INTEGER) AS section_no,
+  coalesce(a.section, b.section) AS section, coalesce(a.label, b.label) AS label,
+  round(a.f1, 6) AS first_f1, round(b.f1, 6) AS second_f1, round(b.f1 - a.f1, 6) AS f1_change,
+  a.support AS first_support, b.support AS second_support
+FROM plain a FULL JOIN mapped b
+  ON a.section = b.section AND a.label IS NOT DISTINCT FROM b.label""",
+        "stratified_split": f"""SELECT doc_id AS id, lang AS label,
+  CASE WHEN row_number() OVER (PARTITION BY lang
+      ORDER BY {_shuffled(f"'{fixed.SEED}:'", "doc_id")}, doc_id)
+    <= floor(0.1::DOUBLE * count(*) OVER (PARTITION BY lang)) THEN 'validation'
+    ELSE 'train' END AS split
+FROM documents""",
         "build_instruction": f"""WITH {PART_LABELS}
 SELECT {_instruction("part_labels")} AS instruction""",
         "accuracy": f"""WITH RECURSIVE {RESOLVED}
@@ -440,6 +480,7 @@ resolved AS (
   FROM pages JOIN predicted ON id = page_id),
 {_report("resolved")} {FULL_REPORT}""",
         "evaluate_answers": f"WITH RECURSIVE {RESOLVED}, {_report('resolved')} {FULL_REPORT}",
+        "eval_pipeline": f"WITH RECURSIVE {RESOLVED}, {_report('resolved')} {FULL_REPORT}",
         "answer_messages": answered,
         "stream_score": answered,
         "publish_run": f"""WITH RECURSIVE {RESOLVED}

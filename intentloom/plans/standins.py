@@ -46,6 +46,19 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_splits({"train": train, "test": test})
 
 
+def raw_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, text, intent) with copies, blank texts and missing labels."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), "text", F.col("lang").alias("intent")
+    )
+    feed = messages(table(spark, sf_dir, "conversations")).select(
+        (-1 - F.col("conv_id") * 1000 - F.col("turn")).alias("id"),
+        F.col("message").alias("text"),
+        F.when(F.col("turn") % 4 != 3, F.lit("feed")).alias("intent"),
+    )
+    return docs.unionByName(feed)
+
+
 def page_language() -> Column:
     return F.regexp_extract("html", '<html lang="([a-z]+)"', 1)
 
