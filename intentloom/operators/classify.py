@@ -27,7 +27,6 @@ from intentloom.operators.scale import (
 )
 from intentloom.session import settle
 
-MAX_CLASSES = 1_000_000
 FEW_CLASSES = 128
 WORD_BREAK = "[^a-z]+"
 SCORE_DIGITS = 6
@@ -93,6 +92,9 @@ def score_classifier_nb(df: DataFrame, id: str, text: str, model: WordModel) ->
     constants = model.classes.select("label", "log_prior", "log_norm", "vocabulary")
     few = fetch_small(constants, FEW_CLASSES)
     classes = [] if few is None else few.sort_by("label").to_pylist()
+    if few is not None and not classes:  # nothing was learned
+        kind = model.classes.schema["label"].dataType
+        return texts.select("id", F.lit(None).cast(kind).alias("label"))
     words_fit = is_small(model.words, SMALL_WORDS)
     # one weight of 8 bytes per word and class
     columns_fit = sum(c["vocabulary"] for c in classes) * 8 <= SMALL_BYTES
@@ -154,12 +156,13 @@ def _score_seen_classes(tokens: DataFrame, model: WordModel, fits: bool) -> Data
         F.collect_list(F.struct("label", F.log(F.col("n") + 1).alias("weight"))).alias("seen")
     )
     known = _with_model(tokens, by_word, fits)
+    kind = model.classes.schema["label"].dataType
     # the row without a label counts the known tokens of the text
     total = F.struct(
-        F.lit(None).cast("string").alias("label"),
+        F.lit(None).cast(kind).alias("label"),
         F.col("seen").isNotNull().cast("double").alias("weight"),
     )
-    unseen = F.array().cast("array<struct<label:string,weight:double>>")
+    unseen = F.array().cast(f"array<struct<label:{kind.simpleString()},weight:double>>")
     parts = F.concat(F.array(total), F.coalesce("seen", unseen))
     sums = (
         known.select("id", F.inline(parts))
@@ -174,7 +177,8 @@ def _score_seen_classes(tokens: DataFrame, model: WordModel, fits: bool) -> Data
             F.when(F.col("label").isNotNull(), F.struct("label", "weight", "log_prior", "log_norm"))
         ).alias("seen"),
     )
-    other = _best_without_words(model.classes)(F.col("known"))
+    per_text = settle(per_text, "text-scores")
+    others = _best_without_words(per_text.select("known").distinct(), constants)
     known_words = F.transform(
         "seen",
         lambda c: _candidate(
@@ -183,13 +187,13 @@ def _score_seen_classes(tokens: DataFrame, model: WordModel, fits: bool) -> Data
     )
     best = F.aggregate(
         known_words,
-        _candidate(F.col("other.score"), F.col("other.label")),
+        F.col("other"),
         lambda a, b: F.when(
             (b["score"] > a["score"]) | ((b["score"] == a["score"]) & (b["label"] < a["label"])),
             b,
         ).otherwise(a),
     )
-    return per_text.withColumn("other", other).select(
+    return lookup_join(per_text, others, "known", "left", ["id"]).select(
         "id", best.getField("label").alias("label")
     )
 
@@ -198,44 +202,40 @@ def _candidate(score: Column, label: Column) -> Column:
     return F.struct(F.round(score, SCORE_DIGITS).alias("score"), label.alias("label"))
 
 
-def _best_without_words(classes: DataFrame):
-    """UDF: number of known tokens -> best class by prior and norm alone."""
-    table = _small_classes(classes)
-    order = np.argsort(np.array(table.column("label").to_pylist(), dtype=object), kind="stable")
+def _best_without_words(counts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(known, other): for each number of known tokens the best class by prior and norm.
+
+    A corpus of t tokens has at most sqrt(2 t) different text lengths, so these are
+    shared with all tasks; each scores its classes as vectors and passes on the best.
+    """
+    kind = classes.schema["label"].dataType
     shared = classes.sparkSession.sparkContext.broadcast(
-        (
-            [table.column("label")[int(i)].as_py() for i in order],
-            np.asarray(table.column("log_prior"))[order],
-            np.asarray(table.column("log_norm"))[order],
-        )
+        [row["known"] for row in counts.collect()]
     )
-    digits = SCORE_DIGITS
 
-    @F.arrow_udf("struct<score:double,label:string>")
-    def best(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        labels, log_prior, log_norm = shared.value
-        known: dict[float, dict] = {}
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
         for batch in batches:
-            answers = []
-            for count in batch.to_pylist():
-                if count not in known:
-                    scores = np.round(log_prior - count * log_norm, digits)
-                    top = int(np.argmax(scores))
-                    score = log_prior[top] - count * log_norm[top]
-                    known[count] = {"score": float(score), "label": labels[top]}
-                answers.append(known[count])
-            yield pa.array(
-                answers, type=pa.struct([("score", pa.float64()), ("label", pa.string())])
+            batch = batch.sort_by("label")
+            if not len(batch) or not known:
+                continue
+            priors, norms = (np.asarray(batch[c]) for c in ("log_prior", "log_norm"))
+            scores = [priors - count * norms for count in known]
+            places = [int(np.argmax(np.round(s, SCORE_DIGITS))) for s in scores]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(known, pa.float64()),
+                    pa.array([s[k] for s, k in zip(scores, places)], pa.float64()),
+                    batch["label"].take(pa.array(places)),
+                ],
+                names=["known", "score", "label"],
             )
 
-    return best
-
-
-def _small_classes(classes: DataFrame) -> pa.Table:
-    table = fetch_small(classes.select("label", "log_prior", "log_norm"), MAX_CLASSES)
-    if table is None:
-        raise ValueError(f"more than {MAX_CLASSES} classes, or their names are too long")
-    return table
+    columns = f"known double, score double, label {kind.simpleString()}"
+    found = classes.select("label", "log_prior", "log_norm").mapInArrow(best, columns)
+    scored = found.select("known", _candidate(F.col("score"), F.col("label")).alias("other"))
+    first = F.struct(-F.col("other.score"), F.col("other.label"))
+    return scored.groupBy("known").agg(F.min_by("other", first).alias("other"))
 
 
 def train_classifier_ml(
@@ -300,13 +300,15 @@ def load_ml_model(path: str) -> PipelineModel:
 def batch_score_udf(
     df: DataFrame,
     message: str,
-    factory: Callable[[], Callable[[str], str]],
+    factory: Callable[[], Callable],
     normalize: bool = True,
+    batched: bool = False,
 ) -> DataFrame:
     """Add `decoded`, the text a user's scorer gives for each message.
 
-    `factory` runs once per Python worker and returns the scorer. Only the message
-    column goes to Python. With `normalize` the scorer gets the form used in
+    `factory` runs once per Python worker and returns the scorer: from a message to
+    its text, or if `batched` from a list of messages to a list of texts. A worker keeps
+    the scorer it has used last. Only the message column goes to Python. With `normalize` the scorer gets the form used in
     training, otherwise the message is only stripped.
     """
     shelf, token = "intentloom_loaded_scorers", uuid.uuid4().hex
@@ -318,10 +320,12 @@ def batch_score_udf(
         loaded = vars(sys.modules.setdefault(shelf, ModuleType(shelf)))
         scorer = loaded.get(token)
         if scorer is None:
+            loaded.clear()
             scorer = loaded[token] = factory()
         for batch in batches:
-            texts = batch.to_pylist()
-            yield pa.array([None if t is None else scorer(t) for t in texts], pa.string())
+            given = batch.drop_null().to_pylist()
+            answers = iter(scorer(given) if batched else map(scorer, given))
+            yield pa.array([next(answers) if t.is_valid else None for t in batch], pa.string())
 
     return df.withColumn("decoded", score(clean(F.col(message))))
 

@@ -90,7 +90,9 @@ def resolve_prediction(
     """Add y_pred and match_kind ('exact', 'fuzzy' or 'none') to each row.
 
     With a vocabulary within the bound these are two broadcast joins and a UDF: no
-    shuffle, so it runs on streams and does not mind repeated answers.
+    shuffle, and repeated answers do not matter. Beyond it distinct answers are matched
+    with blocks of labels. Streams resolve each micro-batch as a batch, see
+    `streaming.scoring`.
     """
     folded = FoldedVocabulary.of(vocab)
     raw = strip_message(F.col(raw_col))
@@ -187,11 +189,14 @@ def _closest_in_blocks(
     )
 
     length = F.length("folded").cast("double")
-    span = (2.0 - cutoff) / cutoff
-    # one extra character of slack on both ends keeps rounding harmless
-    lowest = F.floor(F.log2(F.greatest(F.floor(length / span) - 1, F.lit(1.0))))
-    highest = F.floor(F.log2(F.ceil(length * span) + 1))
-    classes = F.sequence(lowest.cast("int"), highest.cast("int"))
+    if cutoff > 0:
+        span = (2.0 - cutoff) / cutoff
+        # one extra character of slack on both ends keeps rounding harmless
+        lowest = F.floor(F.log2(F.greatest(F.floor(length / span) - 1, F.lit(1.0))))
+        highest = F.floor(F.log2(F.ceil(length * span) + 1))
+        classes = F.sequence(lowest.cast("int"), highest.cast("int"))
+    else:  # all lengths match
+        classes = F.array(*[F.lit(c) for c in sorted(blocks)])
     key_rows = (
         keys.where("folded != ''")
         .select("folded", F.explode(classes).alias("class"))

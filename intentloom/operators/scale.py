@@ -20,31 +20,54 @@ FAN = 4_096
 
 
 def fetch_small(df: DataFrame, max_rows: int | None = None) -> pa.Table | None:
-    """The whole table if it is within the broadcast bound, else None."""
+    """The whole table if it is within the broadcast bound, else None.
+
+    Rows and bytes are counted where the rows are, so a table beyond the bound sends
+    nothing but that fact to the driver.
+    """
     max_rows = SMALL_ROWS if max_rows is None else max_rows
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows or table.nbytes > SMALL_BYTES:
+    rows = F.collect_list(F.struct(*[F.col(c) for c in df.columns]))
+    sized = df.limit(max_rows + 1).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"),
+        rows.alias("rows"),
+    )
+    fits = (F.col("n") <= max_rows) & (F.col("bytes") <= SMALL_BYTES)
+    found = sized.select(F.when(fits, F.col("rows")).alias("rows")).toArrow().column("rows")
+    if not found[0].is_valid:
         return None
-    return table
+    columns = found[0].values.flatten()
+    return pa.Table.from_arrays(columns, names=df.columns)
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: those of its texts, and eight for any other column."""
+    texts = [f.name for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts]
+    return sum(sizes, F.lit(8 * (len(df.columns) - len(texts)))).cast("bigint")
 
 
 def is_small(stored: DataFrame, max_rows: int) -> bool:
     """Whether a stored table may be broadcast, by its rows and its text bytes."""
-    texts = [F.octet_length(f.name) for f in stored.schema if f.dataType.typeName() == "string"]
     size = stored.agg(
         F.count("*").alias("rows"),
-        F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(_row_bytes(stored)), F.lit(0)).alias("bytes"),
     ).first()
     return size["rows"] <= max_rows and size["bytes"] <= SMALL_BYTES
 
 
 def use_all_cores(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input of fewer files than cores before costly work per row.
+    """Spread a scan of fewer splits than cores before costly work per row.
 
-    Large inputs have more files than that and pass unchanged, without a shuffle.
+    What Spark already splits over all cores passes unchanged, and so does a frame
+    that is not read directly from files.
     """
+    execution = df._jdf.queryExecution()
+    plan = execution.executedPlan().toString()
+    if "FileScan" not in plan or "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
+    splits = execution.toRdd().getNumPartitions()
+    return df if splits >= cores else df.repartition(cores, *keys)
 
 
 def lookup_join(

@@ -578,13 +578,17 @@ def stream_score(spark, sf_dir):
     out, state = fresh_path(spark, "answers"), fresh_path(spark, "state")
     vocab = s.part_labels(spark, sf_dir)
     scoring.stream_score(feed, "message", _score, vocab, out, state).awaitTermination()
-    return spark.read.parquet(out)
+    return scoring.read_stream_scores(spark, out)
 
 
 @query
 def stream_accuracy(spark, sf_dir):
     answers = _extracted(s.generations(s.table_stream(spark, sf_dir, "part")))
-    preds = resolve.resolve_prediction(answers, "raw", s.part_labels(spark, sf_dir))
+    vocab = s.part_labels(spark, sf_dir)
+
+    def resolved(batch: DataFrame) -> DataFrame:
+        return resolve.resolve_prediction(batch, "raw", vocab)
+
     out, state = fresh_path(spark, "marks"), fresh_path(spark, "state")
-    scoring.stream_accuracy(preds, out, state).awaitTermination()
+    scoring.stream_accuracy(answers, out, state, prepare=resolved).awaitTermination()
     return _rounded(scoring.read_stream_accuracy(spark, out), "accuracy")

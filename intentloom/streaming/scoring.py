@@ -1,7 +1,8 @@
 """Continuous scoring and accuracy of a message feed.
 
-Both queries are stateless, so an endless feed needs no growing state, and both
-continue from their checkpoint without losing or doubling rows.
+Every micro-batch is worked on as a batch and stored under its number. Nothing has to
+be kept for the whole feed, and a restart continues from the checkpoint and replaces
+what a broken batch has left, so no row is lost or doubled.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from intentloom.functions import fixed
 from intentloom.functions.text import extract_answer, is_message
-from intentloom.operators.evaluate import merge_accuracy_blocks
+from intentloom.operators.evaluate import accuracy_blocks, merge_accuracy_blocks
 from intentloom.operators.resolve import resolve_prediction
-from intentloom.operators.scale import fetch_small
+
+BATCH = "batch_number"
 
 
 def message_gate(df: DataFrame, col: str) -> DataFrame:
@@ -44,26 +46,42 @@ def stream_score(
     vocab: DataFrame,
     out: str,
     checkpoint: str,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Answer the messages that have arrived and append the results as Parquet.
+    """Answer messages as they arrive, with the batch operators and any vocabulary.
 
-    Needs a vocabulary within the broadcast bound; with a larger one, store the
-    scored feed and run `resolve_prediction` on it as a batch job.
+    `read_stream_scores` reads the answers. `trigger` is that of `writeStream`; the
+    default answers what has arrived and ends.
     """
-    if fetch_small(vocab) is None:
-        raise ValueError("vocabulary too large to resolve on a stream; resolve in batch")
-    return _append(answer_messages(stream, message, scorer, vocab), out, checkpoint)
+
+    def answered(batch: DataFrame) -> DataFrame:
+        return answer_messages(batch, message, scorer, vocab)
+
+    return _each_batch(stream, answered, out, checkpoint, trigger)
+
+
+def read_stream_scores(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.parquet(out).drop(BATCH)
 
 
 def stream_accuracy(
-    stream: DataFrame, out: str, checkpoint: str, every: int = fixed.ACCURACY_EVERY
+    stream: DataFrame,
+    out: str,
+    checkpoint: str,
+    every: int = fixed.ACCURACY_EVERY,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append (block, correct) for each labelled prediction that has arrived."""
-    marks = stream.select(
-        F.floor(F.col("row_id") / every).alias("block"),
-        (F.col("y_true") == F.col("y_pred")).alias("correct"),
-    )
-    return _append(marks, out, checkpoint)
+    """Sums per block of each micro-batch's predictions (row_id, y_true, y_pred).
+
+    `prepare` makes predictions of what the stream delivers, such as resolving raw
+    answers. A micro-batch leaves one row per block, whatever its size.
+    """
+
+    def sums(batch: DataFrame) -> DataFrame:
+        return accuracy_blocks(prepare(batch) if prepare else batch, every)
+
+    return _each_batch(stream, sums, out, checkpoint, trigger)
 
 
 def read_stream_accuracy(
@@ -73,17 +91,26 @@ def read_stream_accuracy(
     blocks = (
         spark.read.parquet(out)
         .groupBy("block")
-        .agg(F.count("*").alias("rows"), F.sum(F.col("correct").cast("int")).alias("correct"))
+        .agg(F.sum("rows").alias("rows"), F.sum("correct").alias("correct"))
     )
     return merge_accuracy_blocks(blocks, every)
 
 
-def _append(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def _each_batch(
+    stream: DataFrame,
+    work: Callable[[DataFrame], DataFrame],
+    out: str,
+    checkpoint: str,
+    trigger: dict | None,
+) -> StreamingQuery:
+    """Store each micro-batch's result under its number; a replay overwrites it."""
+
+    def store(batch: DataFrame, number: int) -> None:
+        work(batch).write.mode("overwrite").parquet(f"{out}/{BATCH}={number}")
+
     return (
-        rows.writeStream.format("parquet")
-        .option("path", out)
+        stream.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows, vocabulary
-from intentloom.operators import evaluate, scale
+from intentloom.operators import evaluate, resolve, scale
 from intentloom.streaming import scoring
 
 FEED = "id bigint, message string"
@@ -33,21 +33,40 @@ def test_a_stream_gives_what_the_batch_gives_and_restarts_without_doubles(spark,
         run()
     run()  # nothing new arrived
     expected = scoring.answer_messages(spark.read.parquet(feed), "message", scorer, vocab)
-    found = spark.read.parquet(out)
+    found = scoring.read_stream_scores(spark, out)
     assert rows(found) == rows(expected.select(*found.columns))
     assert rows(found.select("id", "y_pred", "match_kind")) == [
         (1, "card_arrival", "fuzzy"), (4, "pin", "exact"), (6, "something else", "none")
     ]
 
 
-def test_a_vocabulary_beyond_the_bound_is_refused_on_a_stream(spark, vocab, tmp_path, monkeypatch):
+def test_a_vocabulary_beyond_the_bound_gives_the_same(spark, vocab, tmp_path, monkeypatch):
+    feed, out, state = (f"{tmp_path}/{n}" for n in ("feed", "out", "state"))
+    spark.createDataFrame(sum(BATCHES, []), FEED).write.parquet(feed)
+    expected = rows(scoring.answer_messages(spark.read.parquet(feed), "message", scorer, vocab))
+    monkeypatch.setattr(scale, "SMALL_ROWS", 1)
+    for _ in range(2):  # the second run finds nothing new
+        stream = spark.readStream.schema(FEED).parquet(feed)
+        scoring.stream_score(stream, "message", scorer, vocab, out, state).awaitTermination()
+    assert rows(scoring.read_stream_scores(spark, out)) == expected
+
+
+def test_accuracy_of_raw_answers_with_any_vocabulary(spark, vocab, tmp_path, monkeypatch):
+    feed, out, state = (f"{tmp_path}/{n}" for n in ("feed", "out", "state"))
+    raws = spark.range(200).select(
+        F.col("id").alias("row_id"),
+        F.lit("pin").alias("y_true"),
+        F.when(F.col("id") % 4 == 0, "PIN").when(F.col("id") % 4 == 1, "pim")
+        .otherwise("x").alias("raw"),
+    )
+    raws.write.parquet(feed)
     monkeypatch.setattr(scale, "SMALL_ROWS", 1)
-    (tmp_path / "feed").mkdir()
-    stream = spark.readStream.schema(FEED).parquet(f"{tmp_path}/feed")
-    with pytest.raises(ValueError):
-        scoring.stream_score(
-            stream, "message", scorer, vocab, f"{tmp_path}/out", f"{tmp_path}/state"
-        )
+    stream = spark.readStream.schema(raws.schema).parquet(feed)
+    scoring.stream_accuracy(
+        stream, out, state, prepare=lambda df: resolve.resolve_prediction(df, "raw", vocab)
+    ).awaitTermination()
+    assert spark.read.parquet(out).count() == 1
+    assert rows(scoring.read_stream_accuracy(spark, out)) == [(200, 0.5)]
 
 
 def test_running_accuracy_of_a_stream(spark, tmp_path):
