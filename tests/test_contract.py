@@ -5,10 +5,12 @@ import pytest
 
 import __spark_entry__ as contract
 from helpers import DATA, comparable, table_views
+from intentloom.plans import catalog
 
 SMALL = f"{DATA}/sf0.001"
-QUERIES = contract.queries()
-TWINS = contract.oracle_sql()
+# those of the optional subpackage have tests of their own
+QUERIES = {k: v for k, v in contract.queries().items() if k in catalog.QUERIES}
+TWINS = {k: v for k, v in contract.oracle_sql().items() if k in QUERIES}
 # fitted by an iterative optimizer; the accuracy is checked in test_classify
 WITHOUT_TWIN = {"train_classifier_ml"}
 
