@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,8 +62,9 @@ def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    instruction = corpus.instruction_text(s.source_labels(spark, sf_dir))
-    return corpus.sft_columns(s.clean_documents(spark, sf_dir), instruction)
+    vocab = s.source_labels(spark, sf_dir)
+    instruction = corpus.instruction_text(vocab)
+    return corpus.sft_columns(s.clean_documents(spark, sf_dir, vocab), instruction)
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -145,11 +147,9 @@ def write_label_vocab(spark, sf_dir):
 def write_eval_report(spark, sf_dir):
     path = fresh_path(spark, "report")
     evaluate.write_eval_report(evaluate.full_report(_confusion(spark, sf_dir)), path)
-    lines = spark.read.text(f"{path}/text")
-    figure = t.extract_accuracy(F.col("value"))
-    header = lines.select(figure.alias("accuracy_text")).where("accuracy_text is not null")
+    lines = spark.read.text(f"{path}/text").select(F.col("value").alias("line"))
     table = _rounded(evaluate.read_eval_table(spark, path), "precision", "recall", "f1")
-    return table.unionByName(header, allowMissingColumns=True)
+    return table.unionByName(lines, allowMissingColumns=True)
 
 
 @query
@@ -196,7 +196,18 @@ def snapshot_run(spark, sf_dir):
     }
     ledger.snapshot_run(tables, "run a", root)
     ledger.snapshot_run({**tables, "sample_data": docs}, "run a", root)
-    return ledger.read_snapshots(spark, root, "sample_data")
+    shown = {
+        "outputs": (F.col("p_partkey"), F.concat_ws("/", "p_name", "p_brand")),
+        "sample_data": (F.col("doc_id"), F.concat_ws("/", "lang", "source", "n_chars")),
+        "configs": (F.col("label"), F.col("intent")),
+    }
+    parts = [
+        ledger.read_snapshots(spark, root, name).select(
+            "run_name", F.lit(name).alias("table"), key.alias("key"), value.alias("value")
+        )
+        for name, (key, value) in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- projections and filters ------------------------------------------------------
@@ -554,19 +565,28 @@ def answer_messages(spark, sf_dir):
 
 @query
 def publish_run(spark, sf_dir):
-    """Publish one run under a name and one under its time; the newest of the ledger."""
+    """Publish one run under a name and one under its time; what each has published."""
     root = fresh_path(spark, "artifacts")
     docs, events = (s.table(spark, sf_dir, name) for name in ("documents", "events"))
     times = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
     report = settle(evaluate.full_report(_confusion(spark, sf_dir)), "report")
     tables = {
         "outputs": report,
-        "sample_data": sampling.sample_capped_per_class(docs, "lang", "doc_id"),
+        "sample_data": settle(sampling.sample_capped_per_class(docs, "lang", "doc_id"), "sample"),
         "configs": s.part_labels(spark, sf_dir),
     }
     for name, time in (("a", times["first"]), ("", times["last"])):
         publishing.publish_run(tables, report, root, name, F.to_timestamp_ntz(F.lit(str(time))))
-    return ledger.latest_run(ledger.read_run_ledger(spark, publishing.manifests_of(root)))
+    counts = [
+        ledger.read_snapshots(spark, root, name)
+        .groupBy("run_name", F.lit(name).alias("table"))
+        .agg(F.count("*").alias("rows"))
+        for name in tables
+    ]
+    runs = ledger.read_run_ledger(spark, publishing.manifests_of(root)).select(
+        "run_name", "created_at_utc", "test_accuracy_percent"
+    )
+    return runs.join(reduce(DataFrame.unionByName, counts), "run_name")
 
 
 # --- streams -----------------------------------------------------------------------------------

@@ -297,10 +297,23 @@ UNION ALL SELECT text, 'validation' FROM benchmark""",
         "write_sft_dataset": f"""WITH {RECORDS} SELECT {record_columns},
   CASE WHEN label < 4 THEN 'test' ELSE 'train' END AS split FROM records""",
         "write_label_vocab": f"WITH {PART_LABELS} SELECT intent FROM part_labels",
-        "write_eval_report": f"""WITH RECURSIVE {RESOLVED}, {_report("resolved")}
-SELECT *, NULL::VARCHAR AS accuracy_text FROM ({FULL_REPORT})
-UNION ALL BY NAME
-SELECT {_percent("f1")} AS accuracy_text FROM report WHERE section = 'accuracy'""",
+        "write_eval_report": f"""WITH RECURSIVE {RESOLVED}, {_report("resolved")},
+width AS (
+  SELECT greatest(12, max(length(coalesce(label, section)))) AS w FROM report),
+lines AS (
+  SELECT lpad(coalesce(label, section), CAST(w AS INTEGER), ' ') || ' ' ||
+    lpad(coalesce(printf('%.2f', precision), ''), 10, ' ') ||
+    lpad(coalesce(printf('%.2f', recall), ''), 10, ' ') ||
+    lpad(printf('%.2f', f1), 10, ' ') || lpad(support::VARCHAR, 10, ' ') AS line
+  FROM report, width
+  UNION ALL
+  SELECT repeat(' ', CAST(w AS INTEGER) + 1) || lpad('precision', 10, ' ') ||
+    lpad('recall', 10, ' ') || lpad('f1-score', 10, ' ') || lpad('support', 10, ' ') FROM width
+  UNION ALL
+  SELECT 'Test Accuracy: ' || {_percent("f1")} || '%' FROM report WHERE section = 'accuracy'
+  UNION ALL SELECT unnest([{_quoted(fixed.REPORT_HEADING)}, '', '', '', '']))
+SELECT *, NULL::VARCHAR AS line FROM ({FULL_REPORT})
+UNION ALL BY NAME SELECT line FROM lines""",
         "read_eval_reports": f"""WITH RECURSIVE {RESOLVED}
 SELECT run, {_percent("share")} AS accuracy,
   'Test Accuracy: ' || {_percent("share")} || '%' || chr(10) || chr(10) || 'end' || chr(10)
@@ -310,8 +323,11 @@ FROM (SELECT run, avg(CAST(y_true = y_pred AS INTEGER)) AS share FROM resolved G
         "read_run_ledger": f"""WITH {RUNS} SELECT run_name, created_at_utc, outputs, sample_data,
   configs, test_accuracy_percent, CAST(test_accuracy_percent AS DOUBLE) AS test_accuracy
 FROM runs""",
-        "snapshot_run": """SELECT doc_id, lang, source, n_chars, 'run a' AS run_name
-FROM documents""",
+        "snapshot_run": f"""WITH {PART_LABELS}
+SELECT 'run a' AS run_name, 'sample_data' AS "table", doc_id AS key,
+  lang || '/' || source || '/' || n_chars AS value FROM documents
+UNION ALL SELECT 'run a', 'outputs', p_partkey, p_name || '/' || p_brand FROM part
+UNION ALL SELECT 'run a', 'configs', label, intent FROM part_labels""",
         "normalize_text": f"SELECT doc_id, lower({_strip('text')}) AS text FROM documents",
         "strip_message": f"""WITH {MESSAGES}
 SELECT conv_id, turn, {_strip('message')} AS message FROM messages""",
@@ -483,11 +499,20 @@ resolved AS (
         "eval_pipeline": f"WITH RECURSIVE {RESOLVED}, {_report('resolved')} {FULL_REPORT}",
         "answer_messages": answered,
         "stream_score": answered,
-        "publish_run": f"""WITH RECURSIVE {RESOLVED}
-SELECT strftime(max(ts), 'run_%Y%m%d_%H%M%S_utc') AS run_name,
-  strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%f+00:00') AS created_at_utc,
+        "publish_run": f"""WITH RECURSIVE {RESOLVED},
+published AS (
+  SELECT 'outputs' AS "table",
+    (SELECT count(*) FROM (SELECT y_true FROM resolved UNION SELECT y_pred FROM resolved)) + 3
+      AS rows
+  UNION ALL SELECT 'configs', (SELECT count(*) FROM part_labels)
+  UNION ALL SELECT 'sample_data', (SELECT CAST(sum(least(n, {fixed.TRAIN_ROWS_PER_CLASS})) AS BIGINT)
+    FROM (SELECT count(*) AS n FROM documents GROUP BY lang))),
+runs AS (
+  SELECT 'a' AS run_name, min(ts) AS created FROM events
+  UNION ALL SELECT strftime(max(ts), 'run_%Y%m%d_%H%M%S_utc'), max(ts) FROM events)
+SELECT run_name, strftime(created, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS created_at_utc,
   (SELECT {_percent("avg(CAST(y_true = y_pred AS INTEGER))")} FROM resolved)
-    AS test_accuracy_percent
-FROM events""",
+    AS test_accuracy_percent, "table", rows
+FROM runs, published""",
         "stream_accuracy": f"WITH RECURSIVE {RESOLVED} {_running('resolved')}",
     }

@@ -146,7 +146,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_documents(spark: SparkSession, sf_dir: str, vocab: DataFrame) -> DataFrame:
     """(doc_id, text, label, intent) ready for records: normalized and labelled."""
     rows = documents(spark, sf_dir).withColumn("text", normalize_text(F.col("text")))
-    return lookup_join(rows, source_labels(spark, sf_dir), "intent", "inner", ["doc_id"])
+    return lookup_join(rows, vocab, "intent", "inner", ["doc_id"])
