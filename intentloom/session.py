@@ -39,9 +39,28 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Paths that were handed out, by application.
+_HANDED_OUT: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing was written to yet."""
-    return f"{shared_folder(spark)}/intentloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/intentloom/{name}-{uuid.uuid4().hex}"
+    _HANDED_OUT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this application has put under fresh paths; returns how many.
+
+    Results that still read from there can no longer be computed.
+    """
+    paths = _HANDED_OUT.pop(spark.sparkContext.applicationId, [])
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(configuration).delete(place, True)
+    return len(paths)
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:

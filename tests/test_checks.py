@@ -1,8 +1,11 @@
 """Cleaning, checks of a corpus, splits and comparison of runs."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from helpers import executed_plan, rows, vocabulary
+from intentloom import session
 from intentloom.operators import checks, classify, evaluate, resolve, sampling, scale
 
 CORPUS = "id bigint, text string, intent string"
@@ -108,6 +111,16 @@ def test_a_cutoff_of_zero_on_both_paths(spark, monkeypatch):
     assert rows(resolve.fuzzy_match_label(raws, vocab, 0.0)) == small
 
 
+def test_release_empties_what_was_written(spark):
+    shared = session.shared_folder(spark)
+    session.release(spark)
+    kept = session.settle(spark.range(5), "five")
+    assert rows(kept) == [(k,) for k in range(5)]
+    assert list(Path(shared.removeprefix("file:"), "intentloom").glob("five-*"))
+    assert session.release(spark) == 1 and session.release(spark) == 0
+    assert not list(Path(shared.removeprefix("file:"), "intentloom").glob("five-*"))
+
+
 def test_batched_scorers_and_nulls(spark):
     feed = spark.createDataFrame([("A",), (None,), ("b",)], "m string")
 
