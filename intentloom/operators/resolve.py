@@ -19,7 +19,8 @@ from intentloom.session import settle
 
 # Above the broadcast bound labels are matched in blocks of about this many.
 BLOCK_LABELS = 5_000
-BLOCK_SPREAD = 16
+# Each block is matched by as many tasks as there are this many distinct answers.
+KEYS_PER_TASK = 20_000
 
 
 @dataclass
@@ -160,7 +161,8 @@ def _closest_in_blocks(
 
     A ratio of at least the cutoff limits how far two lengths can be apart, so
     labels are laid out by length class (powers of two) and split into blocks of
-    bounded size. Each key visits the blocks of the classes it can match. Keys and
+    bounded size. Each key visits the blocks of the classes it can match, in one of as
+    many tasks per block as the number of keys asks for. Keys and
     labels meet in one sorted partition stream, labels first: a task holds one
     block of labels, and no pair ever becomes a row.
     """
@@ -178,8 +180,10 @@ def _closest_in_blocks(
         ).where(F.lit(False))
     block_count = F.create_map(*[F.lit(v) for pair in sorted(blocks.items()) for v in pair])
 
+    keys = settle(keys, "keys")
+    spread = max(1, -(-keys.count() // KEYS_PER_TASK))
     block_of_label = F.pmod(F.xxhash64("folded"), block_count[F.col("class")])
-    spreads = F.explode(F.sequence(F.lit(0), F.lit(BLOCK_SPREAD - 1))).alias("spread")
+    spreads = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("spread")
     label_rows = labels.select(
         "class",
         block_of_label.cast("int").alias("block"),
@@ -204,7 +208,7 @@ def _closest_in_blocks(
         .select(
             "class",
             F.explode(F.sequence(F.lit(0), block_count[F.col("class")] - 1)).alias("block"),
-            F.pmod(F.xxhash64("folded"), F.lit(BLOCK_SPREAD)).cast("int").alias("spread"),
+            F.pmod(F.xxhash64("folded"), F.lit(spread)).cast("int").alias("spread"),
             F.lit(1).alias("kind"),
             "folded",
         )

@@ -40,7 +40,7 @@ def path(request, monkeypatch):
     if request.param == "blocks":
         monkeypatch.setattr(scale, "SMALL_ROWS", 2)
         monkeypatch.setattr(resolve, "BLOCK_LABELS", 2)
-        monkeypatch.setattr(resolve, "BLOCK_SPREAD", 3)
+        monkeypatch.setattr(resolve, "KEYS_PER_TASK", 2)
     return request.param
 
 
