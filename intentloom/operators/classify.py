@@ -56,20 +56,20 @@ def train_classifier_nb(df: DataFrame, text: str, label: str) -> WordModel:
     """Count words per class; the counts are written to the shared folder once."""
     labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull())
     texts = labelled.select(F.col(label).alias("label"), F.col(text).alias("text"))
-    words = (
-        use_all_cores(texts)
-        .select("label", F.explode(_words("text")).alias("word"))
-        .where("word != ''")
-        .groupBy("label", "word")
-        .agg(F.count("*").alias("n"))
+    # splitting gives every text a first part, so the first parts count the texts
+    parts = use_all_cores(texts).select("label", F.posexplode(_words("text")).alias("pos", "word"))
+    stored = settle(
+        parts.groupBy("label", "word").agg(
+            F.count("*").alias("n"), F.count_if(F.col("pos") == 0).alias("first")
+        ),
+        "word-counts",
     )
-    words = settle(words, "word-counts")
+    words = stored.where("word != ''").select("label", "word", "n")
     vocabulary = words.select("word").distinct().count()
-    docs = labelled.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("docs"))
-    tokens = words.groupBy("label").agg(F.sum("n").alias("tokens"))
     counted = settle(
-        docs.join(tokens, "label", "left").select(
-            "label", "docs", F.coalesce("tokens", F.lit(0)).alias("tokens")
+        stored.groupBy("label").agg(
+            F.sum("first").alias("docs"),
+            F.sum(F.when(F.col("word") != "", F.col("n")).otherwise(0)).alias("tokens"),
         ),
         "classes",
     )
