@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from intentloom.llm.shared import once, unused
+from intentloom.llm.shared import once, slices, unused
 
 #: Words are runs of letters and digits; bytes from 0x80 on belong to words.
 _WORD = bytes(
@@ -183,10 +183,10 @@ def match_udf(items: object, window: int) -> Callable:
     @F.arrow_udf(FOUND_DDL)
     def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = _automaton(items.value, window)
-        for batch in batches:
+        for part in slices(batches):
             rows = []
-            for text in batch:
-                words = words_of(text.as_py() or "")
+            for text in part.to_pylist():
+                words = words_of(text or "")
                 runs, names = automaton.hits(words)
                 spans = [{"start": a, "end": b} for a, b in runs]
                 rows.append({"n_words": len(words), "hits": spans, "items": sorted(names)})

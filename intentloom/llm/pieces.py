@@ -23,18 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from intentloom.llm.shared import lists, once
+from intentloom.llm.shared import lists, once, slices
 
 SPACE = "▁"
 REPLACEMENT = "�"
 NO_PIECE = float("-inf")
 #: Segments kept with their ids per worker, in two generations of this size each,
 #: and the longest segment that is kept.
-KEPT_SEGMENTS = 400_000
+KEPT_SEGMENTS = 150_000
 KEPT_LENGTH = 64
-KEPT_PAIRS = 1_000_000
-#: Rows that are encoded between two output batches.
-ROWS = 512
+KEPT_PAIRS = 200_000
 
 
 class PieceCoder:
@@ -216,6 +214,10 @@ class PieceCoder:
             self.known[text] = ids = tuple(ids)  # tuples of numbers cost the garbage collector nothing
         return ids
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts; idle workers hold the model alone."""
+        self.known, self.earlier, self.beside = {}, {}, {}
+
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
@@ -297,21 +299,16 @@ def piece_udf(spark: SparkSession, model_path: str) -> Callable:
     @F.arrow_udf(f"struct<{ENCODED_DDL.replace(' ', ':', 1).replace('decoded ', 'decoded:')}>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = coder(model.value)
-        for batch in batches:
-            parts = []
-            for start in range(0, len(batch), ROWS):
-                ids, texts = [], []
-                for text in batch.slice(start, ROWS).to_pylist():
-                    numbers = own.encode(text or "")
-                    texts.append(own.decode(numbers))
-                    ids.append(np.array(numbers, dtype=np.int32))
-                parts.append(
-                    pa.StructArray.from_arrays(
-                        [lists(ids, pa.int32()), pa.array(texts, pa.string())],
-                        fields=list(ENCODED),
-                    )
-                )
-            yield pa.concat_arrays(parts) if parts else pa.array([], ENCODED)
+        for part in slices(batches):
+            ids, texts = [], []
+            for text in part.to_pylist():
+                numbers = own.encode(text or "")
+                texts.append(own.decode(numbers))
+                ids.append(np.array(numbers, dtype=np.int32))
+            yield pa.StructArray.from_arrays(
+                [lists(ids, pa.int32()), pa.array(texts, pa.string())], fields=list(ENCODED)
+            )
+        own.forget()
 
     return encode
 

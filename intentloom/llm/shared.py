@@ -27,6 +27,19 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows of a batch that are worked on, and answered, at a time.
+ROWS = 512
+
+
+def slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The batches in small parts; at the end of a task its free memory is given back."""
+    for batch in batches:
+        for start in range(0, len(batch), ROWS):
+            yield batch.slice(start, ROWS)
+        del batch
+    pa.default_memory_pool().release_unused()
+
+
 def per_text(kind: pa.DataType, ddl: str, make: Callable[[], Callable]) -> Callable:
     """Arrow UDF from a text (null: empty) to one value.
 
@@ -37,8 +50,8 @@ def per_text(kind: pa.DataType, ddl: str, make: Callable[[], Callable]) -> Calla
     @F.arrow_udf(ddl)
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         function = make()
-        for batch in batches:
-            yield pa.array([function(text.as_py() or "") for text in batch], type=kind)
+        for part in slices(batches):
+            yield pa.array([function(text or "") for text in part.to_pylist()], type=kind)
 
     return apply
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from intentloom.llm.shared import unused
+from intentloom.llm.shared import slices, unused
 from intentloom.operators.scale import SMALL_ROWS, is_small
 from intentloom.session import settle
 
@@ -223,10 +223,10 @@ _OUT = pa.struct(
 def _keys_udf() -> Callable:
     @F.arrow_udf(_ENTITY_DDL)
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for part in slices(batches):
             rows = []
-            for text in batch:
-                text = text.as_py() or ""
+            for text in part.to_pylist():
+                text = text or ""
                 seen = {(k, entity_key(k, text[a:b])) for a, b, k in find_entities(text)}
                 rows.append([{"kind": k, "key": v} for k, v in sorted(seen)])
             yield pa.array(rows, type=_ENTITY)
@@ -251,7 +251,9 @@ def _replace_udf(secret: str, exceptions: object) -> Callable:
         batches: Iterator[tuple[pa.Array, pa.Array]],
     ) -> Iterator[pa.Array]:
         shared = exceptions.value
-        for texts, own in batches:
+        pairs = (pa.StructArray.from_arrays([*pair], names=["text", "own"]) for pair in batches)
+        for part in slices(pairs):
+            texts, own = part.field("text"), part.field("own")
             rows = []
             for text, more in zip(texts.to_pylist(), own.to_pylist()):
                 attempts = {(e["kind"], e["key"]): e["attempt"] for e in more or ()} or shared
