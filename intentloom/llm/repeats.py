@@ -8,16 +8,17 @@ from the border, so:
 
 - a cell whose name stands alone in the corpus holds no repeated window;
 - where all cells of a name are equal throughout, all their windows are repeated;
-- only in the cells of the other names, at the ends of repeated passages, are single
-  windows compared, by their own hash.
+- only the cells of the other names, at the ends of repeated passages, are cut into
+  small cells that go through the same, and of what is left single windows are
+  compared, by their own hash.
 
-Only names and counts are shuffled for all of the corpus, about one cell per 70
-bytes, and windows for passage ends alone.
+Only names and counts are shuffled for all of the corpus, about one cell per 50
+bytes, small cells and windows for passage ends alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +32,22 @@ from intentloom.session import settle
 SPAN = 400
 #: Bytes that a border depends on.
 TRIGGER = 24
+#: Windows of the small cells at the ends of repeated passages.
+SMALL_CELL = 8
+#: Rows of a batch that are worked on at a time.
+ROWS = 256
 #: One border in so many bytes; each further level serves windows without any so far.
 LEVELS = (192, 48, 8)
 BASE = 0x9E3779B97F4A7C15
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
-CELL_DDL = "array<struct<name:bigint,content:bigint,start:int,size:int>>"
+CELL_DDL = "array<struct<name:bigint,content:bigint,start:int,size:int,lead:int>>"
 _CELL_FIELDS = (
     ("name", pa.int64()),
     ("content", pa.int64()),
     ("start", pa.int32()),
     ("size", pa.int32()),
+    ("lead", pa.int32()),  # from the first window to its first border
 )
 
 
@@ -79,11 +85,11 @@ def _changes(borders: np.ndarray, last: int) -> np.ndarray:
     return moves[(moves > 0) & (moves <= last)]
 
 
-def cells(data: bytes) -> tuple[list[int], list[int], np.ndarray, np.ndarray]:
-    """Names, contents, first window starts and numbers of windows of a text's cells."""
+def cells(data: bytes) -> tuple[np.ndarray, ...]:
+    """A text's cells as columns, see _CELL_FIELDS."""
     last = len(data) - SPAN
     if last < 0:
-        return [], [], np.empty(0, np.int64), np.empty(0, np.int64)
+        return _columns([])
     hashes = border_hashes(np.frombuffer(data, dtype=np.uint8))
     levels = [np.flatnonzero(hashes % np.uint64(p) == 0) + TRIGGER for p in LEVELS]
     starts = np.unique(np.append(_changes(levels[0], last), 0))
@@ -108,18 +114,42 @@ def cells(data: bytes) -> tuple[list[int], list[int], np.ndarray, np.ndarray]:
             ends = [np.where(empty[of_cell], new, old) for new, old in zip(again, ends)]
         starts, held = all_starts, ends
     sizes = np.diff(np.append(starts, last + 1))
-    names, contents = [], []
     digest = xxhash.xxh3_64_intdigest
+    found = []
     rows = zip(starts.tolist(), sizes.tolist(), held[0].tolist(), held[1].tolist())
     for start, size, first, end in rows:
         if first > end:  # no border at all: a cell of one window, named by its bytes
             name = content = digest(data[start : start + SPAN], 1)
+            first = start
         else:
             name = digest(data[first - TRIGGER : end])
             content = digest(data[start : start + size - 1 + SPAN], first - start)
-        names.append(name)
-        contents.append(content)
-    return names, contents, starts, sizes
+        found.append((name, content, start, size, first - start))
+    return _columns(found)
+
+
+def small_cells(data: bytes, wanted: list[dict], width: int) -> tuple[np.ndarray, ...]:
+    """The cells cut where the distance to their border passes a multiple of `width`."""
+    digest = xxhash.xxh3_64_intdigest
+    found = []
+    for cell in wanted:
+        named = cell["name"].to_bytes(8, "little", signed=True)
+        at, end = cell["start"], cell["start"] + cell["size"]
+        border = at + cell["lead"]
+        while at < end:
+            lead = border - at
+            step = min(end - at, lead % width + 1)
+            name = digest(named, lead // width + 1)
+            content = digest(data[at : at + step - 1 + SPAN], lead)
+            found.append((name, content, at, step, lead))
+            at += step
+    return _columns(found)
+
+
+def _columns(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    names, contents, *rest = zip(*rows) if rows else [()] * len(_CELL_FIELDS)
+    places = [np.array(column, dtype=np.int32) for column in rest]
+    return _signed(names), _signed(contents), *places
 
 
 def _ends(starts: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,61 +160,49 @@ def _ends(starts: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return first, last
 
 
-def _signed(values: list[int]) -> np.ndarray:
+def _signed(values: Sequence[int]) -> np.ndarray:
     return np.array(values, dtype=np.uint64).view(np.int64)
 
 
+def _cell_lists(texts: list[tuple[np.ndarray, ...]]) -> pa.Array:
+    """Arrow list array of the cells of several texts."""
+    arrays = [
+        lists([text[k] for text in texts], kind) for k, (_, kind) in enumerate(_CELL_FIELDS)
+    ]
+    rows = pa.StructArray.from_arrays(
+        [a.values for a in arrays], fields=[pa.field(*f) for f in _CELL_FIELDS]
+    )
+    return pa.ListArray.from_arrays(arrays[0].offsets, rows)
+
+
+def _slices(*arrays: pa.Array) -> Iterator[tuple[list, ...]]:
+    for start in range(0, len(arrays[0]), ROWS):
+        yield tuple(a.slice(start, ROWS).to_pylist() for a in arrays)
+
+
 def cells_udf() -> Callable:
     @F.arrow_udf(CELL_DDL)
     def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], []]
-            for text in batch:
-                names, contents, starts, sizes = cells((text.as_py() or "").encode())
-                for column, values in zip(
-                    columns, (_signed(names), _signed(contents), starts, sizes)
-                ):
-                    column.append(values)
-            arrays = [lists(c, kind) for c, (_, kind) in zip(columns, _CELL_FIELDS)]
-            rows = pa.StructArray.from_arrays(
-                [a.values for a in arrays], fields=[pa.field(*f) for f in _CELL_FIELDS]
-            )
-            yield pa.ListArray.from_arrays(arrays[0].offsets, rows)
+            for (texts,) in _slices(batch):
+                yield _cell_lists([cells((t or "").encode()) for t in texts])
 
     return parse
 
 
-_WINDOW_DDL = "array<struct<name:bigint,window:bigint,start:int>>"
-_WINDOW = pa.list_(
-    pa.struct([("name", pa.int64()), ("window", pa.int64()), ("start", pa.int32())])
-)
-
+def _small_cells_udf(width: int) -> Callable:
+    """Arrow UDF: (row, its cells to cut) -> small cells."""
 
-def _windows_udf() -> Callable:
-    """Arrow UDF: (row, its cells to compare) -> every window of these cells with its hash."""
-
-    @F.arrow_udf(_WINDOW_DDL)
-    def windows(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        digest = xxhash.xxh3_64_intdigest
+    @F.arrow_udf(CELL_DDL)
+    def refine(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for rows, wanted in batches:
-            found = []
-            for text, own in zip(rows.field("text").to_pylist(), wanted.to_pylist()):
-                data = (text or "").encode()
-                places = [
-                    (c["name"], at)
-                    for c in own or ()
-                    for at in range(c["start"], c["start"] + c["size"])
-                ]
-                hashes = _signed([digest(data[at : at + SPAN]) for _, at in places]).tolist()
-                found.append(
-                    [
-                        {"name": name, "window": h, "start": at}
-                        for (name, at), h in zip(places, hashes)
-                    ]
+            for texts, own in _slices(rows.field("text"), wanted):
+                pairs = zip(texts, own)
+                yield _cell_lists(
+                    [small_cells((t or "").encode(), c or [], width) for t, c in pairs]
                 )
-            yield pa.array(found, type=_WINDOW)
 
-    return windows
+    return refine
 
 
 CUT_DDL = "struct<kept:binary,n_bytes:bigint,n_removed:bigint,n_spans:bigint>"
@@ -216,19 +234,15 @@ def cut(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> dict:
 
 def _cut_udf() -> Callable:
     @F.arrow_udf(CUT_DDL)
-    def remove(
-        batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]],
-    ) -> Iterator[pa.Array]:
-        for texts, wholes, singles in batches:
-            rows = []
-            for text, whole, single in zip(
-                texts.to_pylist(), wholes.to_pylist(), singles.to_pylist()
-            ):
-                spans = [(c["start"], c["size"]) for c in whole or ()]
-                spans += [(at, 1) for at in single or ()]
-                table = np.array(spans, dtype=np.int64).reshape(-1, 2)
-                rows.append(cut((text or "").encode(), table[:, 0], table[:, 1]))
-            yield pa.array(rows, type=_CUT)
+    def remove(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, spans in batches:
+            for part, own in _slices(texts, spans):
+                rows = []
+                for text, found in zip(part, own):
+                    places = [(c["start"], c["size"]) for c in found or ()]
+                    table = np.array(places, dtype=np.int64).reshape(-1, 2)
+                    rows.append(cut((text or "").encode(), table[:, 0], table[:, 1]))
+                yield pa.array(rows, type=_CUT)
 
     return remove.asNondeterministic()  # else each field of the result would run it anew
 
@@ -263,45 +277,46 @@ def remove_repeats(
     )
     parsed = keyed.where(F.octet_length("text") >= SPAN).select(
         "key", "tag", F.explode(cells_udf()(F.col("text"))).alias("cell")
-    ).select("key", "tag", "cell.*")
+    )
+    coarse = settle(_repeated(parsed.select("key", "tag", "cell.*")), "repeated-cells")
+    # lazy from here on: with the same columns Spark shuffles the texts once for all three uses
+    fine = _repeated(_cut_small(keyed, coarse, SMALL_CELL))
+    windows = _cut_small(keyed, fine, 1)
+    twice = windows.groupBy("name", "content").count().where("count > 1").drop("count")
+    single = windows.join(twice, ["name", "content"]).groupBy("key", "tag")
+    single = single.agg(F.collect_set(F.struct("start", "size")).alias("whole"))
+    spans = coarse.select("key", "tag", "whole")
+    spans = spans.unionByName(fine.select("key", "tag", "whole")).unionByName(single)
+    spans = spans.groupBy("key", "tag").agg(F.flatten(F.collect_list("whole")).alias("whole"))
+    return (
+        keyed.join(spans, ["key", "tag"], "left")
+        .select(F.col("id").alias(id_col), _cut_udf()(F.col("text"), F.col("whole")).alias("_cut"))
+        .select(id_col, "_cut.*")
+    )
+
+
+def _repeated(found: DataFrame) -> DataFrame:
+    """Per text the cells whose windows are all repeated (`whole`), and those whose name
+    stands elsewhere with other content (`mixed`). Cells of a name of its own are left out."""
     names = (
-        parsed.groupBy("name")
+        found.groupBy("name")
         .agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b"))
         .where("n > 1")
         .select("name", (F.col("a") == F.col("b")).alias("alike"))
     )
-    cell = F.struct("start", "size")
-    marked = (
-        parsed.select("key", "tag", "name", "start", "size")
+    whole = F.when(F.col("alike"), F.struct("start", "size"))
+    mixed = F.when(~F.col("alike"), F.struct("name", "start", "size", "lead"))
+    return (
+        found.drop("content")
         .join(names, "name")
         .groupBy("key", "tag")
-        .agg(
-            F.collect_set(F.when(F.col("alike"), cell)).alias("whole"),
-            F.collect_set(F.when(~F.col("alike"), F.struct("name", "start", "size"))).alias("mixed"),
-        )
-    )
-    marked = settle(marked, "repeated-cells")
-    met = keyed.join(marked, ["key", "tag"], "left")
-    # the row as a whole goes in: with the same columns Spark shuffles texts once for both uses
-    windows = met.where(F.size("mixed") > 0).select(
-        "key",
-        "tag",
-        F.explode(
-            _windows_udf()(F.struct("id", "text", "key", "tag"), F.col("mixed"))
-        ).alias("w"),
-    ).select("key", "tag", "w.*")
-    twice = windows.groupBy("name", "window").count().where("count > 1").drop("count")
-    singles = (
-        windows.join(twice, ["name", "window"])
-        .groupBy("key", "tag")
-        .agg(F.collect_set("start").alias("singles"))
-    )
-    return (
-        met.join(singles, ["key", "tag"], "left")
-        .select(
-            F.col("id").alias(id_col),
-            _cut_udf()(F.col("text"), F.col("whole"), F.col("singles")).alias("_cut"),
-        )
-        .select(id_col, "_cut.*")
+        .agg(F.collect_set(whole).alias("whole"), F.collect_set(mixed).alias("mixed"))
     )
 
+
+def _cut_small(keyed: DataFrame, marked: DataFrame, width: int) -> DataFrame:
+    """The small cells of the mixed cells of every text."""
+    met = keyed.join(marked.select("key", "tag", "mixed").where(F.size("mixed") > 0), ["key", "tag"])
+    row = F.struct("id", "text", "key", "tag")
+    cut_up = F.explode(_small_cells_udf(width)(row, F.col("mixed"))).alias("cell")
+    return met.select("key", "tag", cut_up).select("key", "tag", "cell.*")
