@@ -129,18 +129,22 @@ def cells(data: bytes) -> tuple[np.ndarray, ...]:
 
 
 def small_cells(data: bytes, wanted: list[dict], width: int) -> tuple[np.ndarray, ...]:
-    """The cells cut where the distance to their border passes a multiple of `width`."""
+    """The cells cut where the distance to their border passes a multiple of `width`.
+
+    A small cell is named by the bytes that all windows of its distances have in common,
+    so cells that share no window mostly have names of their own.
+    """
     digest = xxhash.xxh3_64_intdigest
     found = []
     for cell in wanted:
-        named = cell["name"].to_bytes(8, "little", signed=True)
         at, end = cell["start"], cell["start"] + cell["size"]
         border = at + cell["lead"]
         while at < end:
             lead = border - at
             step = min(end - at, lead % width + 1)
-            name = digest(named, lead // width + 1)
-            content = digest(data[at : at + step - 1 + SPAN], lead)
+            inside = border - lead // width * width
+            name = digest(data[inside : inside - width + 1 + SPAN], lead // width)
+            content = digest(data[at : at + step - 1 + SPAN], ~lead & 0xFFFFFFFF)
             found.append((name, content, at, step, lead))
             at += step
     return _columns(found)
@@ -305,7 +309,7 @@ def _repeated(found: DataFrame) -> DataFrame:
         .select("name", (F.col("a") == F.col("b")).alias("alike"))
     )
     whole = F.when(F.col("alike"), F.struct("start", "size"))
-    mixed = F.when(~F.col("alike"), F.struct("name", "start", "size", "lead"))
+    mixed = F.when(~F.col("alike"), F.struct("start", "size", "lead"))
     return (
         found.drop("content")
         .join(names, "name")
