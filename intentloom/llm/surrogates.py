@@ -69,6 +69,8 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
                 found += _names(match, rank)
             else:
                 group = 1 if kind == "secret" else 0
+                if kind == "secret" and _masked(match[group]):
+                    continue
                 found.append((match.start(group), rank, match.end(group), kind))
     kept: list[tuple[int, int, str]] = []
     for start, _, end, kind in sorted(found):
@@ -77,6 +79,11 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
     return kept
 
 
+def _masked(value: str) -> bool:
+    """Whether a sign repeated stands where a secret was."""
+    return len(set(value)) == 1 and not value[0].isalnum()
+
+
 def _names(match: re.Match, rank: int) -> list[tuple[int, int, int, str]]:
     """The words of a name: a given name of the title's gender, then the surname."""
     gender = GENDER[match[1]]
@@ -112,26 +119,43 @@ def _numbers(secret: str, kind: str, key: str, attempt: int) -> Iterator[int]:
         block += 1
 
 
+#: Attempts from which signs are drawn, domains are drawn again, and surrogates get longer.
+SIGNS_FROM, DOMAINS_FROM, LONGER_FROM = 2, 4, 8
+SIGNS = "!#$%&*+-./:;=?@^_~"
+
+
 def surrogate_key(secret: str, kind: str, key: str, attempt: int) -> str:
-    """The key of the surrogate: as long as the value's, names apart."""
+    """The key of the surrogate: as long as the value's, names apart.
+
+    What can be drawn grows with the attempt, and in the end with its length, so
+    every value gets one, whatever it consists of and however many are taken.
+    """
     draw = _numbers(secret, kind, key, attempt)
+    longer = max(0, attempt + 1 - LONGER_FROM)
     if kind == "ip":
-        return ".".join(str(1 + next(draw) % 254) for _ in range(4))
+        return ".".join(str(1 + next(draw) % 254) for _ in range(4 + longer))
     if kind in ("surname", "given_m", "given_f"):
-        return _invented_name(kind, key, draw)
+        return _invented_name(kind, key + 2 * longer * "x" if longer else key, draw)
     if kind == "email":
         local, _, domain = key.rpartition("@")
         hosts, _, top = domain.rpartition(".")
-        # one domain has one surrogate, whoever writes from it
-        of_host = _numbers(secret, "domain", hosts, 0)
-        return f"{_like(local, draw)}@{_like(hosts, of_host)}.{top}"
+        # one domain has one surrogate, whoever writes from it, unless its addresses run out
+        of_host = _numbers(secret, "domain", hosts, max(0, attempt + 1 - DOMAINS_FROM))
+        return f"{_like(local + longer * 'a', draw)}@{_like(hosts, of_host)}.{top}"
     if kind == "iban":
-        return key[:2] + _like(key[2:], draw)
+        return key[:2] + _like(key[2:] + longer * "0", draw)
+    if kind in ("card", "phone"):
+        key += longer * "0"
     if kind == "card" and _checks(key):
         new = _like(key[:-1], draw)
         return next(new + d for d in "0123456789" if _checks(new + d))
     if kind == "secret" and _HEX.fullmatch(key):
-        return "".join(_hex_digit(c, draw) for c in key)
+        return "".join(_hex_digit(c, draw) for c in key + longer * "0")
+    if kind == "secret":
+        key += longer * "a"
+        if attempt >= SIGNS_FROM:
+            parts = (_drawn(c, draw) if c.isalnum() else SIGNS[next(draw) % len(SIGNS)] for c in key)
+            return "".join(parts)
     return _like(key, draw)
 
 
@@ -154,9 +178,19 @@ def _drawn(c: str, draw: Iterator[int]) -> str:
         if first <= c <= last:
             letters = [chr(k) for k in range(ord(first), ord(last) + 1) if chr(k).isalpha()]
             return letters[next(draw) % len(letters)]
+    if c.isalpha():  # other letters: of the same 64 code points and case
+        block = map(chr, range(ord(c) & ~63, (ord(c) & ~63) + 64))
+        letters = [x for x in block if x.isalpha() and _case(x) == _case(c)]
+        return letters[next(draw) % len(letters)]
     return c
 
 
+def _case(letter: str) -> tuple:
+    """What a letter and its replacement have in common: case, and whether it keeps its length."""
+    lengths = len(letter.upper()), len(letter.casefold())
+    return letter.isupper(), letter.islower(), *lengths
+
+
 def _checks(digits: str) -> bool:
     """The check digit of card numbers."""
     doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
@@ -182,7 +216,7 @@ def written_like(kind: str, written: str, surrogate: str) -> str:
         return surrogate
     if kind in ("phone", "card"):
         digits = iter(surrogate)
-        return "".join(next(digits) if c.isdigit() else c for c in written)
+        return "".join(next(digits) if c.isdigit() else c for c in written) + "".join(digits)
     characters = iter(surrogate)
     parts = []
     for c in written:
@@ -191,7 +225,7 @@ def written_like(kind: str, written: str, surrogate: str) -> str:
             continue
         new = next(characters, "")
         parts.append(new.upper() if c.isupper() else new)
-    return "".join(parts)
+    return "".join([*parts, *characters])
 
 
 _ENTITY_DDL = "array<struct<kind:string,key:string>>"
@@ -282,7 +316,9 @@ def surrogate_table(entities: DataFrame, secret: str) -> DataFrame:
     `entities` is a stored table of distinct (kind, key). No surrogate is a real value
     of its kind in the corpus either. In each round the smallest value keeps a
     surrogate that several have drawn, and the others draw again; rounds end when
-    none is left, and each has a vanishing part of the values of the one before.
+    none is left, and each has a vanishing part of the values of the one before. A
+    value with nothing to draw takes a few rounds more, until other signs or a longer
+    surrogate are drawn for it.
     """
     draw = _surrogate_udf(secret)
     real = entities.select("kind", F.col("key").alias("surrogate"))

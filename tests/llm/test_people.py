@@ -110,6 +110,27 @@ def test_no_two_values_share_a_surrogate(spark):
     assert not {(r["kind"], r["surrogate"]) for r in found} & set(rows)
 
 
+def test_values_with_nothing_to_draw_get_surrogates(spark):
+    rows = [("secret", v) for v in ("!?!?!?!?", "漢字漢字漢字漢字", "¡¿¡¿¡¿¡¿", "ёёёёёёёё", "ﬁﬁﬁﬁﬁﬁﬁﬁ")]
+    rows += [("email", f"{c}@b.de") for c in "abcdefghijklmnopqrstuvwxyz_%+"]
+    table = settle(spark.createDataFrame(rows, "kind string, key string"))
+    found = surrogates.surrogate_table(table, "key").collect()
+    assert len(found) == len(rows) == len({(r["kind"], r["surrogate"]) for r in found})
+    assert not {(r["kind"], r["surrogate"]) for r in found} & set(rows)
+    for kind, key in (("phone", "01512345678"), ("iban", "de89370400440532013000"), ("card", "4" * 16),
+                      ("surname", "weber"), ("ip", "1.2.3.4"), ("secret", "0" * 8), ("email", "a@b.de")):
+        early, late = (surrogates.surrogate_key("key", kind, key, n) for n in (0, 30))
+        assert len(late) > len(early)
+        assert surrogates.written_like(kind, key, late).casefold() == late
+
+
+def test_masks_are_no_secrets(spark):
+    text = 'password = "********" and password = "••••••••"'
+    assert surrogates.find_entities(text) == []
+    docs = spark.createDataFrame([(1, text, "x", "y")], SCHEMA)
+    assert surrogates.replace_entities(docs, "key", "out").first()["out"]["text"] == text
+
+
 def test_collisions_are_drawn_again_and_reach_the_texts(spark, monkeypatch):
     real = surrogates.surrogate_key
 
