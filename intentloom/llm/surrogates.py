@@ -41,19 +41,28 @@ NAMES = {
 }
 
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)?"
-#: Each kind's pattern; all have bounded repeats, so long texts cost no more per character.
+_KEY = r"(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}"
+#: Each kind's pattern; repeats are bounded, or end where no other match can have begun, so
+#: long texts cost no more per character. Secrets without quotes have a digit near their start.
 PATTERNS = {
     "email": r"(?<![\w.%+-])[\w.%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])",
-    "secret": r"(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']([^\s\"']{8,200})[\"']",
+    "secret": rf"{_KEY}(?:[\"']([^\s\"']{{8,}})[\"']"
+    rf"|(?=[^\s\"']{{0,200}}\d)([^\s\"'<>,;]{{7,}}[^\s\"'<>,;.:!?)\]}}]))",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)"
-    r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)",
+    r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)"
+    r"|(?<![\w.,+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w|[.,-]\d)"
+    r"|(?<![\w.,+-])0\d{1,4}[ /-]{1,3}\d{3,8}(?:[ -]\d{2,5}){0,3}(?!\w|[.,-]\d)",
     "card": r"(?<![\w.])(?:\d{4}[ -]?){3}\d{4}(?!\w)",
     "person": rf"(?<!\w)({'|'.join(GENDER)})\.?[ \t]({_NAME}(?:[ \t]{_NAME})?)",
 }
+NAME_KINDS = ("surname", "given_m", "given_f")
+_WORD, _PART = re.compile(_NAME), re.compile(r"[^\W\d_]+")
 _COMPILED = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
 _HEX = re.compile("[0-9a-f]+|[0-9A-F]+")
+#: Digits of a national phone number with a leading 0.
+NATIONAL = range(9, 14)
 _MAYBE = re.compile(rf"[0-9@\"']|(?<!\w)(?:{'|'.join(GENDER)})\b")
 
 
@@ -68,10 +77,13 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
             if kind == "person":
                 found += _names(match, rank)
             else:
-                group = 1 if kind == "secret" else 0
+                group = match.lastindex or 0
                 if kind == "secret" and _masked(match[group]):
                     continue
+                if kind == "phone" and match[0][0] == "0" and not _phone_like(match[0]):
+                    continue
                 found.append((match.start(group), rank, match.end(group), kind))
+    found += _later_mentions(text, [f for f in found if f[3] in NAME_KINDS])
     kept: list[tuple[int, int, str]] = []
     for start, _, end, kind in sorted(found):
         if not kept or start >= kept[-1][1]:
@@ -79,6 +91,46 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
     return kept
 
 
+def _phone_like(written: str) -> bool:
+    return sum(c.isdigit() for c in written) in NATIONAL
+
+
+def _later_mentions(text: str, titled: list) -> list[tuple[int, int, int, str]]:
+    """Other places of the names that follow a title somewhere in the same text.
+
+    They are written as there, capitalized or in capitals. A word that is both is a
+    given name before a surname found there, and else a surname.
+    """
+    if not titled:
+        return []
+    kinds: dict[str, set[str]] = {}
+    forms = set()
+    for start, _, end, kind in titled:
+        word = text[start:end]
+        kinds.setdefault(word.casefold(), set()).add(kind)
+        forms |= {word, word.capitalize(), word.upper()}
+    starts = {start for start, *_ in titled}
+    words = []
+    for m in _WORD.finditer(text):
+        if m[0] in forms:
+            words.append(m)
+        elif not m[0].isalpha():  # a part before or behind a hyphen or an apostrophe
+            words += [x for x in _PART.finditer(text, *m.span()) if x[0] in forms]
+    found = []
+    for m in words:
+        if m.start() in starts:
+            continue
+        known = kinds.get(m[0].casefold(), set())
+        given = sorted(known - {"surname"})
+        follows = _WORD.match(text, m.end() + 1) if text[m.end() : m.end() + 1] in (" ", "\t") else None
+        before_surname = follows and "surname" in kinds.get(follows[0].casefold(), ())
+        if given and (before_surname or "surname" not in known):
+            found.append((m.start(), len(PATTERNS), m.end(), given[0]))
+        elif known:
+            found.append((m.start(), len(PATTERNS), m.end(), "surname"))
+    return found
+
+
 def _masked(value: str) -> bool:
     """Whether a sign repeated stands where a secret was."""
     return len(set(value)) == 1 and not value[0].isalnum()
@@ -353,7 +405,7 @@ def replace_entities(
     surrogate)>); places are characters of the old text, entities stand in their order.
 
     Emails, secrets, account numbers, IP addresses, phone and card numbers, and names
-    after a title are replaced. Texts without any, empty texts and nulls stay as they
+    after a title, with their further mentions in the same text, are replaced. Texts without any, empty texts and nulls stay as they
     are, with no entities; all other columns and repeated rows stay. The same value has
     the same surrogate everywhere, other values have others, and the length, separators,
     case, script, check digit and gender of what is written are kept.

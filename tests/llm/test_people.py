@@ -124,6 +124,32 @@ def test_values_with_nothing_to_draw_get_surrogates(spark):
         assert surrogates.written_like(kind, key, late).casefold() == late
 
 
+@pytest.mark.parametrize(
+    "text, values",
+    [
+        ("Mr John Smith came. Smith said: JOHN, John's cat and John Smith.",
+         "John Smith Smith JOHN John John Smith"),
+        ("Anna wrote to Frau Anna O'Neil; O'Neil, Weber-Klein and Herr Weber-Klein.",
+         "Anna Anna O'Neil O'Neil Weber-Klein Weber-Klein"),
+        ("Mr Brown saw a brown dog; Brownie ran.", "Brown"),
+        ("call 555-867-5309, or (017) 555-7713", "555-867-5309|(017) 555-7713"),
+        ("0151 2345678; 030/1234567; 01.02.2024 0815 12 0.123456789 10-2024 007", "0151 2345678|030/1234567"),
+        ("password: hunter2hunter. token=ab12cd34ef", "hunter2hunter|ab12cd34ef"),
+        ("password: required, token: something", ""),
+        (f'api_key = "{"k3y" * 100}"', "k3y" * 100),
+    ],
+)
+def test_further_mentions_and_forms_are_found(text, values):
+    expected = values.split("|" if "|" in values or values[:1].isdigit() else " ") if values else []
+    found = surrogates.find_entities(text)
+    assert [text[a:b] for a, b, _ in found] == expected
+    pairs = {}
+    for (a, b, kind), e in zip(found, surrogates._replaced(text, "key", {})["entities"]):
+        key = (kind, text[a:b].casefold())
+        assert pairs.setdefault(key, e["surrogate"].casefold()) == e["surrogate"].casefold()
+        assert e["surrogate"] != text[a:b]
+
+
 def test_masks_are_no_secrets(spark):
     text = 'password = "********" and password = "••••••••"'
     assert surrogates.find_entities(text) == []
