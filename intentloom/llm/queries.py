@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intentloom.llm import oracle
+from intentloom.llm.alignment import align_tokens, piece_count, score_links
 from intentloom.llm.chat import format_examples, read_examples
 from intentloom.llm.leaks import find_leaks
+from intentloom.llm.packing import pack_best_fit, token_pieces
 from intentloom.llm.pieces import encode_pieces
 from intentloom.llm.quality import LEAST_WORDS, add_features, learn_rules
 from intentloom.llm.repeats import remove_repeats
@@ -18,6 +20,7 @@ from intentloom.llm.surrogates import replace_entities
 from intentloom.llm.tokens import token_counts
 from intentloom.llm.toxicity import fit_toxicity, labelled_texts, score_toxicity
 from intentloom.llm.urls import Rule, judge_urls
+from intentloom.llm.whitening import whiten
 from intentloom.session import settle
 
 QUERIES: dict[str, Query] = {}
@@ -26,6 +29,9 @@ ORACLE_SQL: dict[str, str] = {}
 PIECE_MODEL = "piece_bpe_32k.model"
 TOKEN_VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+WORD_VOCABULARY = "word_bpe_49k.json"
+SEQUENCE = 4096
+COMPONENTS = 16
 #: Key of the surrogates; a real corpus has a secret one.
 SURROGATE_KEY = "a key for the given tables"
 #: A conversation that says the template's own control strings.
@@ -190,3 +196,27 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("kinds"),
         F.col("replaced.text").alias("text"),
     )
+
+
+@query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY), SEQUENCE
+    )
+    return pack_best_fit(pieces, SEQUENCE)
+
+
+@query
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECE_MODEL)
+    aligned = align_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(TOKEN_VOCABULARY), model
+    )
+    written = F.when(F.col("n_a") > 0, sha256(F.col("groups"))).otherwise("")
+    digested = aligned.withColumn("groups_sha256", written).drop("groups")
+    return score_links(digested, piece_count(model))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), COMPONENTS)
