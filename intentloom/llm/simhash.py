@@ -8,16 +8,11 @@ distinct fingerprints are compared: exact copies cost nothing.
 
 The tiles skip most pairs for a small radius, but what is left still grows with the
 square of the distinct fingerprints; see the README for figures.
-
-Near copies by the similarity of their shingles do not go by fingerprints, which miss
-some: similar sets share one of their first shingles in any fixed order, so all that
-do are verified on the whole sets.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from intentloom.llm.graph import components
-from intentloom.llm.shared import LOWER, lists, per_text, slices, unused
+from intentloom.llm.shared import LOWER, per_text, unused
 from intentloom.session import settle
 
 BITS = 64
@@ -38,12 +33,6 @@ BLOCKS = {FINE_PARTS: 4_096, COARSE_PARTS: 32_768}
 #: Pairs that are compared at once, at 8 bytes each.
 AT_ONCE = 1 << 20
 SEED = 42
-#: Sampled texts, of which a frequent shingle has so many; the most that are broadcast.
-SAMPLE, OFTEN, MOST_FREQUENT = 8_192, 8, 65_536
-#: Sets of one shingle up to which all their pairs are listed.
-CROWD = 32
-#: Crowded sets: shingles of a block, sets and shingles that are compared at once.
-BLOCK_HASHES, SIDE, WIDE = 1 << 19, 256, 1 << 14
 
 
 def fingerprint(text: str, shingle: int, seed: int = SEED) -> int:
@@ -230,326 +219,10 @@ def close_pairs(distinct: DataFrame, radius: int) -> DataFrame:
     return meeting.mapInArrow(_compare(radius), "a bigint, b bigint")
 
 
-def shingle_hashes(text: str, shingle: int) -> np.ndarray:
-    """Distinct hashes of a text's shingles, sorted; none for a wordless text."""
-    words = text.encode().translate(LOWER).split()
-    if not words:
-        return np.empty(0, dtype=np.int64)
-    last = max(1, len(words) - shingle + 1)
-    found = {xxhash.xxh64_intdigest(b" ".join(words[k : k + shingle])) for k in range(last)}
-    return np.sort(np.fromiter(found, dtype=np.uint64, count=len(found))).view(np.int64)
-
-
-def set_key(hashes: np.ndarray) -> int:
-    """Signed 64-bit key of a set of shingles; texts of one set have similarity 1."""
-    return xxhash.xxh3_64_intdigest(hashes.tobytes(), SEED) - (1 << 63)
-
-
-def set_key_udf(shingle: int) -> Callable:
-    """Arrow UDF: text -> key of its set of shingles."""
-    return per_text(
-        pa.int64(), "bigint", lambda: lambda text: set_key(shingle_hashes(text, shingle))
-    )
-
-
-def _sets_udf(shingle: int) -> Callable:
-    @F.arrow_udf("array<bigint>")
-    def hashes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in slices(batches):
-            found = [shingle_hashes(text or "", shingle) for text in part.to_pylist()]
-            yield lists(found, pa.int64())
-
-    return hashes
-
-
-def _frequent(own: DataFrame, shingle: int) -> np.ndarray:
-    """Shingles of many texts, the rarer ones first, from about SAMPLE texts.
-
-    What is sampled decides only the work, not the result: any order will do.
-    """
-    share = max(1, own.count() // SAMPLE)
-    drawn = own.where(F.pmod(F.xxhash64("text", F.lit(2)), F.lit(share)) == 0)
-    drawn = drawn.groupBy(F.xxhash64("text").alias("t")).agg(F.first("text").alias("text"))
-    seen = drawn.select(F.explode(_sets_udf(shingle)(F.col("text"))).alias("shingle"))
-    often = seen.groupBy("shingle").count().where(F.col("count") >= OFTEN)
-    rows = often.orderBy(F.desc("count"), "shingle").limit(MOST_FREQUENT).collect()
-    return np.array([r["shingle"] for r in reversed(rows)], dtype=np.int64)
-
-
-def _prefix(hashes: np.ndarray, similarity: float, frequent: np.ndarray, order: np.ndarray):
-    """What a set must share one shingle of with any similar set: (rare ones, any frequent?).
-
-    Similar sets share at least `least` shingles, so the first of these in the order,
-    frequent ones last, lies in both prefixes. `order` sorts `frequent`.
-    """
-    least = math.ceil(similarity * len(hashes) - 1e-6)
-    size = len(hashes) - max(1, least) + 1
-    if not len(frequent):
-        return hashes[:size], False
-    at = np.searchsorted(frequent, hashes, sorter=order)
-    common = frequent[order[np.minimum(at, len(order) - 1)]] == hashes
-    rare = hashes[~common]
-    return rare[:size], len(rare) < size
-
-
-def _entries(shingle: int, similarity: float, shared: object) -> Callable:
-    """Texts to (shingle, key, n) of prefixes; the shingle is null for crowded sets."""
-
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shared.value
-        order = np.argsort(frequent, kind="stable")
-        for part in slices(batches):
-            shingles, keys, sizes, crowded = [], [], [], []
-            for text in part.column(0).to_pylist():
-                hashes = shingle_hashes(text or "", shingle)
-                if not len(hashes):
-                    continue
-                key = set_key(hashes)
-                rare, crowd = _prefix(hashes, similarity, frequent, order)
-                shingles.append(rare)
-                keys.append(np.full(len(rare), key))
-                sizes.append(np.full(len(rare), len(hashes)))
-                if crowd:
-                    crowded.append((key, len(hashes)))
-            flat = [np.concatenate([*x, np.empty(0, np.int64)]) for x in (shingles, keys, sizes)]
-            more = np.array(crowded, dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([*flat[0].tolist(), *[None] * len(more)], pa.int64()),
-                    pa.array(np.concatenate([flat[1], more[:, 0]]).astype(np.int64)),
-                    pa.array(np.concatenate([flat[2], more[:, 1]]).astype(np.int64)),
-                ],
-                names=["shingle", "key", "n"],
-            )
-
-    return entries
-
-
-def _candidates(similarity: float) -> Callable:
-    """Sorted (shingle, key, n) to pairs (a, b) of one shingle; b is null for crowded sets."""
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at: object = None
-        members: list[tuple[int, int]] = []
-        a: list[int] = []
-        b: list[int | None] = []
-
-        def close() -> None:
-            if 1 < len(members) <= CROWD:
-                for (one, n), (two, m) in itertools.combinations(members, 2):
-                    if min(n, m) >= similarity * max(n, m) - 1e-6:
-                        a.append(one)
-                        b.append(two)
-            elif len(members) > CROWD:
-                a.extend(key for key, _ in members)
-                b.extend([None] * len(members))
-            members.clear()
-
-        def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
-            )
-            a.clear()
-            b.clear()
-            return batch
-
-        for batch in batches:
-            shingles, keys, sizes = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:3])
-            nulls = batch.column(0).null_count
-            if nulls:  # they stand first
-                a.extend(keys[:nulls].tolist())
-                b.extend([None] * nulls)
-                shingles = batch.column(0).slice(nulls).to_numpy(zero_copy_only=False)
-                keys, sizes = keys[nulls:], sizes[nulls:]
-            # alone: neither neighbour has the shingle, and the run before has ended
-            same = shingles[1:] == shingles[:-1]
-            alone = ~(np.append(same, False) | np.append(False, same))
-            if len(alone):
-                alone[0] = alone[-1] = False
-            keep = ~alone
-            for s, key, n in zip(shingles[keep].tolist(), keys[keep].tolist(), sizes[keep].tolist()):
-                if s != at:
-                    close()
-                    at = s
-                members.append((key, n))
-                if len(members) >= AT_ONCE:  # a long run is crowded in any case
-                    a.extend(k for k, _ in members[CROWD + 1 :])
-                    b.extend([None] * (len(members) - CROWD - 1))
-                    del members[CROWD + 1 :]
-                if len(a) >= AT_ONCE // 8:
-                    yield out()
-            if a:
-                yield out()
-        close()
-        yield out()
-
-    return pairs
-
-
-def _verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs of sets that share enough of their shingles (Jaccard)."""
-    left = sets.select(F.col("key").alias("a"), F.col("hashes").alias("of_a"))
-    right = sets.select(F.col("key").alias("b"), F.col("hashes").alias("of_b"))
-    either = F.size("of_a") + F.size("of_b") - F.col("shared")
-    return (
-        links.join(left, "a")
-        .join(right, "b")
-        .withColumn("shared", F.size(F.array_intersect("of_a", "of_b")))
-        .where(F.col("shared") >= F.lit(similarity) * either)
-        .select("a", "b")
-    )
-
-
-def _alike(one: list[np.ndarray], two: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Which pairs of two lists of sets are similar, as a matrix."""
-    flat = [np.concatenate(x) for x in (one, two)]
-    both = np.intersect1d(*flat)
-    last = max(0, len(both) - 1)
-    shared = np.zeros((len(one), len(two)), dtype=np.float32)
-    sizes = [np.array([len(x) for x in y]) for y in (one, two)]
-    owner = [np.repeat(np.arange(len(x)), s) for x, s in zip((one, two), sizes)]
-    place = [np.searchsorted(both, x) for x in flat]
-    hit = [both[np.minimum(p, last)] == x if len(both) else x != x for p, x in zip(place, flat)]
-    rows = [(o[h], p[h]) for o, p, h in zip(owner, place, hit)]
-    for start in range(0, len(both), WIDE):
-        held = []
-        for count, (o, p) in zip(map(len, (one, two)), rows):
-            inside = (p >= start) & (p < start + WIDE)
-            matrix = np.zeros((count, min(WIDE, len(both) - start)), dtype=np.float32)
-            matrix[o[inside], p[inside] - start] = 1
-            held.append(matrix)
-        shared += held[0] @ held[1].T
-    either = sizes[0][:, None] + sizes[1][None, :] - shared.astype(np.float64)
-    return shared >= similarity * either
-
-
-def _spanning(alike: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places (row, column) of a matrix of links that connect what all its links connect."""
-    fresh_rows, fresh_columns = alike.any(axis=1), alike.any(axis=0)
-    a: list[np.ndarray] = []
-    b: list[np.ndarray] = []
-    for row in np.flatnonzero(fresh_rows):
-        rows = np.array([row] if fresh_rows[row] else [], dtype=np.int64)
-        while len(rows):
-            fresh_rows[rows] = False
-            part = alike[rows]
-            columns = np.flatnonzero(part.any(axis=0) & fresh_columns)
-            a.append(rows[part[:, columns].argmax(axis=0)])
-            b.append(columns)
-            fresh_columns[columns] = False
-            part = alike[:, columns]
-            rows = np.flatnonzero(part.any(axis=1) & fresh_rows)
-            a.append(rows)
-            b.append(columns[part[rows].argmax(axis=1)] if len(rows) else rows)
-    empty = np.empty(0, dtype=np.int64)
-    return np.concatenate([*a, empty]), np.concatenate([*b, empty])
-
-
-def _crowd_links(similarity: float) -> Callable:
-    """Pairs of blocks to verified links (a, b), a forest of each pair of blocks."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(len(batch)):
-                x_keys, x_sets, y_keys, y_sets = (
-                    c[k].values for c in batch.columns
-                )
-                x_keys, y_keys = x_keys.to_numpy(), y_keys.to_numpy()
-                x_sets, y_sets = (
-                    [s.values.to_numpy() for s in sets] for sets in (x_sets, y_sets)
-                )
-                links = []
-                for i in range(0, len(x_keys), SIDE):
-                    for j in range(0, len(y_keys), SIDE):
-                        a, b = _spanning(
-                            _alike(x_sets[i : i + SIDE], y_sets[j : j + SIDE], similarity)
-                        )
-                        links.append(np.stack([x_keys[i + a], y_keys[j + b]], axis=1))
-                found = np.concatenate(links)
-                found = found[_forest(found[:, 0], found[:, 1])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["a", "b"]
-                )
-
-    return compare
-
-
-def _crowded_pairs(crowded: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Verified links that connect what all similar pairs of crowded sets connect.
-
-    All pairs are compared, in blocks of about BLOCK_HASHES shingles. Every link is
-    checked before a forest of the links is kept, so no component is lost.
-    """
-    own = settle(crowded.join(sets, "key").select("key", "hashes"), "crowded")
-    total = own.agg(F.sum(F.size("hashes"))).first()[0] or 0
-    n = total // BLOCK_HASHES + 1
-    block = F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")
-    blocks = settle(
-        own.groupBy(block.alias("block")).agg(F.collect_list(F.struct("key", "hashes")).alias("s")),
-        "crowded-blocks",
-    ).select("block", F.col("s.key").alias("keys"), F.col("s.hashes").alias("sets"))
-    x, y = (blocks.select(*[F.col(c).alias(f"{p}_{c}") for c in blocks.columns]) for p in "xy")
-    others = F.explode(F.sequence("x_block", F.lit(n - 1).cast("int"))).alias("y_block")
-    meeting = x.select("*", others).join(y, "y_block").repartition(
-        min(n * (n + 1) // 2, 20_000), "x_block", "y_block"
-    )
-    meeting = meeting.select("x_keys", "x_sets", "y_keys", "y_sets")
-    return meeting.mapInArrow(_crowd_links(similarity), "a bigint, b bigint")
-
-
-def similar_links(
-    own: DataFrame, prints: DataFrame, shingle: int, similarity: float
-) -> DataFrame:
-    """Links (a, b) of shingle sets that connect what all similar pairs connect, and only those.
-
-    `own` has the columns id and text, `prints` id, text_hash and node. Sets that share
-    a shingle of their prefixes are candidates; none else can be similar. A shingle of
-    few sets gives all their pairs; sets with a shingle of many are compared in blocks.
-    Each link is verified on the whole sets.
-    """
-    shared = own.sparkSession.sparkContext.broadcast(_frequent(own, shingle))
-    entries = own.select("text").mapInArrow(
-        _entries(shingle, similarity, shared), "shingle bigint, key bigint, n bigint"
-    )
-    # copies of a set collapse here, before the shingles of a large group of them meet
-    entries = entries.groupBy("shingle", "key").agg(F.first("n").alias("n"))
-    entries = entries.repartition(F.coalesce("shingle", "key"))
-    entries = entries.sortWithinPartitions(F.asc_nulls_first("shingle"), "key")
-    found = settle(
-        entries.mapInArrow(_candidates(similarity), "a bigint, b bigint").distinct(), "candidates"
-    )
-    ends = found.select(F.explode(F.array("a", "b")).alias("key")).where("key is not null")
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")).alias("first")
-    wanted = (
-        prints.withColumnRenamed("node", "key").join(ends.distinct(), "key", "left_semi")
-        .groupBy("key").agg(first)
-        .select(F.col("first.id").alias("w_id"), F.col("first.text_hash").alias("w_hash"))
-    )
-    same = own["id"].eqNullSafe(F.col("w_id")) & (F.xxhash64("text") == F.col("w_hash"))
-    read = own.join(wanted, same, "left_semi")
-    # rows of one id and text are one text, also where the id is null
-    read = read.groupBy("id", F.xxhash64("text").alias("h"), F.length("text").alias("n")).agg(
-        F.first("text").alias("text")
-    )
-    sets = settle(
-        read.select(
-            set_key_udf(shingle)(F.col("text")).alias("key"),
-            _sets_udf(shingle)(F.col("text")).alias("hashes"),
-        ).dropDuplicates(["key"]),
-        "shingle-sets",
-    )
-    links = _verified(found.where("b is not null"), sets, similarity)
-    crowded = settle(found.where("b is null").select(F.col("a").alias("key")).distinct(), "crowd")
-    if not crowded.isEmpty():
-        links = links.unionByName(_crowded_pairs(crowded, sets, similarity))
-    return settle(links, "similar")
-
-
 def near_duplicates(
     docs: DataFrame,
-    shingle: int = 5,
-    radius: int = 12,
-    similarity: float | None = 0.8,
+    shingle: int = 3,
+    radius: int = 3,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -557,69 +230,78 @@ def near_duplicates(
 
     Texts are lower-cased (A-Z), words are runs without ASCII white space, shingles
     of `shingle` words count as often as they occur. A text of fewer words is one
-    shingle. Null, empty and wordless texts have fingerprint 0.
-
-    Without a similarity, fingerprints within `radius` bits are linked, and texts of one
-    fingerprint belong together. With a similarity neither decides: texts are linked if
-    their distinct shingles are that similar (Jaccard), and every such pair is found
-    (but for collisions of 64-bit hashes); wordless texts are alike.
+    shingle. Null, empty and wordless texts have fingerprint 0. Fingerprints within
+    `radius` bits are linked, and texts of one fingerprint belong together.
 
     Repeated rows and ids are rows of their own; a null id counts as larger than all
     others, so `component` is null only where every id of the component is. Other
     columns are not read. Empty tables give empty results.
     """
-    return _grouped(docs, shingle, radius, similarity, id_col, text_col).select(
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    prints = settle(
+        own.select("id", fingerprint_udf(shingle)(F.col("text")).alias("fingerprint")),
+        "fingerprints",
+    )
+    named = _named(prints, radius).select("fingerprint", "component")
+    return prints.join(named, "fingerprint").select(
         F.col("id").alias(id_col), "fingerprint", "component"
     )
 
 
-def _grouped(
-    docs: DataFrame, shingle: int, radius: int, similarity: float | None, id_col: str, text_col: str
-) -> DataFrame:
-    """id, fingerprint, node (what is compared), root of the node's component, component."""
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    columns = ["id", fingerprint_udf(shingle)(F.col("text")).alias("fingerprint")]
-    if similarity is None:
-        prints = settle(own.select(*columns), "fingerprints")
-        prints = prints.withColumn("node", F.col("fingerprint"))
-    else:
-        columns += [
-            F.xxhash64("text").alias("text_hash"),
-            set_key_udf(shingle)(F.col("text")).alias("node"),
-        ]
-        prints = settle(own.select(*columns), "fingerprints")
-    distinct = settle(prints.groupBy("node").agg(F.min("id").alias("id")), "distinct")
-    if similarity is None:
-        links = close_pairs(distinct.withColumnRenamed("node", "fingerprint"), radius)
-    else:
-        links = similar_links(own, prints, shingle, similarity)
-    linked = components(links)
-    rooted = distinct.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _named(prints: DataFrame, radius: int) -> DataFrame:
+    """fingerprint, root of its component, component; one row per fingerprint, stored."""
+    distinct = prints.groupBy("fingerprint").agg(F.min("id").alias("id"))
+    distinct = settle(distinct, "distinct")
+    linked = components(close_pairs(distinct, radius)).withColumnRenamed("node", "fingerprint")
+    rooted = distinct.join(linked, "fingerprint", "left").withColumn(
+        "root", F.coalesce("root", "fingerprint")
+    )
     smallest = rooted.groupBy("root").agg(F.min("id").alias("component"))
-    named = settle(rooted.join(smallest, "root").select("node", "root", "component"), "components")
-    return prints.join(named, "node").select("id", "fingerprint", "node", "root", "component")
+    named = rooted.join(smallest, "root").select("fingerprint", "root", "component")
+    return settle(named, "components")
 
 
 def drop_near_duplicates(
     docs: DataFrame,
-    shingle: int = 5,
-    radius: int = 12,
-    similarity: float | None = 0.8,
+    shingle: int = 3,
+    radius: int = 3,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """`docs` with one row of each component of `near_duplicates`: that of its smallest id.
 
-    All columns stay. Of rows with a null id one stays where no other row of the
-    component has an id; of several rows with the kept id and the same shingles (without
-    a similarity: the same fingerprint) one stays.
+    All columns stay. A null id counts as larger than all others. Of several rows with
+    the smallest id that of the smallest hash of the whole row stays, and of equal rows
+    one, so a rerun keeps the same.
+
+    Rows are known by their id and hash: only these are shuffled to find what goes. Texts
+    move only where many rows go (few are broadcast) or whole rows are repeated.
     """
-    found = _grouped(docs, shingle, radius, similarity, id_col, text_col)
-    order = F.struct(F.col("id").isNull().alias("last"), "id", "node")
-    kept = found.groupBy("root").agg(F.min(order).alias("kept")).select("kept.*")
-    mark, print_ = unused(docs, "_node"), unused(docs, "_kept_id")
-    kept = settle(kept.select(F.col("id").alias(print_), F.col("node").alias(mark)), "kept")
-    node = fingerprint_udf(shingle) if similarity is None else set_key_udf(shingle)
-    marked = docs.withColumn(mark, node(F.col(text_col)))
-    same = marked[id_col].eqNullSafe(kept[print_]) & (marked[mark] == kept[mark])
-    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
+    row_hash, known = unused(docs, "_hash"), unused(docs, "_known")
+    # columns that have no order or hash, as maps, don't take part
+    hashed = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    keyed = docs.withColumn(row_hash, F.xxhash64(*[F.col(f"`{c}`") for c in hashed]))
+    prints = settle(
+        keyed.select(
+            F.col(f"`{id_col}`").alias("id"),
+            F.col(row_hash).alias("hash"),
+            fingerprint_udf(shingle)(F.col(f"`{text_col}`")).alias("fingerprint"),
+        ),
+        "fingerprints",
+    )
+    rows = prints.groupBy("id", "hash", "fingerprint").agg(F.count("*").alias("n"))
+    rows = settle(rows.join(_named(prints, radius), "fingerprint"), "rows")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "hash")
+    first = rows.groupBy("root").agg(F.min(order).alias("first")).withColumnRenamed("root", "r")
+    kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("hash") == F.col("first.hash"))
+    judged = rows.join(first, rows["root"] == first["r"]).select("id", "hash", "n", kept.alias("kept"))
+    judged = settle(judged.where("not kept or n > 1"), "judged")
+
+    def of(keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.select(F.col("id").alias(known), F.col("hash").alias(f"{known}_hash"))
+        same = keyed[id_col].eqNullSafe(keys[known]) & (keyed[row_hash] == keys[f"{known}_hash"])
+        return keyed.join(keys, same, how)
+
+    alone = of(judged, "left_anti")
+    repeated = of(judged.where("kept"), "left_semi").dropDuplicates([id_col, row_hash])
+    return alone.unionByName(repeated).drop(row_hash)

@@ -6,6 +6,7 @@ import subprocess
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,27 +207,19 @@ def test_pipeline_stages_and_run(spark):
     columns, kept = docs.columns, []
     for name, stage in corpus_pipeline.STAGES:
         if name == "near_duplicates":  # against all pairs of this stage's input
-            rows = docs.collect()
-            sets = [set(simhash.shingle_hashes(r["text"] or "", 5).tolist()) for r in rows]
-            holders = {}
-            for k, own in enumerate(sets):
-                for shingle in own:
-                    holders.setdefault(shingle, []).append(k)
-            near = set()
-            for k, own in enumerate(sets):
-                for j in {j for s in own for j in holders[s] if j < k}:
-                    if len(own & sets[j]) >= 0.8 * len(own | sets[j]):
-                        near.add((j, k))
-            parent = list(range(len(rows)))
+            prints = [simhash.fingerprint(r["text"] or "", 3) for r in docs.collect()]
+            bits = np.array(prints).view(np.uint64)
+            parent = list(range(len(prints)))
 
             def root(k):
                 while parent[k] != k:
                     k = parent[k]
                 return k
 
-            for j, k in near:
-                parent[max(root(j), root(k))] = min(root(j), root(k))
-            expected = len({root(k) for k in range(len(rows))})
+            for k in range(len(prints)):
+                for j in np.flatnonzero(np.bitwise_count(bits[:k] ^ bits[k]) <= 3).tolist():
+                    parent[max(root(j), root(k))] = min(root(j), root(k))
+            expected = len({root(k) for k in range(len(prints))})
         docs = settle(stage(spark, docs, SMALL), name)
         kept.append(docs.count())
         if name == "near_duplicates":
