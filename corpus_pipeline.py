@@ -32,8 +32,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8)."""
-    return drop_near_duplicates(docs)
+    """One document of each group of near copies (three words, 3 of 64 bits)."""
+    return drop_near_duplicates(docs, shingle=3, radius=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
