@@ -46,6 +46,11 @@ def parsed(formatted: Column) -> Column:
     return F.transform(whole, turn)
 
 
+def _alone(conversation: Column) -> Column:
+    """`alone`: tells rows without a conversation apart, null for all others."""
+    return F.when(conversation.isNull(), F.monotonically_increasing_id()).alias("alone")
+
+
 def format_examples(
     turns: DataFrame,
     conv_col: str = "conv_id",
@@ -63,9 +68,9 @@ def format_examples(
     characters), so the last example of a conversation always holds all of it.
 
     Turns are ordered by `turn_col`, nulls first, then by role and text, so ties and
-    repeated rows have one order. Null roles and texts count as empty. Rows with a
-    null conversation form one conversation. Other columns are not read. An example
-    is one row, so a conversation has to fit a row; the rows before it are never
+    repeated rows have one order. Null roles and texts count as empty. Each row with a
+    null conversation is a conversation of its own. Other columns are not read. An
+    example is one row, so a conversation has to fit a row; the rows before it are never
     copied more often than there are replies after them, which is what the method asks.
     """
     turn = F.struct(
@@ -73,9 +78,8 @@ def format_examples(
         F.coalesce(role_col, F.lit("")).alias("role"),
         F.coalesce(text_col, F.lit("")).alias("text"),
     )
-    talks = turns.groupBy(F.col(conv_col).alias("conv")).agg(
-        F.sort_array(F.collect_list(turn)).alias("turns")
-    )
+    rows = turns.select(F.col(conv_col).alias("conv"), _alone(F.col(conv_col)), turn.alias("turn"))
+    talks = rows.groupBy("conv", "alone").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
     size = F.size("turns")
     replies = F.filter(
         F.sequence(F.lit(1), size),
@@ -112,7 +116,8 @@ def read_examples(examples: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """Conversations read back from their examples.
 
     Returns (`conv_col`, `turns` array<struct(role, text)>, `loss` array<string>: the
-    trained texts in order, unescaped, `formatted_chars` bigint over all examples).
+    trained texts in order, unescaped, `formatted_chars` bigint over all examples). An
+    example without a conversation is one of its own, as it has one turn.
     """
     under_mask = unescaped(
         F.substring("formatted", F.col("loss_start") + 1, F.col("loss_chars"))
@@ -122,7 +127,8 @@ def read_examples(examples: DataFrame, conv_col: str = "conv_id") -> DataFrame:
         F.struct("example", under_mask.alias("text")),
     )
     return (
-        examples.groupBy(F.col(conv_col).alias("conv"))
+        examples.withColumns({"conv": F.col(conv_col), "alone": _alone(F.col(conv_col))})
+        .groupBy("conv", "alone")
         .agg(
             F.max_by("formatted", "example").alias("whole"),
             F.sort_array(F.collect_list(loss)).alias("loss"),  # nulls are not collected

@@ -9,6 +9,7 @@ there, the window's words are hit.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intentloom.llm.shared import once, slices, unused
+from intentloom.session import settle
 
 #: Words are runs of letters and digits; bytes from 0x80 on belong to words.
 _WORD = bytes(
@@ -28,6 +30,8 @@ _WORD = bytes(
 WINDOW = 10
 #: Bytes of item words in one automaton; more items make more automata.
 SHARD_BYTES = 16 * 1024 * 1024
+#: Parts of which a lot is made up, and lots that a pass over the documents takes.
+PARTS_OF_A_LOT, LOTS_AT_ONCE = 64, 4
 
 
 def words_of(text: str) -> list[bytes]:
@@ -37,7 +41,7 @@ def words_of(text: str) -> list[bytes]:
 class ItemAutomaton:
     """Generalised suffix automaton of items, with the windows that end in its states."""
 
-    def __init__(self, items: Iterable[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: Iterable[tuple[str | None, list[bytes]]], window: int):
         self.next: list[dict[bytes, int]] = [{}]
         self.link = [-1]
         self.length = [0]
@@ -53,7 +57,9 @@ class ItemAutomaton:
             for word in words:
                 state, matched = self.step(state, matched, word)
                 if matched >= size:
-                    windows[self._holding(state, size)][size].add(name)
+                    own = windows[self._holding(state, size)][size]
+                    if name is not None:
+                        own.add(name)
         self._mark(windows)
 
     def _extend(self, last: int, word: bytes) -> int:
@@ -158,20 +164,34 @@ _FOUND = pa.struct(
 )
 
 
-def _item_shards(items: DataFrame, id_col: str, text_col: str) -> list[list[tuple[str, str]]]:
-    """Items in lots of bounded bytes, split by a hash of the text."""
+def _item_lots(
+    items: DataFrame, id_col: str, text_col: str
+) -> Iterator[list[tuple[str | None, str]]]:
+    """Distinct items in lots of bounded bytes, fetched one after another.
+
+    They are dealt by a hash over parts much smaller than a lot, whose bytes are counted
+    first; as many parts make a lot as fit it.
+    """
     items = items.select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")
-    ).where("id is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text") + F.octet_length("id"))).first()[0] or 0
-    shards = max(1, -(-total // SHARD_BYTES))
-    lot = F.pmod(F.xxhash64("id", "text"), F.lit(shards))
-    return [
-        [(r["id"], r["text"]) for r in items.where(lot == k).collect()] for k in range(shards)
-    ]
-
-
-def _automaton(items: list[tuple[str, str]], window: int) -> ItemAutomaton:
+    ).where("text is not null").distinct()
+    items = settle(items, "items")
+    size = F.octet_length("text") + F.coalesce(F.octet_length("id"), F.lit(0))
+    total = items.agg(F.sum(size)).first()[0] or 0
+    parts = PARTS_OF_A_LOT * max(1, -(-total // SHARD_BYTES))
+    part = F.pmod(F.xxhash64("id", "text"), F.lit(parts))
+    bytes_of = dict(items.groupBy(part).agg(F.sum(size)).collect())
+    first, held = 0, 0
+    for k in range(parts + 1):
+        own = bytes_of.get(k, 0)
+        if k == parts or held and held + own > SHARD_BYTES:
+            lot = items.where((part >= first) & (part < k))
+            yield [(r["id"], r["text"]) for r in lot.collect()]
+            first, held = k, 0
+        held += own
+
+
+def _automaton(items: list[tuple[str | None, str]], window: int) -> ItemAutomaton:
     digest = hashlib.sha256(repr((items, window)).encode()).hexdigest()
     read = lambda: ItemAutomaton([(n, words_of(t)) for n, t in items], window)
     return once(("items", digest), read)
@@ -237,20 +257,28 @@ def find_leaks(
     ASCII. A window is `window` consecutive words of an item; an item with fewer
     words is one window, one with none has no window. `hits` are the maximal runs of
     document words that lie in windows, `items` the sorted ids of the items with
-    windows in the text. Null texts have no words; items with a null id or text are
-    left out; items with the same id count as one. All other columns stay.
+    windows in the text. Null texts have no words, items with a null text no windows. The
+    words of an item with a null id are hit like those of any other, but it adds no id;
+    items with the same id count as one. All other columns stay.
 
-    Items are broadcast in lots of at most SHARD_BYTES plus one item's text, so the
-    memory of a worker is bounded however many items there are.
+    Items are broadcast in lots of SHARD_BYTES (or one of some items' texts more). A pass
+    over the documents takes LOTS_AT_ONCE of them, so the memory of a worker and of the
+    driver is bounded however many items there are.
     """
     context = docs.sparkSession.sparkContext
-    lots = [context.broadcast(lot) for lot in _item_shards(items, item_id, item_text)]
-    names = [unused(docs, f"_lot_{k}") for k in range(len(lots))]
-    for name, lot in zip(names, lots):
-        docs = docs.withColumn(name, match_udf(lot, window)(F.col(text_col)))
-    return docs.withColumn(out, _joined([F.col(n) for n in names])).drop(
-        *[n for n in names if n != out]
-    )
+    so_far = unused(docs, "_so_far")
+    lots, done = _item_lots(items, item_id, item_text), False
+    while sent := [context.broadcast(lot) for lot in itertools.islice(lots, LOTS_AT_ONCE)]:
+        if done:  # the next lots go over stored rows, after the workers gave up the last ones
+            docs = settle(docs, "leaks")
+        names = [unused(docs, f"_lot_{k}") for k in range(len(sent))]
+        for name, lot in zip(names, sent):
+            docs = docs.withColumn(name, match_udf(lot, window)(F.col(text_col)))
+        found = [F.col(n) for n in names] + [F.col(so_far)] * done
+        docs = docs.withColumn(so_far, _joined(found)).drop(*names)
+        done = True
+    others = [c for c in docs.columns if c not in (out, so_far)]
+    return docs.select(*others, F.col(so_far).alias(out))
 
 
 _ANY_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")

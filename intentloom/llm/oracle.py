@@ -16,14 +16,16 @@ with turns as (
     from conversations
     union all select -1, 0, 'user', '{said}'
     union all select -1, 1, 'assistant', '{said}'
+), told_apart as (
+    select *, case when conv_id is null then row_number() over () end as alone from turns
 ), numbered as (
     select *,
-        row_number() over (partition by conv_id order by turn nulls first, role, text) as k,
-        count(*) over (partition by conv_id) as n,
+        row_number() over (partition by conv_id, alone order by turn nulls first, role, text) as k,
+        count(*) over (partition by conv_id, alone) as n,
         sum(length({rendered})) over (
-            partition by conv_id order by turn nulls first, role, text
+            partition by conv_id, alone order by turn nulls first, role, text
             rows unbounded preceding) as so_far
-    from turns
+    from told_apart
 )
 select conv_id,
     count(*) as n_turns,
@@ -33,7 +35,7 @@ select conv_id,
         as loss_sha256,
     (sum(so_far) filter (where role = 'assistant' or k = n))::bigint as formatted_chars
 from numbered
-group by conv_id
+group by conv_id, alone
 """
 
 
@@ -77,7 +79,7 @@ def decontamination() -> str:
     return f"""
 with items as (
     select item_id::varchar as item_id, {words.format(lower.format("text"))} as w
-    from benchmark where item_id is not null and text is not null
+    from benchmark where text is not null
 ), windows as (
     select distinct item_id, least(10, len(w)) as size, w[k:k + least(10, len(w)) - 1] as words
     from items, unnest(range(1, len(w) - least(10, len(w)) + 2)) as t(k)
@@ -99,7 +101,7 @@ with items as (
     from (select distinct row_no, k, size from found), unnest(range(k, k + size)) as t(p)
     group by row_no
 ), named as (
-    select row_no, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names
+    select row_no, count(item_id) as n_items, string_agg(item_id, ',' order by item_id) as names
     from (select distinct row_no, item_id from found)
     group by row_no
 )

@@ -215,8 +215,11 @@ class PieceCoder:
         return ids
 
     def forget(self) -> None:
-        """Drop what was remembered of texts; idle workers hold the model alone."""
-        self.known, self.earlier, self.beside = {}, {}, {}
+        """Drop the older half of what was remembered of texts, so idle workers hold less.
+
+        Which pieces stand beside each other depends on the model alone and is kept.
+        """
+        self.earlier = {}
 
     def encode(self, text: str) -> list[int]:
         if not text:

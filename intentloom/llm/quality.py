@@ -82,6 +82,8 @@ def add_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     names = [unused(docs, f"_{n}") for n in ("text", "words", "packed", "places", "lines")]
     text, words, packed, places, lines = names
+    counted = [unused(docs, f"_{n}") for n in ("capitals", "exclamations", "digits", "stops", "n_lines")]
+    capitals, exclamations, digits, stops, n_lines = counted
     given = [c for c in docs.columns if c not in {text_col, *BASE, *RATIOS}]
 
     def packed_window(k: Column) -> Column:
@@ -95,24 +97,24 @@ def add_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.filter(F.split(text, SPACES), lambda w: w != "").alias(words),
         F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias(lines),
         _count_of(F.col(text), "[#*$%&|<>]+").cast("bigint").alias("n_symbols"),
-        _count_of(F.col(text), "[A-ZÀ-ÖØ-Þ]+").alias("_capitals"),
-        _count_of(F.col(text), "[!]+").alias("_exclamations"),
-        _count_of(F.col(text), "[0-9]+").alias("_digits"),
-        _count_of(F.col(text), "[.]+").alias("_stops"),
+        _count_of(F.col(text), "[A-ZÀ-ÖØ-Þ]+").alias(capitals),
+        _count_of(F.col(text), "[!]+").alias(exclamations),
+        _count_of(F.col(text), "[0-9]+").alias(digits),
+        _count_of(F.col(text), "[.]+").alias(stops),
     )
-    kept = [*given, "n_symbols", "_capitals", "_exclamations", "_digits", "_stops"]
+    kept = [*given, "n_symbols", capitals, exclamations, digits, stops]
     steps = steps.select(
         *kept,
         words,
         F.size(words).cast("bigint").alias("n_words"),
         F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
-        F.size(lines).alias("_lines"),
+        F.size(lines).alias(n_lines),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
         F.when(F.size(words) >= WINDOW, F.sort_array(hashes))
         .otherwise(F.array().cast("array<bigint>"))
         .alias(packed),
     )
-    kept += ["n_words", "word_chars", "_lines", "n_dup_lines"]
+    kept += ["n_words", "word_chars", n_lines, "n_dup_lines"]
     steps = steps.select(
         *kept,
         F.sort_array(
@@ -135,13 +137,13 @@ def add_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     ratios = {
         "mean_word": share("word_chars", "n_words"),
         "symbols_per_word": share("n_symbols", "n_words"),
-        "dup_line_share": share("n_dup_lines", "_lines"),
+        "dup_line_share": share("n_dup_lines", n_lines),
         "repeat_share": share("n_repeat_words", "n_words"),
-        "capital_share": share("_capitals", "word_chars"),
-        "exclamations_per_word": share("_exclamations", "n_words"),
-        "digit_share": share("_digits", "word_chars"),
-        "words_per_line": share("n_words", "_lines"),
-        "stops_per_word": share("_stops", "n_words"),
+        "capital_share": share(capitals, "word_chars"),
+        "exclamations_per_word": share(exclamations, "n_words"),
+        "digit_share": share(digits, "word_chars"),
+        "words_per_line": share("n_words", n_lines),
+        "stops_per_word": share(stops, "n_words"),
     }
     return steps.select(*given, *BASE, *[ratios[r].alias(r) for r in RATIOS])
 

@@ -80,6 +80,8 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
                 group = match.lastindex or 0
                 if kind == "secret" and _masked(match[group]):
                     continue
+                if kind == "card" and not _checks(entity_key(kind, match[0])):
+                    continue
                 if kind == "phone" and match[0][0] == "0" and not _phone_like(match[0]):
                     continue
                 found.append((match.start(group), rank, match.end(group), kind))
@@ -162,10 +164,12 @@ def entity_key(kind: str, written: str) -> str:
 
 def _numbers(secret: str, kind: str, key: str, attempt: int) -> Iterator[int]:
     """An endless keyed sequence of numbers below 2^32."""
-    block = 0
+    own, block = secret.encode(), 0
+    if len(own) > 64:  # longer keys don't fit the hash and are hashed themselves
+        own = hashlib.blake2b(own).digest()
     while True:
         seed = f"{kind}\0{key}\0{attempt}\0{block}".encode()
-        digest = hashlib.blake2b(seed, key=secret.encode()[:64]).digest()
+        digest = hashlib.blake2b(seed, key=own).digest()
         for k in range(0, len(digest), 4):
             yield int.from_bytes(digest[k : k + 4], "big")
         block += 1

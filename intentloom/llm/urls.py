@@ -98,7 +98,7 @@ class Cascade:
         rate = min(LATER_RATE, n_inside / max(1, n_all) / math.sqrt(2))
         self.levels.append(_level(inside, n_inside, rate, 0))
         passed = universe.where(self.levels[0].holds(F.col("key"), 0))
-        outside = settle(passed.where(~F.col("key").isin(listed)).distinct(), "passed")
+        outside = settle(passed.distinct().join(inside, "key", "left_anti"), "passed")
         sides = [outside, inside]
         while (n := sides[0].count()) > 0:
             number = len(self.levels)
@@ -168,13 +168,15 @@ def judge_urls(
     url = F.coalesce(F.col(url_col), F.lit(""))
     keys = _candidates(host_of(url), path_of(url), every)
     universe = pages.select(F.explode(keys).alias("key"))
+    # keys of rules have a slash, but for rules of whole hosts
+    bare = [r.key for r in rules if "/" not in r.key]
     cascades = {v: Cascade(sorted(keys), universe) for v, keys in lists.items()}
 
     def listed(verdict: str) -> Column:
         return F.transform(
             F.filter(F.col(candidates), cascades[verdict].holds),
             lambda key: F.struct(
-                key.contains("/").alias("is_rule"),
+                (key.contains("/") | key.isin(bare) if bare else key.contains("/")).alias("is_rule"),
                 F.length(key).alias("size"),
                 key.alias("key"),
                 F.lit(verdict).alias("verdict"),

@@ -192,7 +192,7 @@ def test_automaton_finds_what_comparing_finds():
 
 
 ITEMS = [(1, "alpha beta GAMMA delta, eins zwei drei vier fünf sechs sieben"), (2, "tiny item"),
-         (3, None), (None, "lost"), (4, " .,"), (2, "tiny item")]
+         (3, None), (None, "lost words"), (4, " .,"), (2, "tiny item")]
 
 
 @pytest.mark.parametrize("lot", [1 << 24, 20])
@@ -201,15 +201,16 @@ def test_leaks_and_their_removal(spark, lot, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     passage = "Alpha beta gamma DELTA eins zwei drei vier fünf sechs"
     rows = [(1, f"Before, {passage}! after {'word ' * 20}"), (2, "a Tiny-ITEM."), (3, None), (4, ""),
-            (5, "alpha beta gamma"), (1, f"Before, {passage}! after {'word ' * 20}")]
+            (5, "alpha beta gamma"), (1, f"Before, {passage}! after {'word ' * 20}"),
+            (6, "Lost words of an item without an id: five more")]
     found = leaks.find_leaks(frame(spark, rows), items, "kept").collect()
     shown = {r["doc_id"]: (r["kept"]["n_words"], [tuple(h) for h in r["kept"]["hits"]], r["kept"]["items"]) for r in found}
     assert shown == {1: (32, [(1, 11)], ["1"]), 2: (3, [(1, 3)], ["2"]), 3: (0, [], []),
-                     4: (0, [], []), 5: (3, [], [])}
+                     4: (0, [], []), 5: (3, [], []), 6: (10, [(0, 2)], [])}
     cleaned = leaks.remove_leaks(frame(spark, rows), items)
     assert sorted((r["doc_id"], r["text"]) for r in cleaned.collect() if r["text"] is not None) == [
         (1, f"Before, ! after {'word ' * 20}"), (1, f"Before, ! after {'word ' * 20}"), (4, ""),
-        (5, "alpha beta gamma"),
+        (5, "alpha beta gamma"), (6, " of an item without an id: five more"),
     ]
     assert leaks.find_leaks(frame(spark, []), items, "out").count() == 0
     assert leaks.find_leaks(frame(spark, rows), items.limit(0), "out").count() == len(rows)

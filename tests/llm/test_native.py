@@ -60,6 +60,38 @@ def test_chat_examples_hold_everything(spark):
     assert chat.read_examples(chat.format_examples(given.limit(0))).count() == 0
 
 
+def test_rows_without_a_conversation_stay_apart(spark):
+    talk = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (None, 1, "assistant", "b"), (5, 0, "user", "c")]
+    given = spark.createDataFrame(talk, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    examples = chat.format_examples(given)
+    assert sorted((r["conv_id"] or 0, r["example"], r["n_turns"]) for r in examples.collect()) == [(0, 0, 1)] * 3 + [(5, 0, 1)]
+    read = chat.read_examples(examples).collect()
+    shown = sorted((r["conv_id"] or 0, [t["text"] for t in r["turns"]], r["loss"]) for r in read)
+    assert shown == [(0, ["a"], []), (0, ["b"], ["b"]), (0, ["b"], ["b"]), (5, ["c"], [])]
+
+
+def test_twins_take_rows_without_a_name(spark, tmp_path):
+    """Null conversations and null items, which the given tables don't hold."""
+    talk = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (None, 1, "assistant", "b"),
+            (5, None, "user", None), (5, 1, "assistant", "x")]
+    items = [(None, "one two three"), (7, "four five"), (7, "four five"), (8, None)]
+    docs = [(1, "One two THREE four"), (2, "four five"), (None, None), (2, "")]
+    for name, rows, schema in (
+        ("conversations", talk, "conv_id bigint, turn bigint, role string, text string"),
+        ("benchmark", items, "item_id bigint, text string"),
+        ("documents", docs, "doc_id bigint, text string"),
+    ):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    database = duckdb.connect()
+    for name in ("conversations", "benchmark", "documents"):
+        database.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    for name in ("op3_chat_formatting", "op5_decontamination"):
+        found = QUERIES[name](spark, str(tmp_path)).toArrow()
+        assert comparable(found) == comparable(database.sql(ORACLE_SQL[name]).to_arrow_table()), name
+    hits = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in found.to_pylist() if r["n_words"]}
+    assert hits == {1: (3, 0), 2: (2, 1)}
+
+
 RULES = [urls.Rule("net", "/", "block"), urls.Rule("example.net", "/en/", "allow")]
 
 
@@ -85,6 +117,9 @@ def test_urls_and_their_cases(spark):
     assert len(found) == len(given)
     assert urls.judge_urls(pages.limit(0), RULES, []).count() == 0
     assert {r["verdict"] for r in urls.judge_urls(pages, [], []).collect()} == {"allow"}
+    whole = urls.judge_urls(pages, [urls.Rule("bad.org", "", "allow")], ["a.example.net"]).collect()
+    assert {(r["rule"], r["verdict"]) for r in whole if r["host"].endswith("bad.org")} == {("bad.org", "allow")}
+    assert {(r["rule"], r["verdict"]) for r in whole if r["page_id"] == 1} == {(None, "block")}
 
 
 def test_the_cascade_is_exact_over_its_universe(spark):
@@ -127,6 +162,25 @@ def test_quality_features_by_definition(spark, bits, monkeypatch):
     assert quality.add_features(given.limit(0)).count() == 0
 
 
+def test_quality_features_of_whole_documents(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    found = QUERIES["op6_quality_rules"](spark, SMALL).collect()
+    assert len(found) == len(docs)
+    for r in found:
+        own = counted(docs[r["doc_id"]])
+        assert tuple(r[c] for c in quality.BASE) == own
+        assert r["base_failed"] == (own[0] < 50 or 100 * own[4] > 50 * own[0])
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_features_of_columns_with_the_same_names(spark):
+    own = ["_lines", "_n_lines", "_capitals", "_digits", "_stops", "_exclamations", "_text", "_places"]
+    given = spark.createDataFrame([(1, "A b! 1.", *["own"] * len(own))], ["doc_id", "text", *own])
+    found = quality.add_features(given).first()
+    assert [found[c] for c in own] == ["own"] * len(own)
+    assert found["capital_share"] == 1 / 5 and found["stops_per_word"] == 1 / 3
+
+
 def test_rules_are_learned_from_counts(spark):
     rows = spark.range(3000).select(
         (F.col("id") % 10).cast("double").alias("a"),

@@ -186,6 +186,51 @@ def test_collisions_are_drawn_again_and_reach_the_texts(spark, monkeypatch):
     assert surrogates.replace_entities(docs.limit(0), "key", "out").count() == 0
 
 
+def luhn(digits):
+    odd, even = digits[-1::-2], digits[-2::-2]
+    return (sum(odd) + sum(sum(divmod(2 * d, 10)) for d in even)) % 10 == 0
+
+
+def test_only_numbers_with_a_check_digit_are_cards():
+    for text, there in (("4111 1111 1111 1111", True), ("4111-1111-1111-1112", False), ("order 1234567812345678", False),
+                        ("1234567812345670.", True), ("12345678123456701", False)):
+        assert ([k for _, _, k in surrogates.find_entities(text)] == ["card"]) == there
+    new = surrogates._replaced("4111 1111 1111 1111", "key", {})["text"]
+    assert luhn([int(c) for c in new if c.isdigit()])
+
+
+def test_keys_of_any_length_are_keys():
+    long = "k" * 64
+    drawn = {surrogates.surrogate_key(key, "phone", "0" * 16, 0) for key in (long, long + "a", long + "b", "k")}
+    assert len(drawn) == 4
+
+
+def test_values_found_by_another_search_are_gone(spark):
+    """Addresses and card numbers found by splitting, not by the operator's patterns."""
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    found = {r["doc_id"]: r["text"] or "" for r in QUERIES["op10_pii"](spark, SMALL).collect()}
+    values = {}
+    for i, text in docs.items():
+        for word in text.split():
+            own = word.strip("\"'.,;:!?()<>[]")
+            local, at, domain = own.partition("@")
+            if at and local.isascii() and local.replace(".", "").replace("_", "").isalnum():
+                if domain.isascii() and domain.replace(".", "").isalpha() and "." in domain:
+                    values.setdefault(own.lower(), set()).add(i)
+        shown = "".join(c if c.isdigit() else " " if c in " -" else "x" for c in text)
+        for run in shown.split("x"):
+            digits = run.replace(" ", "")
+            if len(digits) == 16 and set(map(len, run.split())) in ({16}, {4}) and luhn(list(map(int, digits))):
+                values.setdefault(digits, set()).add(i)
+    assert len(values) > 15 and sum(v.isdigit() for v in values) > 3
+    for value, ids in values.items():
+        for i in ids:
+            now = "".join(c for c in found[i] if c not in " -") if value.isdigit() else found[i].lower()
+            assert value not in now, (i, value)
+    rest = [i for i in docs if not surrogates.find_entities(docs[i])]
+    assert len(rest) > len(docs) / 2 and all(found[i] == docs[i] for i in rest)
+
+
 def test_pii_query_covers_whole_documents(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     found = QUERIES["op10_pii"](spark, SMALL).collect()
