@@ -16,20 +16,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from intentloom.llm.merging import LONGEST, Merger
 from intentloom.llm.shared import lists, once, slices, unused
-from intentloom.llm.tokens import byte_characters
+from intentloom.llm.tokens import PATTERN, byte_characters
 from intentloom.session import settle
 
 #: Parts of texts kept with their ids per worker, in two generations, and the longest.
 KEPT_PARTS = 250_000
 KEPT_LENGTH = 64
-#: New parts that are encoded as one text.
-JOINED_PARTS = 2_000
 #: Distinct pairs that a task counts before it sends them on.
 TASK_PAIRS = 2_000_000
 #: Pairs whose counts are broadcast, the most frequent ones: 20 bytes each.
@@ -38,6 +38,10 @@ SPACE = "▁"
 #: Both vocabularies begin a token anew at a single space before anything but white space.
 CUT = re.compile(r"(?<! ) (?=\S)")
 IRREGULAR = re.compile(r" (?=\s|$)")
+#: Characters that every library puts into the same class: ASCII, and letters and signs
+#: up to Cyrillic.
+COMMON = re.compile("[\t\n\r -\u02ff\u0370-\u0481\u048a-\u052f]+")
+SPLIT = regex.compile(PATTERN).findall
 #: White space to one side's rules only; such texts are encoded whole.
 DOUBTFUL = re.compile("[\x1c-\x1f᠎]")
 
@@ -51,7 +55,9 @@ class TwoVocabularies:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         characters = byte_characters()
-        vocabulary = json.loads(definition)["model"]["vocab"]
+        rules = json.loads(definition)["model"]
+        vocabulary = rules["vocab"]
+        self.merger = Merger(vocabulary, rules["merges"])
         self.a_bytes = [b""] * self.a.get_vocab_size()
         for token, number in vocabulary.items():
             self.a_bytes[number] = bytes(characters[c] for c in token)
@@ -63,8 +69,6 @@ class TwoVocabularies:
             for k, p in enumerate(pieces)
         ]
         self.a_sizes = np.array(list(map(len, self.a_bytes)), dtype=np.int64)
-        #: a token that begins with the space begins a word
-        self.a_spaced = np.array([t[:1] == b" " for t in self.a_bytes])
         self.b_sizes = np.array(list(map(len, self.b_bytes)), dtype=np.int64)
         #: the pair's number is a_id * width + b_id
         self.width = len(pieces)
@@ -72,45 +76,77 @@ class TwoVocabularies:
         #: ids with the sign that follows: the next id of the side, the other side, a group
         self.written = [d + sign for sign in (b",", b"|", b";") for d in digits]
         self.numbers = len(digits)
-        self.new: dict[str, tuple[bytes, bytes] | None] = {}
-        self.old: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _first(self, parts: list[str]) -> list[list[int]]:
-        """Ids of A for a space and each part; many parts without spaces go as one text."""
-        plain = [p for p in parts if p and " " not in p and not p[0].isspace()]
-        others = [p for p in parts if not p or " " in p or p[0].isspace()]
-        found: dict[str, list[int]] = {}
-        for at in range(0, len(plain), JOINED_PARTS):
-            own = plain[at : at + JOINED_PARTS]
-            ids = self.a.encode(" " + " ".join(own), add_special_tokens=False).ids
-            starts = np.flatnonzero(self.a_spaced[ids]).tolist()
-            if len(starts) != len(own):
-                others += own
+        #: part -> ids of A, and of B, as bytes; parts whose bytes differ stand in `unlike`
+        self.new: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.unlike: set[str] = set()
+
+    def _first(self, parts: list[str]) -> list[bytes | None]:
+        """Ids of A for a space and each part, None if they have other bytes.
+
+        Parts of common letters are split as the vocabulary does and merged together,
+        which keeps their bytes; the library takes all others.
+        """
+        found: dict[str, bytes | None] = {}
+        split: dict[str, list[bytes]] = {}
+        others = []
+        for part in parts:
+            if part.isascii() and part.isalpha():
+                own = [b" " + part.encode()]
+            elif COMMON.fullmatch(part):
+                own = [p.encode() for p in SPLIT(" " + part)]
+            else:
+                others.append(part)
                 continue
-            found |= {p: ids[i:j] for p, i, j in zip(own, starts, [*starts[1:], len(ids)])}
+            if max(map(len, own)) > LONGEST:
+                others.append(part)
+            else:
+                split[part] = own
+        distinct = list(set().union(*split.values()))
+        ids = {p: m.tobytes() for p, m in zip(distinct, self.merger.encode(distinct))}
+        for part, own in split.items():
+            found[part] = ids[own[0]] if len(own) == 1 else b"".join([ids[p] for p in own])
         singly = self.a.encode_batch_fast([" " + p for p in others], add_special_tokens=False)
-        found |= {p: e.ids for p, e in zip(others, singly)}
+        for part, encoded in zip(others, singly):
+            own = encoded.ids
+            same = b"".join([self.a_bytes[k] for k in own]) == b" " + part.encode()
+            found[part] = array("i", own).tobytes() if same else None
         return [found[p] for p in parts]
 
     def _encoded(self, parts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Ids of both sides; None where their bytes are not a space and the part."""
         found: list[tuple[bytes, bytes] | None] = []
         seconds = self.b.encode(parts, num_threads=1)
+        surface = self.b_bytes
         for part, a, b in zip(parts, self._first(parts), seconds):
-            whole = b" " + part.encode()
-            same = b"".join([self.a_bytes[k] for k in a]) == whole
-            same = same and b"".join([self.b_bytes[k] for k in b]) == whole
-            found.append((array("i", a).tobytes(), array("i", b).tobytes()) if same else None)
+            same = a is not None and b"".join([surface[k] for k in b]) == b" " + part.encode()
+            found.append((a, array("i", b).tobytes()) if same else None)
         return found
 
+    def _remember(self, parts: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Ids of all these parts and of those that are remembered."""
+        if len(self.new[0]) > KEPT_PARTS:
+            self.old, self.new, self.unlike = self.new, ({}, {}), set()
+        first, second = self.new
+        unseen = parts.difference(first)
+        again = unseen.intersection(self.old[0])
+        for kept, old in zip(self.new, self.old):
+            kept.update((p, old[p]) for p in again)
+        unseen = list(unseen - again)
+        long: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        for part, ids in zip(unseen, self._encoded(unseen)):
+            into = self.new if len(part) <= KEPT_LENGTH else long
+            if ids is None:
+                self.unlike.add(part)
+            into[0][part], into[1][part] = ids or (b"", b"")
+        return (first | long[0], second | long[1]) if long[0] else self.new
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """32-bit ids of both sides for each text; None for one that has no tokens.
 
         A text is cut where both sides begin a token in any case. If the bytes of a part
         differ, the whole text is encoded and compared as one.
         """
-        if len(self.new) > KEPT_PARTS:
-            self.old, self.new = self.new, {}
         parts: list[list[str]] = []
         for text in texts:
             if DOUBTFUL.search(text):
@@ -120,23 +156,15 @@ class TwoVocabularies:
             else:
                 first, *rest = CUT.split(" " + text)
                 parts.append([first[1:], *rest] if first else rest)
-        unseen = set().union(*parts).difference(self.new)
-        again = unseen.intersection(self.old)
-        self.new.update((p, self.old[p]) for p in again)
-        unseen = list(unseen - again)
-        known = dict(zip(unseen, self._encoded(unseen)))
-        long = {p: known.pop(p) for p in unseen if len(p) > KEPT_LENGTH}
-        self.new.update(known)
-        look = (self.new | long if long else self.new).__getitem__
+        known = [ids.__getitem__ for ids in self._remember(set().union(*parts))]
         found: list[tuple[bytes, bytes] | None] = []
         for text, own in zip(texts, parts):
-            pairs = list(map(look, own))
             if not text:
                 found.append(None)
-            elif not own or None in pairs:
+            elif not own or not self.unlike.isdisjoint(own):
                 found += self._encoded([text])
             else:
-                found.append((b"".join([a for a, _ in pairs]), b"".join([b for _, b in pairs])))
+                found.append((b"".join(map(known[0], own)), b"".join(map(known[1], own))))
         return found
 
 
