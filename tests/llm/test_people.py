@@ -215,14 +215,14 @@ def test_values_found_by_another_search_are_gone(spark):
             own = word.strip("\"'.,;:!?()<>[]")
             local, at, domain = own.partition("@")
             if at and local.isascii() and local.replace(".", "").replace("_", "").isalnum():
-                if domain.isascii() and domain.replace(".", "").isalpha() and "." in domain:
+                if domain.isascii() and domain.replace(".", "").isalnum() and "." in domain:
                     values.setdefault(own.lower(), set()).add(i)
         shown = "".join(c if c.isdigit() else " " if c in " -" else "x" for c in text)
         for run in shown.split("x"):
             digits = run.replace(" ", "")
             if len(digits) == 16 and set(map(len, run.split())) in ({16}, {4}) and luhn(list(map(int, digits))):
                 values.setdefault(digits, set()).add(i)
-    assert len(values) > 15 and sum(v.isdigit() for v in values) > 3
+    assert len(values) > 20 and sum(v.isdigit() for v in values) > 3
     for value, ids in values.items():
         for i in ids:
             now = "".join(c for c in found[i] if c not in " -") if value.isdigit() else found[i].lower()
