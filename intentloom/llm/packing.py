@@ -8,6 +8,7 @@ piece of a length the k-th place that the packing has for that length.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from intentloom.llm.binpack import complete_bins
+from intentloom.llm.merging import LONGEST, Merger
 from intentloom.llm.shared import once, slices, unused
 from intentloom.session import settle
 
@@ -30,28 +32,43 @@ CAPACITY = 4096
 #: Sets and lengths that bin completion looks at, if best fit is not proved the smallest.
 EFFORT = 400_000
 #: Words kept with their ids per worker, in two generations, and the longest kept word.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 120_000
 KEPT_LENGTH = 64
 #: Python splits at these, the vocabulary's white space does not hold them.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
-#: Stands between words that are encoded together; its token is no part of another.
-MARK = "\x01"
-JOINED_WORDS = 2_000
+#: Characters that no library cases, composes or classes differently: Latin without
+#: combining marks, raised digits and fractions, Greek without the sigma of two forms,
+#: Cyrillic.
+COMMON = (
+    "!-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u02ff\u0370-\u0373\u0375-\u037d\u037f-\u0386"
+    "\u0388-\u03a2\u03a4-\u0481\u048a-\u052f"
+)
+COMMON_TEXT = re.compile(f"[\\s{COMMON}]*")
+COMMON_WORD = re.compile(f"[{COMMON}]+")
+#: Fixed value: the vocabulary's split, for common characters: words, single digits,
+#: contractions, signs.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+COMMON_SPLIT = re.compile(r"[^\W\d_]+|\d|'(?:[stmd]|re|ve|ll)|(?:[^\w\s]|_)+").findall
+#: Begins what goes to the library as a whole; no part of a split text has it.
+WHOLE = "\x1f"
 
 
 class WordIds:
     """Ids of whole texts by a vocabulary that drops white space, word by word.
 
-    No token reaches over white space, so the ids of a text are those of its words in
-    turn; each word is encoded by the library once while it is remembered.
+    No token reaches over a border of the vocabulary's own split, so the ids of a text
+    are those of its parts in turn; a part is encoded once while it is remembered. Parts
+    of common characters are merged together; the library takes all others.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_str(definition)
-        if " " in self.library.pre_tokenizer.pre_tokenize_str("a b")[-1][0]:
-            raise ValueError("a vocabulary that drops white space is needed")
-        self.mark = self.library.encode(MARK, add_special_tokens=False).ids[0]
+        rules = json.loads(definition)
+        if rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] != SPLIT:
+            raise ValueError("another split of words is not handled")
+        model = rules["model"]
+        self.merger = Merger(model["vocab"], model["merges"], model["end_of_word_suffix"])
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -59,38 +76,39 @@ class WordIds:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _of_words(self, words: list[str]) -> dict[str, bytes]:
-        """Many words go as one text, in which a control character keeps them apart."""
-        plain = [w for w in words if MARK not in w]
-        found = {}
-        for at in range(0, len(plain), JOINED_WORDS):
-            own = plain[at : at + JOINED_WORDS]
-            ids = np.frombuffer(self._encoded([f" {MARK} ".join(own)])[0], dtype="<u4")
-            ends = np.flatnonzero(ids == self.mark).tolist()
-            starts = [0, *[e + 1 for e in ends]]
-            found |= {w: ids[i:j].tobytes() for w, i, j in zip(own, starts, [*ends, len(ids)])}
-        marked = [w for w in words if MARK in w]
-        return found | dict(zip(marked, self._encoded(marked)))
+    def _parts(self, text: str) -> list[str]:
+        if NOT_SPACE.search(text):
+            return [WHOLE + text]
+        if COMMON_TEXT.fullmatch(text) and "<|" not in text:
+            return COMMON_SPLIT(text.lower())
+        parts: list[str] = []
+        for word in text.split():
+            if COMMON_WORD.fullmatch(word) and "<|" not in word:
+                parts += COMMON_SPLIT(word.lower())
+            else:
+                parts.append(WHOLE + word)
+        return parts
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.new) > KEPT_WORDS:
             self.old, self.new = self.new, {}
-        whole = {k: None for k, text in enumerate(texts) if NOT_SPACE.search(text)}
-        whole = dict(zip(whole, self._encoded([texts[k] for k in whole])))
-        words = [[] if k in whole else text.split() for k, text in enumerate(texts)]
-        unseen = set().union(*words).difference(self.new)
+        parts = list(map(self._parts, texts))
+        unseen = set().union(*parts).difference(self.new)
         again = unseen.intersection(self.old)
-        self.new.update((w, self.old[w]) for w in again)
-        unseen = list(unseen - again)
-        known = self._of_words(unseen)
-        long = {w: known.pop(w) for w in unseen if len(w) > KEPT_LENGTH}
+        self.new.update((p, self.old[p]) for p in again)
+        short, others = [], []
+        for part in unseen - again:
+            written = part.encode()
+            (others if part[0] == WHOLE or len(written) > LONGEST else short).append((part, written))
+        merged = self.merger.encode([written for _, written in short])
+        self.new.update((p, m.tobytes()) for (p, _), m in zip(short, merged))
+        singly = self._encoded([p.removeprefix(WHOLE) for p, _ in others])
+        known = {p: ids for (p, _), ids in zip(others, singly)}
+        long = {p: known.pop(p) for p in list(known) if len(p) > KEPT_LENGTH}
         self.new.update(known)
         look = (self.new | long if long else self.new).__getitem__
-        return [
-            whole[k] if k in whole else b"".join(map(look, own))
-            for k, own in enumerate(words)
-        ]
+        return [b"".join(map(look, own)) for own in parts]
 
 
 def _pieces_udf(spark: SparkSession, path: str, capacity: int, end_id: int, with_ids: bool) -> Callable:
