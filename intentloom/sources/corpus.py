@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from intentloom import schemas
 from intentloom.functions.text import strip_message
 from intentloom.operators.scale import numbered
+from intentloom.sources.quoted import read_quoted_csv
 
 # Quotes are doubled, and text may hold line breaks and outer blanks.
 CSV_OPTIONS = {
@@ -19,7 +20,7 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-# A multi-line CSV file is read by one task, so files are kept small.
+# Other readers take a multi-line CSV file in one task, so files are kept small for them.
 CSV_FILE_ROWS = 200_000
 
 
@@ -93,7 +94,9 @@ def write_sft_dataset(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def read_sft_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read instruction-tuning records from CSV; an empty field is null."""
-    # the header is checked against the schema instead of being skipped
-    reader = spark.read.schema(schemas.SFT).options(**CSV_OPTIONS, enforceSchema="false")
-    return reader.csv(path)
+    """Read instruction-tuning records from CSV; an empty field is null.
+
+    Files of any size are read by many tasks, although texts may hold line breaks. The
+    header is checked against the schema instead of being skipped.
+    """
+    return read_quoted_csv(spark, path, schemas.SFT, CSV_OPTIONS)
