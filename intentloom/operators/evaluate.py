@@ -107,24 +107,20 @@ def compare_runs(first: DataFrame, second: DataFrame) -> DataFrame:
     """Two runs' reports side by side, from their confusion counts.
 
     (section_no, section, label, first_f1, second_f1, f1_change, first_support,
-    second_support). A label that only one run knows has nulls on the other side.
+    second_support). A label that only one run knows has nulls on the other side. Rows
+    without a prediction are a class of their own, whose label is null.
     """
     key = ["section_no", "section", "label"]
     sides = []
     for name, confusion in (("first", first), ("second", second)):
-        # labels are never null in class rows, so '' marks the averages
-        report = full_report(confusion).withColumn("label", F.coalesce("label", F.lit("")))
-        sides.append(
-            report.select(
-                *key, F.col("f1").alias(f"{name}_f1"), F.col("support").alias(f"{name}_support")
-            )
-        )
-    joined = sides[0].join(sides[1], key, "full")
-    label = F.when(F.col("section") == CLASS_SECTION, F.col("label"))
+        figures = [F.col(c).alias(f"{name}_{c}") for c in ("f1", "support")]
+        names = [F.col(c).alias(f"{name}_{c}") for c in key]
+        sides.append(full_report(confusion).select(*names, *figures))
+    # a label is null in the averages and may be null in a class; the sections differ
+    same = [F.col(f"first_{c}").eqNullSafe(F.col(f"second_{c}")) for c in ("section_no", "label")]
+    joined = sides[0].join(sides[1], same[0] & same[1], "full")
     return joined.select(
-        "section_no",
-        "section",
-        label.alias("label"),
+        *[F.coalesce(f"first_{c}", f"second_{c}").alias(c) for c in key],
         "first_f1",
         "second_f1",
         (F.col("second_f1") - F.col("first_f1")).alias("f1_change"),
@@ -189,7 +185,8 @@ def read_eval_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _is_hit() -> Column:
-    return F.col("y_true") == F.col("y_pred")
+    """Never null: a missing prediction is a miss, and so is a missing truth."""
+    return F.coalesce(F.col("y_true") == F.col("y_pred"), F.lit(False))
 
 
 def _right(text: Column, width: int) -> Column:

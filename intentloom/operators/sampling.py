@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from intentloom.functions import fixed
-from intentloom.operators.scale import SMALL_ROWS, first_per_group, is_small
+from intentloom.operators.scale import SMALL_ROWS, is_small
 from intentloom.session import settle
 
 # Positions are counted per hash prefix of this many hex digits: 65,536 even groups.
@@ -26,24 +26,122 @@ def sample_capped_per_class(
 ) -> DataFrame:
     """At most n rows per class, the same rows for the same seed.
 
-    `within` names further grouping columns, such as the split. Rows without a
-    label are left out. Ids are unique within a group. Rows are chosen by group and
-    id alone; the other columns are not sorted, only joined to what was chosen.
+    `within` names further grouping columns, such as the split. Rows without a label
+    are left out; a null id is an id like any other. Rows are drawn in the order of a
+    hash of seed and id, rows of one id in that of a hash of the whole row, and of equal
+    rows any are drawn: they don't differ.
+
+    No class is sorted. Rows are counted by class and the first digits of the hash, which
+    gives the digits at which the n-th row of each class lies; the rows there are
+    counted by more digits, until few are left. A filter by these digits then takes what
+    lies before, and only the few rows at the limit are put in order. Columns beside
+    group and id are read for the result alone, unless ids repeat at the limit.
     """
-    labelled = df.where(F.col(label).isNotNull())
     groups = [*within, label]
-    if set(df.columns) <= {*groups, id}:
-        return first_per_group(labelled, groups, _by_seed(seed, id), n)
-    keys = labelled.select(*groups, id)
-    chosen = settle(first_per_group(keys, groups, _by_seed(seed, id), n), "chosen")
-    if is_small(chosen, SMALL_ROWS):
-        chosen = F.broadcast(chosen)
-    matches = [labelled[c].eqNullSafe(chosen[c]) for c in [*groups, id]]
-    return labelled.join(chosen, reduce(and_, matches), "left_semi")
+    rows = df.where(F.col(label).isNotNull())
+    order = [_shuffled(F.lit(f"{seed}:"), F.col(id)), _row_digits(df)]
+    limits = _limits(rows, groups, order, n)
+    digits, depth, wanted = (unused_name(df, c) for c in ("_digits", "_depth", "_wanted"))
+    limits = limits.withColumnsRenamed({"digits": digits, "depth": depth, "wanted": wanted})
+    if is_small(limits, SMALL_ROWS):
+        limits = F.broadcast(limits)
+    sides = limits.select(*[F.col(g).alias(f"{digits}_{k}") for k, g in enumerate(groups)], digits, depth, wanted)
+    same = [rows[g].eqNullSafe(sides[f"{digits}_{k}"]) for k, g in enumerate(groups)]
+    near = rows.join(sides, reduce(and_, same), "left")
+    # classes without a limit have no more than n rows; '~' comes after all digits
+    own = _first_digits(order, F.col(depth))
+    near = near.withColumn(digits, F.when(F.col(depth).isNull(), F.lit("~")).otherwise(F.col(digits)))
+    before = near.where(F.col(depth).isNull() | (own < F.col(digits))).select(df.columns)
+    at_limit = near.where(own == F.col(digits))
+    return before.unionByName(_first_of_few(at_limit, df.columns, groups, order, id, wanted))
+
+
+#: Digits of the order by which rows are counted: of the hash of the id (32), then of the row.
+DEPTHS = (4, 8, 36, 40, 48)
+#: Rows at the limit of a class that are put in order at once.
+FEW_ROWS = 64
+
+
+def _row_digits(df: DataFrame) -> Column:
+    return F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])), 16, "0")
+
+
+def _first_digits(order: list[Column], depth: Column | int) -> Column:
+    by_id, by_row = order
+    if isinstance(depth, int):  # the row's hash is worked out only where it counts
+        return F.substring(by_id if depth <= 32 else F.concat(by_id, by_row), 1, depth)
+    whole = F.when(depth <= 32, by_id).otherwise(F.concat(by_id, by_row))
+    return F.substring(whole, F.lit(1), depth)
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _limits(rows: DataFrame, groups: list[str], order: list[Column], n: int) -> DataFrame:
+    """(groups, digits, depth, wanted) of each class of more than n rows: its n-th row
+    has these first digits, and so many rows with them belong to the first n."""
+    open_rows, done = rows, None
+    wanted = F.lit(n).cast("bigint")
+    kept: DataFrame | None = None
+    for depth in DEPTHS:
+        counts = open_rows.groupBy(*groups, _first_digits(order, depth).alias("_d")).agg(
+            F.count("*").alias("_rows"), *([] if kept is None else [F.max("_left").alias("_left")])
+        )
+        so_far = Window.partitionBy(*groups).orderBy("_d")
+        placed = counts.withColumn("_upto", F.sum("_rows").over(so_far)).withColumn(
+            "_wanted", wanted if kept is None else F.col("_left")
+        )
+        crossing = placed.where("_upto >= _wanted and _upto - _rows < _wanted")
+        total = F.sum("_rows").over(Window.partitionBy(*groups))
+        if kept is None:  # classes of n rows and fewer have no limit
+            crossing = placed.withColumn("_all", total).where(
+                "_all > _wanted and _upto >= _wanted and _upto - _rows < _wanted"
+            )
+        found = settle(
+            crossing.select(
+                *groups,
+                F.col("_d").alias("digits"),
+                F.lit(depth).alias("depth"),
+                (F.col("_wanted") - F.col("_upto") + F.col("_rows")).alias("wanted"),
+                (F.col("_rows") > FEW_ROWS).alias("_many"),
+            ),
+            "limits",
+        )
+        few = found.where("not _many" if depth != DEPTHS[-1] else F.lit(True)).drop("_many")
+        done = few if done is None else done.unionByName(few)
+        if depth == DEPTHS[-1] or found.where("_many").isEmpty():
+            return settle(done, "limits")
+        kept = found.where("_many").select(
+            *[F.col(g).alias(f"_g{k}") for k, g in enumerate(groups)],
+            F.col("digits").alias("_at"),
+            F.col("wanted").alias("_left"),
+        )
+        same = [rows[g].eqNullSafe(kept[f"_g{k}"]) for k, g in enumerate(groups)]
+        side = F.broadcast(kept) if is_small(kept, SMALL_ROWS) else kept
+        open_rows = rows.join(side, reduce(and_, same)).where(
+            _first_digits(order, depth) == F.col("_at")
+        )
+    raise AssertionError("the last depth returns")
 
 
-def _by_seed(seed: int, id: str) -> list[Column]:
-    return [_shuffled(F.lit(f"{seed}:"), F.col(id)), F.col(id)]
+def _first_of_few(
+    at_limit: DataFrame, columns: list[str], groups: list[str], order: list[Column], id: str, wanted: str
+) -> DataFrame:
+    """The first rows at the limit of each class; equal rows are counted, not sorted."""
+    same, times = f"{wanted}_rows", f"{wanted}_taken"
+    by_id, by_row = order
+    keyed = at_limit.select(*columns, wanted).groupBy(*columns, wanted).agg(F.count("*").alias(same))
+    ordered = Window.partitionBy(*groups).orderBy(by_id, F.col(id), by_row)
+    upto = F.sum(same).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    taken = keyed.withColumn(times, upto).withColumn(
+        times, F.col(same) - F.greatest(F.col(times) - F.col(wanted), F.lit(0))
+    )
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times))).alias(f"{times}_no")
+    return taken.where(F.col(times) > 0).select(*columns, copies).select(*columns)
 
 
 def stratified_split(
@@ -135,5 +233,9 @@ def training_batches(
     )
 
 
+#: Stands for an id that is null.
+NO_ID = "null"
+
+
 def _shuffled(prefix: Column, id: Column) -> Column:
-    return F.md5(F.concat(prefix, id.cast("string")))
+    return F.md5(F.concat(prefix, F.coalesce(id.cast("string"), F.lit(NO_ID))))

@@ -168,7 +168,7 @@ def read_eval_reports(spark, sf_dir):
 
 
 def _is_hit():
-    return (F.col("y_true") == F.col("y_pred")).cast("int")
+    return F.coalesce(F.col("y_true") == F.col("y_pred"), F.lit(False)).cast("int")
 
 
 @query
@@ -583,7 +583,7 @@ def publish_run(spark, sf_dir):
         .agg(F.count("*").alias("rows"))
         for name in tables
     ]
-    runs = ledger.read_run_ledger(spark, publishing.manifests_of(root)).select(
+    runs = ledger.read_published_ledger(spark, root).select(
         "run_name", "created_at_utc", "test_accuracy_percent"
     )
     return runs.join(reduce(DataFrame.unionByName, counts), "run_name")

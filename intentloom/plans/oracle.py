@@ -162,6 +162,8 @@ resolved AS (
   LEFT JOIN ranked n ON n.key = lower(r.raw) AND n.rank = 1)"""
 
 
+#: A missing prediction is a miss.
+HIT = "CAST(coalesce(y_true = y_pred, false) AS INTEGER)"
 RATIOS = _ratios(STORED_ANSWERS)
 RESOLVED = _resolved(STORED_ANSWERS)
 
@@ -265,7 +267,7 @@ def _shuffled(prefix: str, column: str) -> str:
 
 def _running(source: str) -> str:
     return f"""SELECT row_id + 1 AS rows, round(accuracy, 6) AS accuracy FROM (
-  SELECT row_id, avg(CAST(y_true = y_pred AS INTEGER)) OVER (ORDER BY row_id) AS accuracy
+  SELECT row_id, avg({HIT}) OVER (ORDER BY row_id) AS accuracy
   FROM {source}) WHERE (row_id + 1) % {fixed.ACCURACY_EVERY} = 0"""
 
 
@@ -318,7 +320,7 @@ UNION ALL BY NAME SELECT line FROM lines""",
 SELECT run, {_percent("share")} AS accuracy,
   'Test Accuracy: ' || {_percent("share")} || '%' || chr(10) || chr(10) || 'end' || chr(10)
     AS content
-FROM (SELECT run, avg(CAST(y_true = y_pred AS INTEGER)) AS share FROM resolved GROUP BY run)""",
+FROM (SELECT run, avg({HIT}) AS share FROM resolved GROUP BY run)""",
         "write_run_manifest": f"WITH {RUNS} {manifest}",
         "read_run_ledger": f"""WITH {RUNS} SELECT run_name, created_at_utc, outputs, sample_data,
   configs, test_accuracy_percent, CAST(test_accuracy_percent AS DOUBLE) AS test_accuracy
@@ -432,7 +434,7 @@ FROM documents""",
         "build_instruction": f"""WITH {PART_LABELS}
 SELECT {_instruction("part_labels")} AS instruction""",
         "accuracy": f"""WITH RECURSIVE {RESOLVED}
-SELECT round(avg(CAST(y_true = y_pred AS INTEGER)), 6) AS accuracy FROM resolved""",
+SELECT round(avg({HIT}), 6) AS accuracy FROM resolved""",
         "confusion_counts": f"""WITH RECURSIVE {RESOLVED}
 SELECT y_true, y_pred, count(*) AS rows FROM resolved GROUP BY ALL""",
         "class_report": f"""WITH RECURSIVE {RESOLVED}, {_report("resolved")}
@@ -511,7 +513,7 @@ runs AS (
   SELECT 'a' AS run_name, min(ts) AS created FROM events
   UNION ALL SELECT strftime(max(ts), 'run_%Y%m%d_%H%M%S_utc'), max(ts) FROM events)
 SELECT run_name, strftime(created, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS created_at_utc,
-  (SELECT {_percent("avg(CAST(y_true = y_pred AS INTEGER))")} FROM resolved)
+  (SELECT {_percent(f"avg({HIT})")} FROM resolved)
     AS test_accuracy_percent, "table", rows
 FROM runs, published""",
         "stream_accuracy": f"WITH RECURSIVE {RESOLVED} {_running('resolved')}",

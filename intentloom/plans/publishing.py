@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from urllib.parse import quote
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from intentloom.functions.text import iso_utc, percent_text, run_name, utc_wall_clock
-from intentloom.operators.ledger import RUN_TABLES, snapshot_run, write_run_manifest
+from intentloom.operators.ledger import RUN_TABLES, manifest_text, snapshot_run
 
 
 def publish_run(
@@ -20,9 +18,10 @@ def publish_run(
 ) -> str:
     """Store tables and manifest of a run under its name; returns the name.
 
-    Without a name the run is named by its time, a UTC TIMESTAMP_NTZ column and now
-    by default. Publishing a name again replaces both. `read_run_ledger` on
-    `manifests_of(root)` lists what is published, `latest_run` the newest.
+    Without a name the run is named by its time, a UTC TIMESTAMP_NTZ column and now by
+    default. Tables and manifest become visible together, with one commit; publishing
+    a name again replaces both. `read_published_ledger` lists what is published,
+    `latest_run` the newest.
     """
     at = utc_wall_clock(F.current_timestamp()) if created_at is None else created_at
     accuracy = F.max(F.when(F.col("section") == "accuracy", percent_text(F.col("f1"))))
@@ -36,13 +35,6 @@ def publish_run(
             "test_accuracy_percent",
         )
     )
-    row = manifest.first()  # one row: the name must not change while it is stored
-    snapshot_run(tables, row["run_name"], root)
-    stored = report.sparkSession.createDataFrame([row], manifest.schema)
-    path = f"{root}/manifests/{quote(row['run_name'], safe='')}"
-    write_run_manifest(stored, path, mode="overwrite")
+    row = manifest.select("run_name", manifest_text().alias("manifest")).first()
+    snapshot_run(tables, row["run_name"], root, row["manifest"])
     return row["run_name"]
-
-
-def manifests_of(root: str) -> str:
-    return f"{root}/manifests/*"

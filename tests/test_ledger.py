@@ -1,12 +1,13 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
 from intentloom.functions.text import extract_accuracy
-from intentloom.operators import ledger
-from intentloom.plans.publishing import manifests_of, publish_run
+from intentloom.operators import commits, ledger
+from intentloom.plans.publishing import publish_run
 
 RUNS = "run_name string, created_at_utc string, outputs string, sample_data string, " \
     "configs string, test_accuracy_percent string"
@@ -96,7 +97,7 @@ def test_published_runs_are_in_the_ledger(spark, tmp_path):
     assert publish(" a ", "2024-05-01 10:00:00", 0.25) == "a"
     assert publish("", "2024-05-02 10:00:00.5", None) == "run_20240502_100000_utc"
     assert publish("a", "2024-05-01 11:00:00", 0.5) == "a"
-    found = ledger.read_run_ledger(spark, manifests_of(root))
+    found = ledger.read_published_ledger(spark, root)
     assert rows(found.select("run_name", "created_at_utc", "test_accuracy_percent")) == [
         ("a", "2024-05-01T11:00:00.000000+00:00", "50.00"),
         ("run_20240502_100000_utc", "2024-05-02T10:00:00.500000+00:00", None),
@@ -105,3 +106,61 @@ def test_published_runs_are_in_the_ledger(spark, tmp_path):
     assert ledger.read_snapshots(spark, root, "configs").count() == 2
     now = publish_run(snapshot(spark, 1), report(spark, 1.0), root)
     assert now.startswith("run_2") and ledger.read_snapshots(spark, root, "configs").count() == 3
+
+
+def test_a_broken_publication_shows_nothing(spark, tmp_path, monkeypatch):
+    root = f"{tmp_path}/runs"
+    ledger.snapshot_run(snapshot(spark, 2), "a", root, '{"run_name":"a","created_at_utc":"1"}')
+    real = commits.write_tables
+
+    def breaks(version, tables):
+        real(version, {"outputs": tables["outputs"]})
+        raise OSError("gone")
+
+    monkeypatch.setattr(commits, "write_tables", breaks)
+    with pytest.raises(OSError):
+        ledger.snapshot_run(snapshot(spark, 5), "a", root, '{"run_name":"a","created_at_utc":"2"}')
+    monkeypatch.setattr(commits, "write_tables", real)
+
+    # everything is written, only the commit is missing
+    whole = commits.begin(root, "a")
+    commits.write_tables(whole, snapshot(spark, 7))
+    for table in ledger.RUN_TABLES:
+        assert ledger.read_snapshots(spark, root, table).count() == 2
+    assert ledger.read_published_ledger(spark, root).first()["created_at_utc"] == "1"
+    commits.discard_uncommitted(spark, root, whole, list(ledger.RUN_TABLES))
+    assert not os.path.exists(whole.folder("outputs"))
+    commits.commit(spark, commits.begin(root, "b"), [])
+    assert ledger.read_snapshots(spark, root, "outputs").count() == 2
+
+
+def test_two_publishers_at_once_never_mix(spark, tmp_path):
+    root = f"{tmp_path}/runs"
+    first, second = (commits.begin(root, "a") for _ in range(2))
+    for version, n in ((first, 1), (second, 4)):  # both write before either commits
+        commits.write_tables(version, snapshot(spark, n))
+    before = [commits.commit(spark, v, list(ledger.RUN_TABLES), f"{n}") for v, n in ((second, 4), (first, 1))]
+    assert before == [0, 1]
+    counts = {t: ledger.read_snapshots(spark, root, t).count() for t in ledger.RUN_TABLES}
+    assert set(counts.values()) == {1} and commits.newest(spark, root).first()["note"] == "1"
+    # the same number twice: the larger version id wins, for every table and for the note
+    monkey = [commits.begin(root, "c") for _ in range(2)]
+    for version, n in zip(monkey, (2, 3)):
+        commits.write_tables(version, snapshot(spark, n))
+    rows = [{"name": "c", "sequence": 9, "version": v.version, "tables": list(ledger.RUN_TABLES), "note": str(n)}
+            for v, n in zip(monkey, (2, 3))]
+    for row in rows:
+        with open(f"{root}/_commits/{row['version']}.json", "w") as file:
+            json.dump(row, file)
+    won = max(rows, key=lambda r: r["version"])
+    newest = {r["name"]: r["note"] for r in commits.newest(spark, root).collect()}
+    assert newest == {"a": "1", "c": won["note"]}
+    for table in ledger.RUN_TABLES:
+        found = ledger.read_snapshots(spark, root, table).where("run_name = 'c'").count()
+        assert found == int(won["note"])
+
+
+def test_nothing_is_published_yet(spark, tmp_path):
+    assert ledger.read_published_ledger(spark, f"{tmp_path}/none").count() == 0
+    with pytest.raises(FileNotFoundError):
+        ledger.read_snapshots(spark, f"{tmp_path}/none", "outputs")
