@@ -33,7 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not context.master.startswith("local"):
+    # local-cluster[...] runs executors as processes of their own
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="intentloom-"))
     return context.getCheckpointDir()
