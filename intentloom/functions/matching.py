@@ -1,6 +1,6 @@
 """Closest labels of a string by difflib's similarity ratio, as an Arrow UDF.
 
-The UDF makes no pairs: it gets one string per row and tries it against the
+`closest_labels` makes no pairs: it gets one string per row and tries it against the
 label list that its Python worker holds. Character counts bound the ratio from
 above, so the exact ratio is computed only while a label can still win.
 """
@@ -23,6 +23,10 @@ MATCHES_DDL = "array<struct<label:string,ratio:double>>"
 MATCHES_ARROW = pa.list_(pa.struct([("label", pa.string()), ("ratio", pa.float64())]))
 REMEMBERED_STRINGS = 50_000
 CHAR_CLASSES = 128
+# Tokens that are told apart by how common they are; all others count as rarer.
+COMMON_TOKENS = 4_095
+# A token: its rank, then the code point (21 bits), then the occurrence (30 bits).
+POINT_SHIFT, RANK_SHIFT = 30, 51
 
 
 class LabelMatcher:
@@ -101,6 +105,59 @@ def closest_label(labels: Broadcast, cutoff: float) -> Callable:
     return closest
 
 
+def letter_tokens(common: Broadcast | None) -> Callable:
+    """Arrow UDF: string -> its (character, occurrence) tokens as sorted numbers.
+
+    `common` lists unranked tokens, rarer ones first; tokens it does not list precede
+    them. The same list has to be used for all strings that are compared.
+    """
+
+    @F.arrow_udf("array<bigint>")
+    def tokens(texts: pa.Array) -> pa.Array:
+        listed = np.array(common.value if common else [], dtype=np.int64)
+        order = np.argsort(listed)
+        found = [_tokens(text, listed[order], order + 1) for text in texts.to_pylist()]
+        ends = np.cumsum([0] + [len(one) for one in found], dtype=np.int32)
+        values = np.concatenate([*found, np.empty(0, np.int64)])
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+    return tokens
+
+
+def _tokens(text: str | None, listed: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    points = np.sort(points).astype(np.int64)
+    at = np.arange(len(points))
+    first = np.searchsorted(points, points)
+    tokens = (points << POINT_SHIFT) | (at - first)
+    if len(listed):
+        place = np.minimum(np.searchsorted(listed, tokens), len(listed) - 1)
+        known = listed[place] == tokens
+        tokens = tokens | (np.where(known, ranks[place], 0) << RANK_SHIFT)
+    return np.sort(tokens)
+
+
+def similarity() -> Callable:
+    """Arrow UDF: (label, string) -> difflib's ratio; strings are analysed once per batch."""
+
+    @F.arrow_udf("double")
+    def ratio(labels: pa.Array, texts: pa.Array) -> pa.Array:
+        coded = texts.dictionary_encode()
+        strings, names = coded.dictionary.to_pylist(), labels.to_pylist()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        ratios = np.zeros(len(codes))
+        matcher, current = SequenceMatcher(), None
+        for row in np.argsort(codes, kind="stable"):
+            if codes[row] != current:
+                current = codes[row]
+                matcher.set_seq2(strings[current])
+            matcher.set_seq1(names[row])
+            ratios[row] = matcher.ratio()
+        return pa.array(ratios)
+
+    return ratio
+
+
 def _by_distinct(
     batches: Iterator[pa.Array], answer: Callable, kind: pa.DataType
 ) -> Iterator[pa.Array]:

@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from intentloom.functions import fixed
-from intentloom.functions.matching import LabelMatcher, closest_label, closest_labels
+from intentloom.functions.matching import closest_label, closest_labels
 from intentloom.functions.text import normalize_text, strip_message
-from intentloom.operators.scale import fetch_small, first_per_group, lookup_join
+from intentloom.operators.nearest import closest_by_index
+from intentloom.operators.scale import fetch_small, lookup_join
 from intentloom.session import settle
 
-# Above the broadcast bound labels are matched in blocks of about this many.
-BLOCK_LABELS = 5_000
-# Each block is matched by as many tasks as there are this many distinct answers.
-KEYS_PER_TASK = 20_000
-
 
 @dataclass
 class FoldedVocabulary:
@@ -78,7 +72,7 @@ def best_label_topk(
         )
     else:
         keys = keyed.select("folded").distinct()
-        matches = _closest_in_blocks(keys, folded.table, cutoff, n)
+        matches = closest_by_index(keys, folded.table, cutoff, n)
         ranked = keyed.withColumnRenamed("folded", "key").join(matches, "key").drop("key")
     return lookup_join(ranked, folded.table, "folded", "inner", ["raw"]).select(
         "raw", "rank", F.col("intent").alias("label"), "ratio"
@@ -91,8 +85,8 @@ def resolve_prediction(
     """Add y_pred and match_kind ('exact', 'fuzzy' or 'none') to each row.
 
     With a vocabulary within the bound these are two broadcast joins and a UDF: no
-    shuffle, and repeated answers do not matter. Beyond it distinct answers are matched
-    with blocks of labels. Streams resolve each micro-batch as a batch, see
+    shuffle, and repeated answers do not matter. Beyond it distinct answers look up an
+    index of the labels' characters. Streams resolve each micro-batch as a batch, see
     `streaming.scoring`.
     """
     folded = FoldedVocabulary.of(vocab)
@@ -129,7 +123,7 @@ def _resolve_by_key(
     keys = keyed.where("_key != ''").select("_key").distinct()
     found = keys.join(exact, "_key", "left")
     open_keys = found.where("_exact is null").select(F.col("_key").alias("folded"))
-    near = _closest_in_blocks(open_keys, folded.table, cutoff, 1).select(
+    near = closest_by_index(open_keys, folded.table, cutoff, 1).select(
         F.col("key").alias("_key"), "folded"
     )
     near = lookup_join(near, folded.table, "folded", "inner", ["_key"])
@@ -152,104 +146,3 @@ def _distinct_raws(raws: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("folded", normalize_text(F.col("raw")))
     )
-
-
-def _closest_in_blocks(
-    keys: DataFrame, folded: DataFrame, cutoff: float, n: int
-) -> DataFrame:
-    """(key, rank, folded, ratio) for a vocabulary too large to broadcast.
-
-    A ratio of at least the cutoff limits how far two lengths can be apart, so
-    labels are laid out by length class (powers of two) and split into blocks of
-    bounded size. Each key visits the blocks of the classes it can match, in one of as
-    many tasks per block as the number of keys asks for. Keys and
-    labels meet in one sorted partition stream, labels first: a task holds one
-    block of labels, and no pair ever becomes a row.
-    """
-    length_class = F.floor(F.log2(F.length("folded").cast("double"))).cast("int")
-    labels = folded.where("folded != ''").select("folded", length_class.alias("class"))
-    # at most 31 rows: one per bit length of a string length
-    sizes = {row["class"]: row["count"] for row in labels.groupBy("class").count().collect()}
-    blocks = {c: -(-count // BLOCK_LABELS) for c, count in sizes.items()}
-    if not blocks:
-        return keys.select(
-            F.col("folded").alias("key"),
-            F.lit(1).alias("rank"),
-            F.lit("").alias("folded"),
-            F.lit(0.0).alias("ratio"),
-        ).where(F.lit(False))
-    block_count = F.create_map(*[F.lit(v) for pair in sorted(blocks.items()) for v in pair])
-
-    keys = settle(keys, "keys")
-    spread = max(1, -(-keys.count() // KEYS_PER_TASK))
-    block_of_label = F.pmod(F.xxhash64("folded"), block_count[F.col("class")])
-    spreads = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("spread")
-    label_rows = labels.select(
-        "class",
-        block_of_label.cast("int").alias("block"),
-        spreads,
-        F.lit(0).alias("kind"),
-        "folded",
-    )
-
-    length = F.length("folded").cast("double")
-    if cutoff > 0:
-        span = (2.0 - cutoff) / cutoff
-        # one extra character of slack on both ends keeps rounding harmless
-        lowest = F.floor(F.log2(F.greatest(F.floor(length / span) - 1, F.lit(1.0))))
-        highest = F.floor(F.log2(F.ceil(length * span) + 1))
-        classes = F.sequence(lowest.cast("int"), highest.cast("int"))
-    else:  # all lengths match
-        classes = F.array(*[F.lit(c) for c in sorted(blocks)])
-    key_rows = (
-        keys.where("folded != ''")
-        .select("folded", F.explode(classes).alias("class"))
-        .where(F.col("class").isin(*sorted(blocks)))
-        .select(
-            "class",
-            F.explode(F.sequence(F.lit(0), block_count[F.col("class")] - 1)).alias("block"),
-            F.pmod(F.xxhash64("folded"), F.lit(spread)).cast("int").alias("spread"),
-            F.lit(1).alias("kind"),
-            "folded",
-        )
-    )
-    place = ["class", "block", "spread"]
-    met = (
-        label_rows.withColumn("block", F.col("block").cast("bigint"))
-        .unionByName(key_rows.withColumn("block", F.col("block").cast("bigint")))
-        .repartition(*place)
-        .sortWithinPartitions(*place, "kind")
-    )
-    found = met.mapInPandas(
-        _match_stream(cutoff, n), "key string, folded string, ratio double"
-    )
-    order = [F.desc("ratio"), F.desc("folded")]
-    best = first_per_group(found, ["key"], order, n)
-    rank = F.row_number().over(Window.partitionBy("key").orderBy(*order))
-    return settle(best.select("key", rank.alias("rank"), "folded", "ratio"), "matches")
-
-
-def _match_stream(cutoff: float, n: int):
-    """mapInPandas function over rows sorted by place, labels before keys."""
-
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, labels, matcher = None, [], None
-        for batch in batches:
-            found = []
-            rows = zip(
-                zip(batch["class"], batch["block"], batch["spread"]),
-                batch["kind"],
-                batch["folded"],
-            )
-            for here, kind, text in rows:
-                if here != place:
-                    place, labels, matcher = here, [], None
-                if kind == 0:
-                    labels.append(text)
-                    continue
-                if matcher is None:
-                    matcher = LabelMatcher(labels, cutoff, n)
-                found += [(text, label, ratio) for ratio, label in matcher.best(text)]
-            yield pd.DataFrame(found, columns=["key", "folded", "ratio"])
-
-    return match

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import executed_plan, rows, vocabulary
-from intentloom.operators import resolve, scale
+from intentloom.operators import nearest, resolve, scale
 
 
 def resolved_in_python(raw, labels, cutoff=0.6):
@@ -34,13 +34,11 @@ def noisy(names, seed, n):
 NAMES = ["card_arrival", "card_lost", "Top_Up", "top_up", "exchange_rate", "pin", "atm", "a", "Ünï"]
 
 
-@pytest.fixture(params=["broadcast", "blocks"])
+@pytest.fixture(params=["broadcast", "index"])
 def path(request, monkeypatch):
-    """Both ways to match: labels broadcast, or laid out in blocks."""
-    if request.param == "blocks":
+    """Both ways to match: labels broadcast, or found by an index of their characters."""
+    if request.param == "index":
         monkeypatch.setattr(scale, "SMALL_ROWS", 2)
-        monkeypatch.setattr(resolve, "BLOCK_LABELS", 2)
-        monkeypatch.setattr(resolve, "KEYS_PER_TASK", 2)
     return request.param
 
 
@@ -112,8 +110,45 @@ def test_resolving_does_not_shuffle(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_blocks_make_no_pairs(spark, monkeypatch):
+def test_the_index_makes_no_pairs(spark, monkeypatch):
     monkeypatch.setattr(scale, "SMALL_ROWS", 2)
     df = spark.createDataFrame([(n,) for n in noisy(NAMES, 4, 50)], "raw string")
     plan = executed_plan(resolve.best_label_topk(df, vocabulary(spark, NAMES), 1))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def random_names(draw, n, letters):
+    return sorted({"".join(draw.choices(letters, k=draw.randint(4, 14))) for _ in range(n)})
+
+
+@pytest.mark.parametrize("cutoff", [0.0, 0.3, 0.6, 0.95])
+def test_the_index_finds_what_difflib_finds(spark, cutoff):
+    draw = random.Random(5)
+    labels = random_names(draw, 150, "aabcdeü𝄞_ ")
+    answers = random_names(draw, 60, "aabcdeü𝄞_ ") + labels[:5] + ["a" * 230, "zz", ""]
+    table = spark.createDataFrame([(label,) for label in labels], "folded string")
+    keys = spark.createDataFrame([(a,) for a in answers], "folded string")
+    found = nearest.closest_by_index(keys, table, cutoff, 4).orderBy("key", "rank").collect()
+    by_key = {}
+    for row in found:
+        assert row["rank"] == len(by_key.setdefault(row["key"], [])) + 1
+        by_key[row["key"]].append(row["folded"])
+    for answer in answers:
+        expected = get_close_matches(answer, labels, n=4, cutoff=cutoff) if answer else []
+        assert by_key.get(answer, []) == expected, repr(answer)
+
+
+def test_few_pairs_are_candidates(spark):
+    draw = random.Random(6)
+    letters = [chr(c) for c in [*range(0x61, 0x7B), *range(0x3B1, 0x3CA)]]
+    labels = random_names(draw, 3000, letters)
+    answers = [label[:3] + draw.choice(letters) + label[3:] for label in labels[::6]]
+    table = spark.createDataFrame([(label,) for label in labels], "folded string")
+    index = nearest.LabelIndex.of(table)
+    keys = spark.createDataFrame([(a,) for a in answers], "key string")
+    keys = keys.withColumn("key_tokens", index.tokens_of(F.col("key")))
+    pairs = len(labels) * len(answers)
+    at_once = nearest.candidates(keys, index, 0.6)
+    early = nearest.candidates(keys, index, 0.75)
+    assert at_once.count() < pairs / 100 and early.count() < pairs / 1000
+    assert at_once.count() == at_once.distinct().count()
