@@ -131,17 +131,38 @@ def _limits(rows: DataFrame, groups: list[str], order: list[Column], n: int) ->
 def _first_of_few(
     at_limit: DataFrame, columns: list[str], groups: list[str], order: list[Column], id: str, wanted: str
 ) -> DataFrame:
-    """The first rows at the limit of each class; equal rows are counted, not sorted."""
-    same, times = f"{wanted}_rows", f"{wanted}_taken"
+    """The first rows at the limit of each class; equal rows are counted.
+
+    The few rows are stored. Their hashes and ids alone are put in order, as one array
+    per class, and tell how many of each row are taken.
+    """
+    same = f"{wanted}_rows"
     by_id, by_row = order
-    keyed = at_limit.select(*columns, wanted).groupBy(*columns, wanted).agg(F.count("*").alias(same))
-    ordered = Window.partitionBy(*groups).orderBy(by_id, F.col(id), by_row)
-    upto = F.sum(same).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    taken = keyed.withColumn(times, upto).withColumn(
-        times, F.col(same) - F.greatest(F.col(times) - F.col(wanted), F.lit(0))
+    counted = at_limit.groupBy(*columns, wanted).agg(F.count("*").alias(same))
+    few = settle(counted.withColumns({f"{wanted}_hash": by_id, f"{wanted}_row": by_row}), "at-limit")
+    keys = [f"{wanted}_hash", id, f"{wanted}_row"]
+    key = F.struct(*[F.col(k).alias(f"_{n}") for n, k in enumerate(keys)], F.col(same).alias("_same"))
+    listed = few.groupBy(*groups).agg(
+        F.array_sort(F.collect_list(key)).alias("_keys"), F.max(wanted).alias("_wanted")
+    )
+
+    def left(one: Column, place: Column) -> Column:
+        before = F.aggregate(
+            F.slice("_keys", F.lit(1), place), F.lit(0).cast("bigint"), lambda all, k: all + k["_same"]
+        )
+        return one.withField("_times", F.least(F.col("_wanted") - before, one["_same"]))
+
+    side = listed.select(
+        *[F.col(g).alias(f"_g{n}") for n, g in enumerate(groups)],
+        F.inline(F.filter(F.transform("_keys", left), lambda k: k["_times"] > 0)),
     )
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times))).alias(f"{times}_no")
-    return taken.where(F.col(times) > 0).select(*columns, copies).select(*columns)
+    if is_small(few.select(*groups, *keys), SMALL_ROWS):
+        side = F.broadcast(side)
+    equal = [few[g].eqNullSafe(side[f"_g{n}"]) for n, g in enumerate(groups)]
+    equal += [few[k].eqNullSafe(side[f"_{n}"]) for n, k in enumerate(keys)]
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), side["_times"])).alias(f"{wanted}_no")
+    met = few.join(side, reduce(and_, equal))
+    return met.select(*[few[c] for c in columns], copies).select(*columns)
 
 
 def stratified_split(
