@@ -6,18 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from intentloom.functions.text import normalize_text, strip_message
+from intentloom.operators.presence import may_be_listed
 from intentloom.operators.scale import lookup_join
+from intentloom.session import settle
 
 
 def clean_corpus(df: DataFrame, id: str, text: str, label: str) -> DataFrame:
     """(id, text, label) of labelled texts that are not blank, each pair once.
 
-    Of rows with the same text and label that with the lowest id stays. Equal rows
-    are combined before the only shuffle.
+    Of rows with the same text and label that with the lowest id stays. Hashes are
+    counted first; texts whose hash occurs once are not shuffled, and of the others
+    equal ones are combined before the shuffle.
     """
-    usable = df.where(F.col(label).isNotNull() & (strip_message(F.col(text)) != ""))
-    lowest = usable.groupBy(text, label).agg(F.min(id).alias(id))
-    return lowest.select(id, text, label)
+    usable = df.where(F.col(label).isNotNull() & (strip_message(F.col(text)) != "")).select(
+        F.col(id).alias("_id"), F.col(text).alias("_text"), F.col(label).alias("_label")
+    )
+    keyed = usable.withColumn("_hash", F.xxhash64("_text", "_label"))
+    repeated = keyed.groupBy("_hash").agg(F.count("*").alias("_rows")).where("_rows > 1")
+    repeated = settle(repeated.select("_hash"), "repeated")
+    flagged = may_be_listed(keyed, "_hash", repeated, "_again")
+    single = flagged.where("not _again").select("_id", "_text", "_label")
+    again = flagged.where("_again").groupBy("_text", "_label").agg(F.min("_id").alias("_id"))
+    found = single.unionByName(again)
+    return found.select(
+        F.col("_id").alias(id), F.col("_text").alias(text), F.col("_label").alias(label)
+    )
 
 
 def validate_sft(
@@ -49,17 +62,22 @@ def validate_sft(
 def split_overlap(train: DataFrame, test: DataFrame, text: str) -> DataFrame:
     """(text, train_rows, test_rows) of normalized texts that both splits hold.
 
-    Both sides are counted in one grouped pass, so texts are shuffled once, after
-    equal ones have been combined, and a text that fills a split is no hot key.
+    Hashes of both sides are counted first. Only texts whose hash both sides hold are
+    shuffled, equal ones combined before, so a text that fills a split is no hot key.
     """
     sides = train.select(F.col(text).alias("text"), F.lit(1).alias("train")).unionByName(
         test.select(F.col(text).alias("text"), F.lit(0).alias("train"))
     )
-    counts = sides.groupBy(normalize_text(F.col("text")).alias("text")).agg(
-        F.count_if(F.col("train") == 1).alias("train_rows"),
-        F.count_if(F.col("train") == 0).alias("test_rows"),
+    sides = sides.select(normalize_text(F.col("text")).alias("text"), "train").where(
+        "text is not null"
     )
-    return counts.where("text is not null and train_rows > 0 and test_rows > 0")
+    keyed = sides.withColumn("_hash", F.xxhash64("text"))
+    held = F.count_if(F.col("train") == 1), F.count_if(F.col("train") == 0)
+    shared = keyed.groupBy("_hash").agg(held[0].alias("_in"), held[1].alias("_out"))
+    shared = settle(shared.where("_in > 0 and _out > 0").select("_hash"), "shared")
+    near = may_be_listed(keyed, "_hash", shared, "_shared").where("_shared")
+    counts = near.groupBy("text").agg(held[0].alias("train_rows"), held[1].alias("test_rows"))
+    return counts.where("train_rows > 0 and test_rows > 0")
 
 
 def class_balance(df: DataFrame, label: str = "intent") -> DataFrame:

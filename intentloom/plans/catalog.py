@@ -18,6 +18,7 @@ from intentloom.plans.evaluation import score_and_evaluate as _evaluate
 from intentloom.plans.preparation import prepare_records as _prepare
 from intentloom.session import fresh_path, settle
 from intentloom.sources import corpus as files
+from intentloom.sources import footers
 from intentloom.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +103,16 @@ def label_dim(spark, sf_dir):
     return s.source_labels(spark, sf_dir)
 
 
+@query
+def label_names_from_files(spark, sf_dir):
+    """The corpus with ids for names, written with the names in its footers; these alone."""
+    path, vocab = fresh_path(spark, "named"), s.source_labels(spark, sf_dir)
+    docs = s.table(spark, sf_dir, "documents").withColumnRenamed("source", "intent")
+    coded = lookup_join(docs, vocab, "intent", "inner", ["doc_id"]).select("text", "label")
+    footers.with_label_names(coded, "label", vocab).write.parquet(path)
+    return footers.label_names_from_files(spark, path, "label")
+
+
 @query
 def load_label_vocab(spark, sf_dir):
     path = fresh_path(spark, "labels")

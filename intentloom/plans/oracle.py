@@ -293,6 +293,7 @@ SELECT conv_id, turn, message, decoded, raw, y_pred, match_kind FROM resolved"""
 UNION ALL SELECT text, 'test' FROM conversations
 UNION ALL SELECT text, 'validation' FROM benchmark""",
         "label_dim": f"WITH {SOURCE_LABELS} SELECT label, intent FROM source_labels",
+        "label_names_from_files": f"WITH {SOURCE_LABELS} SELECT label, intent FROM source_labels",
         "load_label_vocab": f"WITH {SOURCE_LABELS} SELECT label, intent FROM source_labels",
         "vocab_from_data": f"WITH {PART_LABELS} SELECT label, intent FROM part_labels",
         "read_sft_csv": f"WITH {RECORDS} SELECT {record_columns} FROM records",

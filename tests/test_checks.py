@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import executed_plan, rows, vocabulary
 from intentloom import session
-from intentloom.operators import checks, classify, evaluate, resolve, sampling, scale
+from intentloom.operators import checks, classify, evaluate, presence, resolve, sampling, scale
 
 CORPUS = "id bigint, text string, intent string"
 
@@ -129,3 +129,54 @@ def test_batched_scorers_and_nulls(spark):
 
     found = classify.batch_score_udf(feed, "m", load, batched=True)
     assert rows(found.select("decoded")) == [("aa",), ("bb",), (None,)]
+
+
+def exchanged_texts(plan, name):
+    """Whether a shuffle that is not fed by an aggregate of flagged rows holds `name`."""
+    lines = plan.splitlines()
+    return [
+        line
+        for k, line in enumerate(lines)
+        if "Exchange hashpartitioning" in line
+        and name in line
+        and not any("HashAggregate" in below for below in lines[k + 1 : k + 4])
+    ]
+
+
+def test_only_texts_of_repeated_keys_are_shuffled(spark, tmp_path):
+    df = spark.range(3000).select(
+        "id",
+        F.concat(F.lit("text "), F.when(F.col("id") < 2900, F.col("id")).otherwise(F.col("id") % 7)).alias("text"),
+        F.lit("x").alias("intent"),
+    )
+    df.write.parquet(f"{tmp_path}/t")
+    given = spark.read.parquet(f"{tmp_path}/t")
+    cleaned = checks.clean_corpus(given, "id", "text", "intent")
+    expected = {}
+    for row in df.collect():
+        expected[row["text"]] = min(row["id"], expected.get(row["text"], row["id"]))
+    assert {(r["text"], r["id"]) for r in cleaned.collect()} == set(expected.items())
+    assert cleaned.count() == len(expected) == 2900
+
+    keyed = given.withColumn("h", F.xxhash64("text", "intent"))
+    listed = keyed.groupBy("h").count().where("count > 1").select("h")
+    flagged = presence.may_be_listed(keyed, "h", session.settle(listed), "again")
+    missed = flagged.where("not again").join(listed, "h", "left_semi").count()
+    assert missed == 0 and 107 <= flagged.where("again").count() < 600
+    assert not exchanged_texts(executed_plan(cleaned), "_text")
+
+
+def test_presence_with_no_and_with_many_keys(spark, monkeypatch):
+    monkeypatch.setattr(presence, "MOST_BITMAPS", 1)
+    keys = spark.range(100_000).select(F.xxhash64("id").alias("h"))
+    none = presence.may_be_listed(keys, "h", keys.where("false"), "f")
+    assert none.where("f").count() == 0 and none.count() == 100_000
+    assert presence.may_be_listed(keys, "h", keys, "f").where("f").count() == 100_000
+
+
+def test_split_overlap_with_clashing_names_and_null_texts(spark):
+    schema = "text string, train int, _hash string"
+    one = spark.createDataFrame([("a", 5, "h"), (None, 6, "h"), ("", 7, None)], schema)
+    two = spark.createDataFrame([(" A", 5, "h"), (None, 6, "h"), (" ", 8, None)], schema)
+    assert rows(checks.split_overlap(one, two, "text")) == [("", 1, 1), ("a", 1, 1)]
+    assert rows(checks.split_overlap(one, two.where("false"), "text")) == []
