@@ -44,3 +44,5 @@ EPOCHS = 3
 
 # Every character Python's str.strip() removes: 29 of them, all below U+3001.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+# Rounds of the keyed permutation of an epoch.
+SWAP_ROUNDS = 24

@@ -54,16 +54,25 @@ class WordModel:
 
 def train_classifier_nb(df: DataFrame, text: str, label: str) -> WordModel:
     """Count words per class; the counts are written to the shared folder once."""
+    return model_of_counts(word_counts(df, text, label))
+
+
+def word_counts(df: DataFrame, text: str, label: str) -> DataFrame:
+    """(label, word, n, first): words per class, and texts by their first part; stored."""
     labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull())
     texts = labelled.select(F.col(label).alias("label"), F.col(text).alias("text"))
     # splitting gives every text a first part, so the first parts count the texts
     parts = use_all_cores(texts).select("label", F.posexplode(_words("text")).alias("pos", "word"))
-    stored = settle(
+    return settle(
         parts.groupBy("label", "word").agg(
             F.count("*").alias("n"), F.count_if(F.col("pos") == 0).alias("first")
         ),
         "word-counts",
     )
+
+
+def model_of_counts(stored: DataFrame) -> WordModel:
+    """The model that stored counts make; counts of several inputs may be added up before."""
     words = stored.where("word != ''").select("label", "word", "n")
     vocabulary = words.select("word").distinct().count()
     counted = settle(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from hashlib import md5
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from intentloom.functions import fixed
-from intentloom.operators.scale import SMALL_ROWS, is_small
+from intentloom.operators.scale import SMALL_ROWS, is_small, numbered
 from intentloom.session import settle
 
 # Positions are counted per hash prefix of this many hex digits: 65,536 even groups.
@@ -254,6 +255,57 @@ def training_batches(
     )
 
 
+def permuted_batches(
+    df: DataFrame,
+    id: str,
+    batch: int = fixed.BATCH_ROWS,
+    accumulation: int = fixed.ACCUMULATION,
+    epochs: int = fixed.EPOCHS,
+    seed: int = fixed.SEED,
+) -> DataFrame:
+    """As `training_batches`, with one sort for any number of epochs.
+
+    Ids are numbered once, in their order. Each epoch's position is a keyed permutation
+    of that number, worked out per row by the swap-or-not shuffle: in each round the
+    numbers x and key - x (modulo the rows) are partners, and one hashed bit decides for
+    both whether they change places. Rows with equal or null ids have numbers of their own.
+    """
+    ids = settle(df.select(F.col(id).alias("id")), "ids")
+    n = max(ids.count(), 1)
+    per_epoch = F.array(
+        *[
+            F.struct(F.lit(epoch).alias("epoch"), F.array(*_swap_keys(seed, epoch, n)).alias("keys"))
+            for epoch in range(epochs)
+        ]
+    )
+    drawn = numbered(ids, ["id"], "number").select("id", "number", F.inline(per_epoch))
+
+    def swapped(x: Column, key: Column) -> Column:
+        partner = F.pmod(key["key"] - x, F.lit(n).cast("bigint"))
+        digest = F.md5(F.concat(key["prefix"], F.greatest(x, partner).cast("string")))
+        return F.when(F.substring(digest, 1, 1) >= "8", partner).otherwise(x)
+
+    placed = drawn.withColumn("pos", F.aggregate("keys", F.col("number").cast("bigint"), swapped))
+    return placed.select(
+        "epoch",
+        "pos",
+        F.floor(F.col("pos") / batch).alias("micro_batch"),
+        F.floor(F.col("pos") / (batch * accumulation)).alias("step"),
+        "id",
+    )
+
+
+def _swap_keys(seed: int, epoch: int, n: int) -> list[Column]:
+    """Key of each round and the beginning of what its bits are hashed from."""
+    keys = []
+    for turn in range(fixed.SWAP_ROUNDS):
+        prefix = f"{seed}:{epoch}:{turn}"
+        key = int(md5(prefix.encode()).hexdigest()[:12], 16) % n
+        fields = F.lit(f"{prefix}:").alias("prefix"), F.lit(key).cast("bigint").alias("key")
+        keys.append(F.struct(*fields))
+    return keys
+
+
 #: Stands for an id that is null.
 NO_ID = "null"
 

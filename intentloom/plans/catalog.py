@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from intentloom.functions import fixed
 from intentloom.functions import text as t
-from intentloom.operators import checks, classify, corpus, evaluate, ledger, resolve, sampling
+from intentloom.operators import checks, classify, corpus, evaluate, ledger, resolve, resume, sampling
 from intentloom.operators.scale import lookup_join
 from intentloom.plans import publishing
 from intentloom.plans import standins as s
@@ -451,6 +451,11 @@ def sample_capped_per_class(spark, sf_dir):
     return sampling.sample_capped_per_class(docs, "lang", "doc_id")
 
 
+@query
+def permuted_batches(spark, sf_dir):
+    return sampling.permuted_batches(s.table(spark, sf_dir, "documents"), "doc_id")
+
+
 @query
 def stratified_split(spark, sf_dir):
     docs = s.table(spark, sf_dir, "documents")
@@ -508,6 +513,17 @@ def train_classifier_nb(spark, sf_dir):
     return _rounded(_language_model(spark, sf_dir).table(), "log_likelihood")
 
 
+@query
+def resume_classifier_nb(spark, sf_dir):
+    """The same counts, taken in by one update after another."""
+    docs = s.table(spark, sf_dir, "documents").select("text", "lang", "doc_id")
+    corpus_path, root = fresh_path(spark, "growing"), fresh_path(spark, "models")
+    for k in range(2):
+        docs.where(F.pmod("doc_id", F.lit(2)) == k).write.parquet(f"{corpus_path}/part{k}")
+        resume.update_classifier_nb(spark, root, "lang", corpus_path, "text", "lang")
+    return _rounded(resume.load_updated_model(spark, root, "lang").table(), "log_likelihood")
+
+
 @query
 def score_classifier_nb(spark, sf_dir):
     model = _language_model(spark, sf_dir)

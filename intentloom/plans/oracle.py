@@ -219,6 +219,20 @@ RUNS = """runs AS (
   FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1)"""
 
+def _swapped_rounds() -> str:
+    """The numbers of `documents` in each epoch, after every round of the shuffle."""
+    rows = f"""SELECT CAST(epoch AS INTEGER) AS epoch, id, n, x FROM (
+  SELECT doc_id AS id, row_number() OVER (ORDER BY doc_id) - 1 AS x, count(*) OVER () AS n
+  FROM documents), range({fixed.EPOCHS}) e(epoch)"""
+    for turn in range(fixed.SWAP_ROUNDS):
+        key = f"'{fixed.SEED}:' || epoch || ':{turn}'"
+        rows = f"""SELECT epoch, id, n,
+  CASE WHEN substr(md5({key} || ':' || greatest(x, y)), 1, 1) >= '8' THEN y ELSE x END AS x
+FROM (SELECT *, (CAST('0x' || substr(md5({key}), 1, 12) AS BIGINT) % n - x + n) % n AS y
+FROM ({rows}))"""
+    return rows
+
+
 WORD_MODEL = """tokens AS (
   SELECT lang AS label, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS word
   FROM documents),
@@ -463,6 +477,9 @@ QUALIFY row_number() OVER (
   FROM documents, range({fixed.EPOCHS}) e(epoch))
 SELECT epoch, pos, pos // {fixed.BATCH_ROWS} AS micro_batch, pos // {update} AS step, id
 FROM placed""",
+        "permuted_batches": f"""SELECT epoch, x AS pos, x // {fixed.BATCH_ROWS} AS micro_batch,
+  x // {update} AS step, id
+FROM ({_swapped_rounds()})""",
         "latest_run": f"""WITH {RUNS}
 SELECT run_name, created_at_utc, test_accuracy_percent FROM runs
 ORDER BY created_at_utc DESC, run_name DESC LIMIT 1""",
@@ -483,6 +500,9 @@ SELECT id, lower({_strip("text")}) AS text, label, split, intent,
 FROM drawn JOIN language_labels USING (intent)""",
         "train_classifier_nb": f"""WITH {WORD_MODEL}
 SELECT label, word, n, round(ln(n + 1) - norm, 6) AS log_likelihood
+FROM words JOIN classes USING (label)""",
+        "resume_classifier_nb": f"""WITH {WORD_MODEL}
+SELECT label, word, n, round(ln(n + 1) - norm, 6) AS log_likelihood
 FROM words JOIN classes USING (label)""",
         "score_classifier_nb": f"""WITH {_word_scores(PAGE_FEED)}
 SELECT id, label FROM predicted""",

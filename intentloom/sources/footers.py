@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 import pyarrow.fs
@@ -72,9 +71,9 @@ def _footer_names(column: str) -> Callable:
 
 
 def _footer(path: str) -> dict[bytes, bytes]:
-    parts = urlparse(path)
-    if parts.scheme in ("", "file"):
-        system, inner = pyarrow.fs.LocalFileSystem(), unquote(parts.path)
+    if path.startswith(("file:", "/")):  # Spark's paths are not percent-encoded
+        inner = "/" + path.removeprefix("file:").lstrip("/")
+        system = pyarrow.fs.LocalFileSystem()
     else:
         system, inner = pyarrow.fs.FileSystem.from_uri(path)
     with system.open_input_file(inner) as file:

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from helpers import executed_plan, rows, vocabulary
 from intentloom.functions import fixed
-from intentloom.operators import corpus, sampling
+from intentloom.operators import corpus, sampling, scale
 from intentloom.plans.preparation import prepare_records
 
 
@@ -123,3 +123,31 @@ def test_prepare_records_normalizes_samples_and_decodes(spark):
         assert row["text"] == row["input"] == f"{row['split']} {row['id']}"
         assert row["output"] == row["intent"] == "ab"[row["label"]]
         assert row["instruction"] == corpus.instruction_text(vocab)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 300])
+def test_permuted_batches_are_a_bijection_per_epoch(spark, monkeypatch, n):
+    monkeypatch.setattr(scale, "SMALL_ROWS", 100)
+    ids = spark.range(n).select(F.when(F.col("id") % 50 != 3, F.col("id") % 90).alias("id"))
+    found = sampling.permuted_batches(ids, "id", batch=4, accumulation=2, epochs=3).collect()
+    assert len(found) == 3 * n
+    orders = []
+    for epoch in range(3):
+        ids_of = {r["pos"]: -1 if r["id"] is None else r["id"] for r in found if r["epoch"] == epoch}
+        own = sorted(ids_of.items())
+        assert [pos for pos, _ in own] == list(range(n))
+        orders.append([id for _, id in own])
+        assert sorted(map(str, orders[-1])) == sorted(map(str, orders[0]))
+    assert all((r["micro_batch"], r["step"]) == (r["pos"] // 4, r["pos"] // 8) for r in found)
+    if n == 300:
+        assert orders[0] != orders[1] != orders[2]
+        other = sampling.permuted_batches(ids, "id", epochs=1, seed=9).orderBy("pos").collect()
+        assert [r["id"] for r in other] != [None if k == -1 else k for k in orders[0]]
+
+
+def test_epochs_of_permuted_batches_shuffle_nothing(spark):
+    def shuffles(epochs):
+        plan = executed_plan(sampling.permuted_batches(spark.range(5000), "id", epochs=epochs))
+        return plan.count("Exchange"), plan.count("Sort")
+
+    assert shuffles(1) == shuffles(6)

@@ -22,8 +22,8 @@ def write_dataset_file(path, names):
 
 
 def test_names_of_dataset_files(spark, tmp_path):
-    (tmp_path / "part one").mkdir()
-    for name in ("a.parquet", "part one/b.parquet"):
+    (tmp_path / "part %20 one#").mkdir()
+    for name in ("a.parquet", "part %20 one#/b.parquet"):
         write_dataset_file(tmp_path / name, ["card_lost", "pin"])
     found = footers.label_names_from_files(spark, str(tmp_path), "label")
     assert rows(found) == [(0, "card_lost"), (1, "pin")]
