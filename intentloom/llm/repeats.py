@@ -1,10 +1,14 @@
 """Passages of many bytes that stand in two places, found by a prefix-free parse.
 
 A rolling hash of the bytes before a place triggers a phrase border there, so equal
-text has equal borders. Every window of SPAN bytes is named by the phrases it holds
-whole: from its first border to its last. Neighbouring windows with the same borders
-make a cell. Windows can only be equal in cells of one name and at the same distance
-from the border, so:
+text has equal borders, and a passage that stands twice is made of phrases that stand
+twice, but for its two ends. Phrases are counted first: a window of SPAN bytes that holds
+a phrase of which the corpus has only one cannot stand twice. Most text ends here, and
+only hashes of phrases were shuffled.
+
+Every window that is left is named by the phrases it holds whole: from its first border
+to its last. Neighbouring windows with the same borders make a cell. Windows can only be
+equal in cells of one name and at the same distance from the border, so:
 
 - a cell whose name stands alone in the corpus holds no repeated window;
 - where all cells of a name are equal throughout, all their windows are repeated;
@@ -12,8 +16,8 @@ from the border, so:
   small cells that go through the same, and of what is left single windows are
   compared, by their own hash.
 
-Only names and counts are shuffled for all of the corpus, about one cell per 50
-bytes, small cells and windows for passage ends alone.
+A text that has copies stands for them with their number, and only texts with cells to
+cut, or with bytes to remove, are shuffled.
 """
 
 from __future__ import annotations
@@ -23,10 +27,13 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from intentloom.llm.shared import lists, once
+from intentloom.operators.presence import BITMAP_BITS, BITS_PER_KEY, MOST_BITMAPS, may_be_listed
+from intentloom.operators.scale import spread_join
 from intentloom.session import settle
 
 SPAN = 400
@@ -38,6 +45,8 @@ SMALL_CELL = 8
 ROWS = 256
 #: One border in so many bytes; each further level serves windows without any so far.
 LEVELS = (192, 48, 8)
+#: One border in so many bytes, for the phrases that are counted.
+PHRASE = 48
 BASE = 0x9E3779B97F4A7C15
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -68,15 +77,53 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up[:n], down[:n]
 
 
-def border_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the TRIGGER bytes that end at each place TRIGGER..n."""
-    up, down = _powers(len(data))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    hashes = (sums[TRIGGER:] - sums[:-TRIGGER]) * down[: len(data) + 1 - TRIGGER]
-    hashes ^= hashes >> np.uint64(32)
-    hashes *= MIX
-    return hashes ^ (hashes >> np.uint64(29))
+class Hashed:
+    """Rolling hashes of a text: of any stretch of it, from sums over its beginnings."""
+
+    def __init__(self, data: bytes):
+        values = np.frombuffer(data, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+        up, self.down = _powers(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(values * up[:-1], out=self.sums[1:])
+        self.triggers = self._mixed((self.sums[TRIGGER:] - self.sums[:-TRIGGER]) * self.down[:-TRIGGER])
+
+    @staticmethod
+    def _mixed(hashes: np.ndarray) -> np.ndarray:
+        hashes ^= hashes >> np.uint64(32)
+        hashes *= MIX
+        hashes ^= hashes >> np.uint64(29)
+        return hashes
+
+    def borders(self, every: int) -> np.ndarray:
+        """Places before which TRIGGER bytes ask for a border."""
+        return np.flatnonzero(self.triggers % np.uint64(every) == 0) + TRIGGER
+
+    def phrases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, first and end byte of each stretch between borders, triggers included."""
+        borders = self.borders(PHRASE)
+        begins, ends = borders[:-1] - TRIGGER, borders[1:]
+        hashes = (self.sums[ends] - self.sums[begins]) * self.down[begins]
+        return self._mixed(hashes + (ends - begins).astype(np.uint64) * MIX), begins, ends
+
+
+def phrase_hashes(data: bytes) -> np.ndarray:
+    """Signed hashes of a text's phrases; a text without a window has none."""
+    if len(data) < SPAN:
+        return np.empty(0, dtype=np.int64)
+    return Hashed(data).phrases()[0].view(np.int64)
+
+
+def open_windows(hashed: Hashed, last: int, known: np.ndarray) -> np.ndarray:
+    """Whether each window up to `last` holds only phrases whose bit in `known` is on."""
+    hashes, begins, ends = hashed.phrases()
+    at = hashes & np.uint64(len(known) * 8 - 1)
+    bits = known[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1
+    lone = np.flatnonzero(bits == 0)
+    # windows that hold the phrase whole begin at low..high
+    low, high = np.maximum(ends[lone] - SPAN, 0), np.minimum(begins[lone], last)
+    low, high = low[low <= high], high[low <= high]
+    edges = np.bincount(low, minlength=last + 2) - np.bincount(high + 1, minlength=last + 2)
+    return np.cumsum(edges[: last + 1]) == 0
 
 
 def _changes(borders: np.ndarray, last: int) -> np.ndarray:
@@ -85,14 +132,31 @@ def _changes(borders: np.ndarray, last: int) -> np.ndarray:
     return moves[(moves > 0) & (moves <= last)]
 
 
-def cells(data: bytes) -> tuple[np.ndarray, ...]:
-    """A text's cells as columns, see _CELL_FIELDS."""
+def cells(data: bytes, known: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """A text's cells as columns, see _CELL_FIELDS; with `known`, those of open windows."""
     last = len(data) - SPAN
     if last < 0:
         return _columns([])
-    hashes = border_hashes(np.frombuffer(data, dtype=np.uint8))
-    levels = [np.flatnonzero(hashes % np.uint64(p) == 0) + TRIGGER for p in LEVELS]
-    starts = np.unique(np.append(_changes(levels[0], last), 0))
+    hashed = Hashed(data)
+    if known is None:
+        usable = np.ones(last + 1, dtype=bool)
+    else:
+        usable = open_windows(hashed, last, known)
+    turns = np.flatnonzero(np.diff(usable, prepend=False, append=False))
+    begins, limits = turns[::2], turns[1::2]  # of the runs of usable windows
+    if not len(begins):
+        return _columns([])
+
+    def usable_changes(borders: np.ndarray) -> np.ndarray:
+        moves = _changes(borders, last)
+        return moves[usable[moves]]
+
+    def ends_of(starts: np.ndarray) -> np.ndarray:
+        run_ends = limits[np.searchsorted(begins, starts, "right") - 1]
+        return np.minimum(np.append(starts[1:], last + 1), run_ends)
+
+    levels = [hashed.borders(p) for p in LEVELS]
+    starts = np.unique(np.concatenate([usable_changes(levels[0]), begins]))
     held = _ends(starts, levels[0])
     for borders in [*levels[1:], None]:
         # windows without a border of the levels so far are cut by the next one
@@ -101,10 +165,10 @@ def cells(data: bytes) -> tuple[np.ndarray, ...]:
             break
         if borders is None:
             more = np.concatenate(
-                [np.arange(a, b) for a, b in zip(starts[empty], np.append(starts[1:], last + 1)[empty])]
+                [np.arange(a, b) for a, b in zip(starts[empty], ends_of(starts)[empty])]
             )
         else:
-            more = _changes(borders, last)
+            more = usable_changes(borders)
             more = more[empty[np.searchsorted(starts, more, "right") - 1]]
         all_starts = np.unique(np.concatenate([starts, more]))
         of_cell = np.searchsorted(starts, all_starts, "right") - 1
@@ -113,7 +177,7 @@ def cells(data: bytes) -> tuple[np.ndarray, ...]:
             again = _ends(all_starts, borders)
             ends = [np.where(empty[of_cell], new, old) for new, old in zip(again, ends)]
         starts, held = all_starts, ends
-    sizes = np.diff(np.append(starts, last + 1))
+    sizes = ends_of(starts) - starts
     digest = xxhash.xxh3_64_intdigest
     found = []
     rows = zip(starts.tolist(), sizes.tolist(), held[0].tolist(), held[1].tolist())
@@ -184,23 +248,53 @@ def _slices(*arrays: pa.Array) -> Iterator[tuple[list, ...]]:
         yield tuple(a.slice(start, ROWS).to_pylist() for a in arrays)
 
 
-def cells_udf() -> Callable:
+def _phrases_udf() -> Callable:
+    @F.arrow_udf("array<bigint>")
+    def phrases(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for (texts,) in _slices(batch):
+                yield lists([phrase_hashes((t or "").encode()) for t in texts], pa.int64())
+
+    return phrases
+
+
+def _repeated_bits(texts: DataFrame) -> Broadcast:
+    """A bit for the hash of each phrase that stands twice, in at most 8 MiB.
+
+    With very many such phrases more bits are on than need be, never fewer.
+    """
+    hashes = texts.select(F.explode(_phrases_udf()(F.col("text"))).alias("phrase"))
+    twice = hashes.groupBy("phrase").count().where("count > 1").select("phrase")
+    twice = settle(twice, "phrases")
+    wanted = -(-twice.count() * BITS_PER_KEY // BITMAP_BITS)
+    bitmaps = min(1 << max(wanted - 1, 0).bit_length(), MOST_BITMAPS)
+    place = F.col("phrase").bitwiseAND(F.lit(bitmaps * BITMAP_BITS - 1)) + 1
+    bits = twice.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    known = np.zeros((bitmaps, BITMAP_BITS // 8), dtype=np.uint8)
+    for row in bits.collect():  # at most MOST_BITMAPS rows of 4 KiB
+        known[row["bucket"] - 1] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return texts.sparkSession.sparkContext.broadcast(known.reshape(-1))
+
+
+def _cells_udf(known: Broadcast) -> Callable:
     @F.arrow_udf(CELL_DDL)
     def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             for (texts,) in _slices(batch):
-                yield _cell_lists([cells((t or "").encode()) for t in texts])
+                yield _cell_lists([cells((t or "").encode(), known.value) for t in texts])
 
     return parse
 
 
 def _small_cells_udf(width: int) -> Callable:
-    """Arrow UDF: (row, its cells to cut) -> small cells."""
+    """Arrow UDF: (text, its cells to cut) -> small cells."""
 
     @F.arrow_udf(CELL_DDL)
     def refine(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for rows, wanted in batches:
-            for texts, own in _slices(rows.field("text"), wanted):
+        for written, wanted in batches:
+            for texts, own in _slices(written, wanted):
                 pairs = zip(texts, own)
                 yield _cell_lists(
                     [small_cells((t or "").encode(), c or [], width) for t, c in pairs]
@@ -251,14 +345,6 @@ def _cut_udf() -> Callable:
     return remove.asNondeterministic()  # else each field of the result would run it anew
 
 
-def _keyed(text: Column) -> dict[str, Column]:
-    """What names a text in the tables of cells: 96 bits of its hashes."""
-    return {
-        "key": F.xxhash64(text),
-        "tag": F.shiftright(F.xxhash64(text, F.lit(1)), 32).cast("int"),
-    }
-
-
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -269,58 +355,89 @@ def remove_repeats(
     is any other place in any row, the same text included; matches end with their text.
     A null text counts as empty. Repeated rows and exact copies of SPAN bytes or more
     are repeated throughout and lose everything. Null ids stay, other columns are not
-    read.
+    read. Runs jobs when called; what is left to do is one join.
 
-    Texts are named by hashes, so copies share their cells' results, and a text that
-    is copied without end adds rows but no larger group: counts are combined before
-    they are shuffled, and cells of one text are gathered as a set.
+    Texts are named by 128-bit hashes. Copies are one text with their number in all
+    tables of cells, and the last join salts the names of many copies.
     """
     text = F.coalesce(text_col, F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumns(
-        _keyed(F.col("text"))
+    keyed = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    keyed = keyed.withColumn("key", F.unhex(F.md5("text")))
+    long = keyed.where(F.octet_length("text") >= SPAN)
+    known = _repeated_bits(long.select("text"))
+    parsed = long.select("key", F.explode(_cells_udf(known)(F.col("text"))).alias("cell"))
+    parsed = parsed.groupBy("key", "cell").agg(F.count("*").alias("copies"))
+    parsed = settle(parsed.select("key", "copies", "cell.*"), "cells")
+    coarse = settle(_repeated(parsed), "repeated-cells")
+    met = settle(_with_text(long, coarse), "mixed-texts")
+    small = settle(_cut_small(met, SMALL_CELL), "small-cells")
+    fine = settle(_repeated(small), "repeated-small-cells")
+    met = met.drop("mixed").join(_mixed(fine), ["key", "copies"])
+    windows = settle(_cut_small(met, 1), "windows")
+    single = _repeated(windows)  # windows of one name are alike or have another content
+    spans = coarse.select("key", "copies", "whole")
+    for found in (fine, single):
+        spans = spans.unionByName(found.select("key", "copies", "whole"))
+    spans = spans.groupBy("key", "copies").agg(F.flatten(F.collect_list("whole")).alias("whole"))
+    copied = F.col("copies") > 1  # such texts are repeated throughout
+    spans = spans.where(copied | (F.size("whole") > 0)).select(
+        "key", F.when(~copied, F.col("whole")).alias("whole"), copied.alias("copied")
     )
-    parsed = keyed.where(F.octet_length("text") >= SPAN).select(
-        "key", "tag", F.explode(cells_udf()(F.col("text"))).alias("cell")
-    )
-    coarse = settle(_repeated(parsed.select("key", "tag", "cell.*")), "repeated-cells")
-    # lazy from here on: with the same columns Spark shuffles the texts once for all three uses
-    fine = _repeated(_cut_small(keyed, coarse, SMALL_CELL))
-    windows = _cut_small(keyed, fine, 1)
-    twice = windows.groupBy("name", "content").count().where("count > 1").drop("count")
-    single = windows.join(twice, ["name", "content"]).groupBy("key", "tag")
-    single = single.agg(F.collect_set(F.struct("start", "size")).alias("whole"))
-    spans = coarse.select("key", "tag", "whole")
-    spans = spans.unionByName(fine.select("key", "tag", "whole")).unionByName(single)
-    spans = spans.groupBy("key", "tag").agg(F.flatten(F.collect_list("whole")).alias("whole"))
-    return (
-        keyed.join(spans, ["key", "tag"], "left")
-        .select(F.col("id").alias(id_col), _cut_udf()(F.col("text"), F.col("whole")).alias("_cut"))
-        .select(id_col, "_cut.*")
+    return _removed(keyed, settle(spans, "spans"), id_col)
+
+
+def _removed(keyed: DataFrame, spans: DataFrame, id_col: str) -> DataFrame:
+    """The rows with what is left of their texts; only those that may lose bytes move."""
+    flagged = may_be_listed(keyed, "key", spans.select("key"), "listed")
+    size = F.octet_length("text").cast("bigint")
+    none = F.lit(0).cast("bigint")
+    as_they_are = flagged.where(~F.col("listed")).select(
+        F.col("id").alias(id_col),
+        F.col("text").cast("binary").alias("kept"),
+        size.alias("n_bytes"),
+        none.alias("n_removed"),
+        none.alias("n_spans"),
     )
+    met = spread_join(flagged.where("listed").drop("listed"), spans, "key", "left", ["id", "key"])
+    whole = F.array(F.struct(none.cast("int").alias("start"), (size - SPAN + 1).cast("int").alias("size")))
+    whole = F.when(F.col("copied"), whole).otherwise(F.col("whole"))
+    cut_off = met.select(F.col("id").alias(id_col), _cut_udf()(F.col("text"), whole).alias("_cut"))
+    return as_they_are.unionByName(cut_off.select(id_col, "_cut.*"))
 
 
 def _repeated(found: DataFrame) -> DataFrame:
     """Per text the cells whose windows are all repeated (`whole`), and those whose name
-    stands elsewhere with other content (`mixed`). Cells of a name of its own are left out."""
+    stands elsewhere with other content (`mixed`). Cells of a name of its own are left out.
+
+    `found` is a stored table, read three times; a text's copies are one row per cell.
+    """
     names = (
         found.groupBy("name")
-        .agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b"))
+        .agg(F.sum("copies").alias("n"), F.min("content").alias("a"), F.max("content").alias("b"))
         .where("n > 1")
         .select("name", (F.col("a") == F.col("b")).alias("alike"))
     )
     whole = F.when(F.col("alike"), F.struct("start", "size"))
     mixed = F.when(~F.col("alike"), F.struct("start", "size", "lead"))
     return (
-        found.drop("content")
-        .join(names, "name")
-        .groupBy("key", "tag")
-        .agg(F.collect_set(whole).alias("whole"), F.collect_set(mixed).alias("mixed"))
+        spread_join(found.drop("content"), names, "name", "inner", ["key", "start"])
+        .groupBy("key", "copies")
+        .agg(F.collect_list(whole).alias("whole"), F.collect_list(mixed).alias("mixed"))
     )
 
 
-def _cut_small(keyed: DataFrame, marked: DataFrame, width: int) -> DataFrame:
+def _mixed(found: DataFrame) -> DataFrame:
+    return found.where(F.size("mixed") > 0).select("key", "copies", "mixed")
+
+
+def _with_text(long: DataFrame, found: DataFrame) -> DataFrame:
+    """The texts with mixed cells, once each however many copies there are."""
+    flagged = may_be_listed(long, "key", _mixed(found).select("key"), "listed")
+    texts = flagged.where("listed").groupBy("key").agg(F.first("text").alias("text"))
+    return texts.join(_mixed(found), "key")
+
+
+def _cut_small(met: DataFrame, width: int) -> DataFrame:
     """The small cells of the mixed cells of every text."""
-    met = keyed.join(marked.select("key", "tag", "mixed").where(F.size("mixed") > 0), ["key", "tag"])
-    row = F.struct("id", "text", "key", "tag")
-    cut_up = F.explode(_small_cells_udf(width)(row, F.col("mixed"))).alias("cell")
-    return met.select("key", "tag", cut_up).select("key", "tag", "cell.*")
+    small = _small_cells_udf(width)(F.col("text"), F.col("mixed"))
+    return met.select("key", "copies", F.explode(small).alias("cell")).select("key", "copies", "cell.*")

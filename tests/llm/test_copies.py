@@ -253,6 +253,38 @@ def test_repeats_are_those_of_comparing_all_places(spark):
     assert repeats.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_repeats_of_copies_that_are_many_and_nearly_alike(spark):
+    """One text has most rows, some with the same id, and others differ from it in a place."""
+    draw = random.Random(8)
+    base = "".join(draw.choice("abcdefgh ") for _ in range(1500))
+    near = [base[:k] + "#" + base[k + 1 :] for k in (0, 399, 400, 700, 701, 1100, 1499)]
+    docs = [base] * 40 + near + [base[450:1000] + "!", "x" + base[:398], near[2]]
+    rows = [(3 if i < 30 else None if i < 35 else i, t) for i, t in enumerate(docs)]
+    found = repeats.remove_repeats(frame(spark, rows)).collect()
+    results = [
+        (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest())
+        for r in found
+    ]
+    assert sorted(results) == sorted(cut_by_definition([t.encode() for t in docs]))
+
+
+def test_windows_are_closed_by_lone_phrases_only():
+    draw = random.Random(9)
+    data = bytes(draw.choice(b"abcdef") for _ in range(4000))
+    last = len(data) - repeats.SPAN
+    hashed = repeats.Hashed(data)
+    hashes, begins, ends = hashed.phrases()
+    assert len(hashes) > 20
+    all_on = np.full(4096, 255, dtype=np.uint8)
+    assert repeats.open_windows(hashed, last, all_on).all()
+    all_off = np.zeros(4096, dtype=np.uint8)
+    held = [any(i <= b and e <= i + 400 for b, e in zip(begins, ends)) for i in range(last + 1)]
+    assert (repeats.open_windows(hashed, last, all_off) == ~np.array(held)).all()
+    # the hash of a phrase depends on its bytes alone
+    moved = repeats.Hashed(b"zz" + data[begins[0] :])
+    assert moved.phrases()[0].tolist()[-len(hashes) :] == hashes.tolist()
+
+
 def test_repeats_query_on_whole_texts(spark):
     from intentloom.llm.queries import QUERIES
 
