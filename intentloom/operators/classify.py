@@ -22,12 +22,17 @@ from intentloom.operators.scale import (
     fetch_small,
     is_small,
     lookup_join,
+    numbered,
     spread_join,
     use_all_cores,
 )
 from intentloom.session import settle
 
 FEW_CLASSES = 128
+# Classes whose scores are bounded together, where there are more than FEW_CLASSES.
+CLASS_BLOCK = 64
+# Above what rounding and the order of a sum can change in a score.
+BOUND_SLACK = 1e-5
 WORD_BREAK = "[^a-z]+"
 SCORE_DIGITS = 6
 # A word model up to this size is broadcast (see also scale.SMALL_BYTES).
@@ -109,7 +114,7 @@ def score_classifier_nb(df: DataFrame, id: str, text: str, model: WordModel) ->
     columns_fit = sum(c["vocabulary"] for c in classes) * 8 <= SMALL_BYTES
     if classes and (columns_fit or not words_fit):
         return _score_all_classes(tokens, model, classes, words_fit and columns_fit)
-    return _score_seen_classes(tokens, model, words_fit)
+    return _score_class_blocks(tokens, model, words_fit)
 
 
 def _with_model(tokens: DataFrame, by_word: DataFrame, fits: bool) -> DataFrame:
@@ -154,57 +159,115 @@ def _score_all_classes(
     return sums.select("id", F.get(names, -best).alias("label"))
 
 
-def _score_seen_classes(tokens: DataFrame, model: WordModel, fits: bool) -> DataFrame:
-    """Scoring for many classes, by the (class, word) pairs that were seen.
+def _score_class_blocks(tokens: DataFrame, model: WordModel, fits: bool) -> DataFrame:
+    """Scoring for many classes, in blocks of classes that bounds let be skipped.
 
-    A class that shares no word with a text scores prior - tokens * norm. The best
-    of those depends only on the number of known tokens, so only the classes that
-    share a word are kept per text, and that one candidate is added at the end.
+    A block's bound for a text sums the highest weight that any of its classes has for
+    each word. The block of the highest bound is scored class by class; after that only
+    blocks whose bound reaches the best score so far. A class that shares no word with
+    a text scores prior - tokens * norm; the best of those depends only on the number of
+    known tokens and is a candidate of its own.
     """
-    by_word = model.words.groupBy("word").agg(
-        F.collect_list(F.struct("label", F.log(F.col("n") + 1).alias("weight"))).alias("seen")
+    constants = model.classes.select("label", "log_prior", "log_norm")
+    # classes of like norms share a block, so its bound is near their scores
+    placed = numbered(constants, ["log_norm", "label"], "_at")
+    block = F.floor(F.col("_at") / CLASS_BLOCK).cast("int").alias("block")
+    placed = settle(placed.select(*constants.columns, block), "class-blocks")
+    weights = model.words.select("label", "word", F.log(F.col("n") + 1).alias("weight"))
+    weights = lookup_join(weights, placed.select("label", "block"), "label", "inner", ["word"])
+    by_block = weights.groupBy("word", "block").agg(
+        F.max("weight").alias("top"), F.collect_list(F.struct("label", "weight")).alias("members")
+    )
+    by_block = settle(by_block, "block-words")
+    counted = settle(tokens.groupBy("id", "word").agg(F.count("*").alias("times")), "text-words")
+
+    per_text = settle(_block_bounds(counted, by_block, placed, fits), "block-bounds")
+    others = _best_without_words(per_text.select("known").distinct(), constants)
+    per_text = lookup_join(per_text, others, "known", "left", ["id"])
+    highest = F.array_max("bounds").getField("block")
+    pairs = per_text.where(F.size("bounds") > 0).select("id", "known", highest.alias("block"))
+    first = settle(_best_of_blocks(counted, pairs, by_block, constants, fits), "first-blocks")
+
+    def with_best(texts: DataFrame, found: DataFrame, name: str) -> DataFrame:
+        found = found.select(F.col("id").alias("_id"), F.col("best").alias(name))
+        return texts.join(found, F.col("id").eqNullSafe(F.col("_id")), "left").drop("_id")
+
+    per_text = with_best(per_text, first, "first")
+    reached = F.greatest(F.col("other.score"), -F.col("first.minus")) - BOUND_SLACK
+    left = F.filter("bounds", lambda b: (b["bound"] >= reached) & (b["block"] != highest))
+    pairs = settle(
+        per_text.select("id", "known", F.explode(F.transform(left, lambda b: b["block"])).alias("block")),
+        "blocks-left",
     )
-    known = _with_model(tokens, by_word, fits)
-    kind = model.classes.schema["label"].dataType
-    # the row without a label counts the known tokens of the text
+    rest = _best_of_blocks(counted, pairs, by_block, constants, fits)
+    other = F.struct((-F.col("other.score")).alias("minus"), F.col("other.label").alias("label"))
+    best = F.array_min(F.array_compact(F.array(other, "first", "rest")))
+    return with_best(per_text, rest, "rest").select("id", best.getField("label").alias("label"))
+
+
+def _block_bounds(
+    counted: DataFrame, by_block: DataFrame, placed: DataFrame, fits: bool
+) -> DataFrame:
+    """(id, known, bounds): known tokens of a text, and (bound, block) where it shares a word."""
+    by_word = by_block.groupBy("word").agg(F.collect_list(F.struct("block", "top")).alias("tops"))
+    met = _with_model(counted, by_word, fits)
+    # the row without a block counts the known tokens of the text
     total = F.struct(
-        F.lit(None).cast(kind).alias("label"),
-        F.col("seen").isNotNull().cast("double").alias("weight"),
+        F.lit(None).cast("int").alias("block"),
+        F.when(F.col("tops").isNotNull(), F.col("times")).otherwise(0).cast("double").alias("weight"),
     )
-    unseen = F.array().cast(f"array<struct<label:{kind.simpleString()},weight:double>>")
-    parts = F.concat(F.array(total), F.coalesce("seen", unseen))
-    sums = (
-        known.select("id", F.inline(parts))
-        .groupBy("id", "label")
-        .agg(F.sum("weight").alias("weight"))
+    tops = F.transform(
+        "tops",
+        lambda t: F.struct(t["block"].alias("block"), (t["top"] * F.col("times")).alias("weight")),
     )
-    constants = model.classes.select("label", "log_prior", "log_norm")
-    scored = lookup_join(sums, constants, "label", "left", ["id"])
-    per_text = scored.groupBy("id").agg(
-        F.max(F.when(F.col("label").isNull(), F.col("weight"))).alias("known"),
-        F.collect_list(
-            F.when(F.col("label").isNotNull(), F.struct("label", "weight", "log_prior", "log_norm"))
-        ).alias("seen"),
+    none = F.array().cast("array<struct<block:int,weight:double>>")
+    sums = met.select("id", F.inline(F.concat(F.array(total), F.coalesce(tops, none))))
+    sums = sums.groupBy("id", "block").agg(F.sum("weight").alias("weight"))
+    ranges = placed.groupBy("block").agg(
+        F.max("log_prior").alias("prior"), F.min("log_norm").alias("norm")
     )
-    per_text = settle(per_text, "text-scores")
-    others = _best_without_words(per_text.select("known").distinct(), constants)
-    known_words = F.transform(
-        "seen",
-        lambda c: _candidate(
-            c["weight"] - F.col("known") * c["log_norm"] + c["log_prior"], c["label"]
-        ),
+    shared = F.when(F.col("block").isNotNull(), F.struct("block", "weight", "prior", "norm"))
+    per_text = (
+        lookup_join(sums, ranges, "block", "left", ["id"])
+        .groupBy("id")
+        .agg(
+            F.max(F.when(F.col("block").isNull(), F.col("weight"))).alias("known"),
+            F.collect_list(shared).alias("shared"),
+        )
     )
-    best = F.aggregate(
-        known_words,
-        F.col("other"),
-        lambda a, b: F.when(
-            (b["score"] > a["score"]) | ((b["score"] == a["score"]) & (b["label"] < a["label"])),
-            b,
-        ).otherwise(a),
+    bounds = F.transform(
+        "shared",
+        lambda s: F.struct(
+            (s["weight"] + s["prior"] - F.col("known") * s["norm"]).alias("bound"),
+            s["block"].alias("block"),
+        ),
     )
-    return lookup_join(per_text, others, "known", "left", ["id"]).select(
-        "id", best.getField("label").alias("label")
+    return per_text.select("id", "known", bounds.alias("bounds"))
+
+
+def _best_of_blocks(
+    counted: DataFrame, pairs: DataFrame, by_block: DataFrame, constants: DataFrame, fits: bool
+) -> DataFrame:
+    """(id, best): the best class of each text in the blocks that `pairs` names for it."""
+    pairs = pairs.withColumnRenamed("id", "_id")
+    words = counted.where(F.col("word").isNotNull())
+    words = words.join(pairs, F.col("id").eqNullSafe(F.col("_id"))).drop("_id")
+    key = F.concat_ws(" ", "block", "word")  # words have no spaces
+    words = words.select("id", "known", "times", key.alias("key"))
+    members = by_block.select(key.alias("key"), "members")
+    if fits:
+        met = words.join(F.broadcast(members), "key")
+    else:
+        met = spread_join(words, members, "key", "inner", ["id"])
+    sums = (
+        met.select("id", "known", "times", F.inline("members"))
+        .groupBy("id", "known", "label")
+        .agg(F.sum(F.col("times") * F.col("weight")).alias("weight"))
     )
+    scored = lookup_join(sums, constants, "label", "left", ["id"])
+    score = F.col("weight") - F.col("known") * F.col("log_norm") + F.col("log_prior")
+    best = F.struct((-F.round(score, SCORE_DIGITS)).alias("minus"), "label")
+    return scored.groupBy("id").agg(F.min(best).alias("best"))
 
 
 def _candidate(score: Column, label: Column) -> Column:

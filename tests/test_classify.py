@@ -63,6 +63,38 @@ def test_word_model_scores_as_defined(spark, monkeypatch, path, classes):
     assert found == predict(train, [*texts, (903, "")])
 
 
+def test_blocks_of_classes_that_cannot_win_are_skipped(spark, monkeypatch):
+    draw = random.Random(6)
+    common = [f"c{a}{b}" for a in "abcdef" for b in "abcde"]
+    labels = [f"{a}{b}" for a in "ghijklmnop" for b in "ghijkl"]
+    own = {x: [f"w{x}{c}" for c in "abcd"] for x in labels}
+
+    def text(label):
+        return " ".join(draw.choices(common, k=8) + draw.choices(own[label], k=draw.randint(1, 5)))
+
+    train = [(i, text(x), x) for i, x in enumerate(labels * 20)]
+    texts = [(i, text(draw.choice(labels))) for i in range(150)]
+    monkeypatch.setattr(classify, "FEW_CLASSES", 10)
+    monkeypatch.setattr(classify, "CLASS_BLOCK", 4)
+    stored, settle = {}, classify.settle
+
+    def kept(df, name="settled"):
+        stored[name] = settle(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(classify, "settle", kept)
+    model = classify.train_classifier_nb(
+        spark.createDataFrame(train, "id int, text string, label string"), "text", "label"
+    )
+    feed = spark.createDataFrame(texts, "id int, text string")
+    assert dict(rows(classify.score_classifier_nb(feed, "id", "text", model))) == predict(train, texts)
+    blocks = stored["class-blocks"].select("block").distinct().count()
+    assert blocks == len(labels) // 4
+    scored = len(texts) + stored["blocks-left"].count()
+    print("blocks scored", scored, "of", blocks * len(texts))
+    assert scored < 0.5 * blocks * len(texts)
+
+
 def test_word_model_table(spark):
     train = [(1, "a b b", "x"), (2, "A-c", "y"), (3, None, "x"), (4, "z", None)]
     df = spark.createDataFrame(train, "id int, text string, label string")
