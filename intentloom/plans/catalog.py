@@ -530,6 +530,15 @@ def score_classifier_nb(spark, sf_dir):
     return classify.score_classifier_nb(s.table(spark, sf_dir, "pages"), "page_id", "html", model)
 
 
+@query
+def score_many_classes_nb(spark, sf_dir):
+    """Who in which conversation most likely says a benchmark item: a class per speaker."""
+    turns = s.table(spark, sf_dir, "conversations").dropna(subset=["conv_id", "role", "text"])
+    turns = turns.select("text", F.concat("conv_id", F.lit("/"), "role").alias("label"))
+    model = classify.train_classifier_nb(turns, "text", "label")
+    return classify.score_classifier_nb(s.table(spark, sf_dir, "benchmark"), "item_id", "text", model)
+
+
 @query
 def train_classifier_ml(spark, sf_dir):
     docs = s.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -233,22 +233,32 @@ FROM ({rows}))"""
     return rows
 
 
-WORD_MODEL = """tokens AS (
-  SELECT lang AS label, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS word
-  FROM documents),
+
+
+def _word_model(corpus: str) -> str:
+    """CTEs words and classes of a corpus SELECT of (label, text)."""
+    return f"""corpus_texts AS ({corpus}),
+tokens AS (
+  SELECT label, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS word
+  FROM corpus_texts),
 words AS (SELECT label, word, count(*) AS n FROM tokens WHERE word <> '' GROUP BY ALL),
 classes AS (
-  SELECT label, coalesce(tokens, 0) AS tokens, ln(docs / (SELECT count(*) FROM documents)) AS prior,
+  SELECT label, coalesce(tokens, 0) AS tokens, ln(docs / (SELECT count(*) FROM corpus_texts)) AS prior,
          ln(coalesce(tokens, 0) + (SELECT count(DISTINCT word) FROM words)) AS norm
-  FROM (SELECT lang AS label, count(*) AS docs FROM documents GROUP BY 1)
+  FROM (SELECT label, count(*) AS docs FROM corpus_texts GROUP BY 1)
   LEFT JOIN (SELECT label, sum(n) AS tokens FROM words GROUP BY 1) USING (label))"""
 
+
+WORD_MODEL = _word_model("SELECT lang AS label, text FROM documents")
+SPEAKERS = """SELECT concat(conv_id, '/', role) AS label, text FROM conversations
+  WHERE conv_id IS NOT NULL AND role IS NOT NULL AND text IS NOT NULL"""
+ITEM_FEED = "SELECT item_id AS id, text FROM benchmark"
 PAGE_FEED = "SELECT page_id AS id, html AS text FROM pages"
 
 
-def _word_scores(feed: str) -> str:
+def _word_scores(feed: str, model: str = WORD_MODEL) -> str:
     """CTE predicted (id, label) for a feed SELECT of (id, text)."""
-    return f"""{WORD_MODEL},
+    return f"""{model},
 feed AS ({feed}),
 known AS (
   SELECT id, word, count(*) AS tf
@@ -505,6 +515,8 @@ FROM words JOIN classes USING (label)""",
 SELECT label, word, n, round(ln(n + 1) - norm, 6) AS log_likelihood
 FROM words JOIN classes USING (label)""",
         "score_classifier_nb": f"""WITH {_word_scores(PAGE_FEED)}
+SELECT id, label FROM predicted""",
+        "score_many_classes_nb": f"""WITH {_word_scores(ITEM_FEED, _word_model(SPEAKERS))}
 SELECT id, label FROM predicted""",
         "save_load_model": f"""WITH {_word_scores(
             "SELECT conv_id || '/' || turn AS id, text FROM conversations")}
