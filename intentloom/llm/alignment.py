@@ -103,7 +103,7 @@ class TwoVocabularies:
             else:
                 split[part] = own
         distinct = list(set().union(*split.values()))
-        ids = {p: m.tobytes() for p, m in zip(distinct, self.merger.encode(distinct))}
+        ids = dict(zip(distinct, self.merger.encode(distinct)))
         for part, own in split.items():
             found[part] = ids[own[0]] if len(own) == 1 else b"".join([ids[p] for p in own])
         singly = self.a.encode_batch_fast([" " + p for p in others], add_special_tokens=False)

@@ -15,6 +15,9 @@ import numpy as np
 from intentloom.llm.tokens import byte_characters
 
 NO_RANK = (1 << 31) - 1
+#: Places of the table that says where a pair may stand among the merges, as a power of 2.
+SLOT_BITS = 20
+MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Widths of the matrices; the last is the longest string that is taken.
 WIDTHS = (2, 4, 6, 8, 10, 12, 16, 24, 32, 64)
 LONGEST = WIDTHS[-1]
@@ -32,17 +35,32 @@ class Merger:
         self.keys, self.ranks = np.unique(keys, return_index=True)  # a pair's first rank holds
         self.ranks = self.ranks.astype(np.int32)
         self.merged = np.array([vocabulary[a + b] for a, b in pairs], dtype=np.int32)
+        slots = self._slots(self.keys)
+        self.at = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
+        self.at[slots] = np.arange(len(slots))
+        #: keys, sorted, whose slot another one has
+        self.displaced = np.flatnonzero(self.at[slots] != np.arange(len(slots)))
+
+    @staticmethod
+    def _slots(keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * MIX >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs; the id -1, after a string's end, is in none."""
         keys = left.astype(np.int64) << 32 | right.astype(np.int64) & 0xFFFFFFFF
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.ranks[at], NO_RANK)
+        at = self.at[self._slots(keys)]
+        found = np.where(self.keys[at] == keys, self.ranks[at], NO_RANK)
+        if len(self.displaced):
+            unsure = np.nonzero((found == NO_RANK) & (at >= 0))
+            wanted, there = keys[unsure], self.keys[self.displaced]
+            place = self.displaced[np.minimum(np.searchsorted(there, wanted), len(there) - 1)]
+            found[unsure] = np.where(self.keys[place] == wanted, self.ranks[place], NO_RANK)
+        return found
 
-    def encode(self, strings: Sequence[bytes]) -> list[np.ndarray]:
-        """The ids of each string; all have 1 to LONGEST bytes."""
+    def encode(self, strings: Sequence[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of each string; all have 1 to LONGEST bytes."""
         sizes = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
-        found: list[np.ndarray] = [None] * len(strings)
+        found = [b""] * len(strings)
         low = 0
         for width in WIDTHS:
             places = np.flatnonzero((sizes > low) & (sizes <= width))
@@ -56,8 +74,9 @@ class Merger:
             ids[rows, size - 1] = self.last[data[rows, size - 1]]
             ids[np.arange(width) >= size[:, None]] = -1
             ids, counts = self._merge(ids)
-            flat = ids[ids >= 0]
-            ends = np.cumsum(counts)
+            flat = ids[ids >= 0].astype("<u4").tobytes()
+            ends = 4 * np.cumsum(counts)
+            counts = 4 * counts
             for k, a, b in zip(places.tolist(), (ends - counts).tolist(), ends.tolist()):
                 found[k] = flat[a:b]
         return found

@@ -45,12 +45,59 @@ COMMON = (
 )
 COMMON_TEXT = re.compile(f"[\\s{COMMON}]*")
 COMMON_WORD = re.compile(f"[{COMMON}]+")
+#: Texts that are split many at a time, if no small letter of theirs is WIDE.
+PLAIN_TEXT = re.compile(f"[\t-\r {COMMON}]*")
 #: Fixed value: the vocabulary's split, for common characters: words, single digits,
 #: contractions, signs.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 COMMON_SPLIT = re.compile(r"[^\W\d_]+|\d|'(?:[stmd]|re|ve|ll)|(?:[^\w\s]|_)+").findall
 #: Begins what goes to the library as a whole; no part of a split text has it.
-WHOLE = "\x1f"
+WHOLE = b"\x1f"
+#: Characters that are split at a time, if no single text is longer.
+LOT_CHARACTERS = 1 << 22
+#: What a byte or character is for COMMON_SPLIT.
+SPACE, LETTER, DIGIT, SIGN = range(4)
+#: First byte of a character of three or more bytes.
+WIDE = re.compile(b"[\xe0-\xff]")
+
+
+def _kinds() -> np.ndarray:
+    """The kind of every character of one or two bytes, as COMMON_SPLIT's patterns tell."""
+    patterns = ((LETTER, r"[^\W\d_]"), (DIGIT, r"\d"), (SIGN, r"[^\w\s]|_"))
+    kinds = np.full(0x800, SPACE, dtype=np.uint8)
+    for kind, pattern in patterns:
+        same = re.compile(pattern).fullmatch
+        kinds[[c for c in range(len(kinds)) if same(chr(c))]] = kind
+    return kinds
+
+
+def split_common(data: bytes, kinds: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """What COMMON_SPLIT finds in lower-cased text without WIDE characters; a space ends it.
+
+    Returns the runs of like characters that the text consists of, which of them are
+    parts, and where they start. Runs of spaces, and letters that a contraction before
+    them has used up, are no parts.
+    """
+    codes = np.frombuffer(data, dtype=np.uint8)
+    kind = kinds[codes]
+    first = np.flatnonzero(codes >= 0xC2)
+    kind[first] = kinds[(codes[first] & 0x1F).astype(np.int64) << 6 | codes[first + 1] & 0x3F]
+    kind[first + 1] = kind[first]
+    begins = np.flatnonzero((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)) + 1
+    starts = np.concatenate([[0], begins, [len(codes)]]).astype(np.int32)
+    runs = kind[starts[:-1]]
+    # a contraction is a single ' and the first one or two letters behind it
+    marks = np.flatnonzero((codes[starts[:-2]] == ord("'")) & (np.diff(starts[:-1]) == 1))
+    marks = marks[runs[marks + 1] == LETTER]
+    at = starts[marks + 1]
+    one, two = codes[at], codes[at + 1]  # the last byte is no letter
+    single = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    double = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e"))
+    double |= (one == ord("l")) & (two == ord("l"))
+    starts[marks + 1] += np.where(single, 1, np.where(double, 2, 0)).astype(np.int32)
+    parts = (runs != SPACE) & (np.diff(starts) > 0)
+    buffers = [None, pa.py_buffer(starts), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.binary(), len(runs), buffers), parts, starts[:-1]
 
 
 class WordIds:
@@ -58,7 +105,8 @@ class WordIds:
 
     No token reaches over a border of the vocabulary's own split, so the ids of a text
     are those of its parts in turn; a part is encoded once while it is remembered. Parts
-    of common characters are merged together; the library takes all others.
+    of common characters are merged together; the library takes all others. Texts of
+    common characters are split many at a time and only their distinct parts looked up.
     """
 
     def __init__(self, definition: str):
@@ -69,46 +117,101 @@ class WordIds:
             raise ValueError("another split of words is not handled")
         model = rules["model"]
         self.merger = Merger(model["vocab"], model["merges"], model["end_of_word_suffix"])
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.kinds = _kinds()
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _parts(self, text: str) -> list[str]:
+    def _parts(self, text: str) -> list[bytes]:
         if NOT_SPACE.search(text):
-            return [WHOLE + text]
+            return [WHOLE + text.encode()]
         if COMMON_TEXT.fullmatch(text) and "<|" not in text:
-            return COMMON_SPLIT(text.lower())
-        parts: list[str] = []
+            return [p.encode() for p in COMMON_SPLIT(text.lower())]
+        parts: list[bytes] = []
         for word in text.split():
             if COMMON_WORD.fullmatch(word) and "<|" not in word:
-                parts += COMMON_SPLIT(word.lower())
+                parts += (p.encode() for p in COMMON_SPLIT(word.lower()))
             else:
-                parts.append(WHOLE + word)
+                parts.append(WHOLE + word.encode())
         return parts
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+    def _ids(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each of the parts, which are distinct."""
         if len(self.new) > KEPT_WORDS:
             self.old, self.new = self.new, {}
-        parts = list(map(self._parts, texts))
-        unseen = set().union(*parts).difference(self.new)
-        again = unseen.intersection(self.old)
-        self.new.update((p, self.old[p]) for p in again)
+        found = list(map(self.new.get, parts))
         short, others = [], []
-        for part in unseen - again:
-            written = part.encode()
-            (others if part[0] == WHOLE or len(written) > LONGEST else short).append((part, written))
-        merged = self.merger.encode([written for _, written in short])
-        self.new.update((p, m.tobytes()) for (p, _), m in zip(short, merged))
-        singly = self._encoded([p.removeprefix(WHOLE) for p, _ in others])
-        known = {p: ids for (p, _), ids in zip(others, singly)}
-        long = {p: known.pop(p) for p in list(known) if len(p) > KEPT_LENGTH}
-        self.new.update(known)
-        look = (self.new | long if long else self.new).__getitem__
-        return [b"".join(map(look, own)) for own in parts]
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            part = parts[k]
+            ids = self.old.get(part)
+            if ids is not None:
+                found[k] = self.new[part] = ids
+            else:
+                (others if part.startswith(WHOLE) or len(part) > LONGEST else short).append(k)
+        merged = self.merger.encode([parts[k] for k in short])
+        singly = self._encoded([parts[k].removeprefix(WHOLE).decode() for k in others])
+        for k, ids in [*zip(short, merged), *zip(others, singly)]:
+            found[k] = ids
+            if len(parts[k]) <= KEPT_LENGTH:
+                self.new[parts[k]] = ids
+        return found
+
+    def _common_ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of lower-cased texts of common characters."""
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        runs, parts, starts = split_common(b"\n".join(texts) + b"\n", self.kinds)
+        numbered = runs.dictionary_encode()
+        number = numbered.indices.to_numpy(zero_copy_only=False)[parts]
+        count, begin = (np.zeros(len(numbered.dictionary), dtype=np.int64) for _ in range(2))
+        used = np.flatnonzero(np.bincount(number, minlength=len(count)))
+        _, offsets, data = numbered.dictionary.buffers()
+        data, limits = data.to_pybytes(), np.frombuffer(offsets, np.int32)
+        written = [data[a:b] for a, b in zip(limits[used].tolist(), limits[used + 1].tolist())]
+        ids = self._ids(written)
+        count[used] = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        begin[used] = np.cumsum(count[used]) - count[used]
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        counts = count[number]
+        behind = np.cumsum(counts)
+        places = np.repeat(begin[number] - behind + counts, counts) + np.arange(counts.sum())
+        all_ids = flat[places].tobytes()
+        behind = np.concatenate([[0], behind])
+        limits = behind[np.searchsorted(starts[parts], ends)].tolist()
+        return [all_ids[4 * a : 4 * b] for a, b in zip([0, *limits], limits)]
+
+    def _lots(self, texts: list[str]) -> Iterator[list[tuple[int, bytes | None]]]:
+        """Number and lower-cased bytes of the texts, in lots; without bytes if not common."""
+        lot, size = [], 0
+        for k, text in enumerate(texts):
+            common = PLAIN_TEXT.fullmatch(text) and "<|" not in text
+            data = text.lower().encode() if common else None
+            if data is not None and not data.isascii() and WIDE.search(data):
+                data = None
+            if lot and size + len(text) > LOT_CHARACTERS:
+                yield lot
+                lot, size = [], 0
+            lot.append((k, data))
+            size += len(text)
+        yield lot
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        found = [b""] * len(texts)
+        for lot in self._lots(texts):
+            common = [(k, data) for k, data in lot if data is not None]
+            if common:
+                for (k, _), ids in zip(common, self._common_ids([data for _, data in common])):
+                    found[k] = ids
+            others = [(k, self._parts(texts[k])) for k, data in lot if data is None]
+            if others:
+                distinct = list(set().union(*(own for _, own in others)))
+                look = dict(zip(distinct, self._ids(distinct))).__getitem__
+                for k, own in others:
+                    found[k] = b"".join(map(look, own))
+        return found
 
 
 def _pieces_udf(spark: SparkSession, path: str, capacity: int, end_id: int, with_ids: bool) -> Callable:

@@ -135,6 +135,19 @@ def test_documents_are_packed(spark):
     check_packing(found, [(d["doc_id"], d["text"]) for d in given])
 
 
+def test_common_texts_are_split_many_at_a_time(monkeypatch):
+    """No text of common letters is split by itself; the ids stay the library's."""
+    marks = ["'s", "'t", "'re", "'ll", "'l", "'", "''", " ", "\n", "\u00a0", "a", "B", "s", "\u00e9", "\u0416", "1", "23", "-", "_", "x" * 70]
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choices(marks, k=rnd.randrange(14))) for _ in range(3000)]
+    definition = open(WORDS, encoding="utf-8").read()
+    library = Tokenizer.from_str(definition)
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(packing, "COMMON_SPLIT", None)
+    found = packing.WordIds(definition).encode(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == expected
+
+
 def test_odd_documents_are_packed(spark):
     given = [(k % 50, t) for k, t in enumerate(texts(600, 4))]
     given += [(None, None), (1, ""), (1, ""), (2, "a " * 9000), (2, "a " * 9000), (3, "ab" * 9000)]
