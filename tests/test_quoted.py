@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from helpers import rows
@@ -76,6 +77,30 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
     assert sorted(r["text"] for r in found.collect()) == sorted(texts)
 
 
+def test_lines_of_a_row_are_joined_where_they_are():
+    """A split of long rows gives about a part for each row, whatever its lines."""
+    texts = [f'line {k}\nsays "{k}", and\n\nmore' for k in range(200)]
+    lines = written(texts).split("\n")[:-1]
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array(["a"] * len(own)), pa.array([0] * len(own), pa.int64()), pa.array(own)],
+            ["file", "block", "value"],
+        )
+        for own in (lines[:501], lines[501:])
+    ]
+    parts = [row for found in quoted._joined(iter(batches)) for row in found.to_pylist()]
+    assert len(lines) > 1800 and len(parts) < 210
+    assert [v for p in parts for v in p["value"].split("\n")] == lines
+    state, row = [False, True], [0, 0]
+    for part in parts:  # what one line after another gives
+        assert part["starts"] == state
+        for k, line in enumerate(part["value"].split("\n")):
+            row = [n + (not s) for n, s in zip(row, state)]
+            state = [quoted.ends_inside(line, s) for s in state]
+            assert k or [part["row_0"], part["row_1"]] == row
+        assert part["ends"] == state and [part["row_0"], part["row_1"]] == row
+
+
 def test_other_headers_are_an_error(spark, tmp_path):
     (tmp_path / "a.csv").write_text(written(["t"]))
     (tmp_path / "b.csv").write_text(written(["t"]).replace("intent", "topic", 1))
