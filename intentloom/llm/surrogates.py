@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from intentloom.llm.shared import slices, unused
+from intentloom.llm.shared import release, slices, unused
 from intentloom.operators.scale import SMALL_ROWS, is_small
 from intentloom.session import settle
 
@@ -313,6 +313,7 @@ _OUT = pa.struct(
 def _keys_udf() -> Callable:
     @F.arrow_udf(_ENTITY_DDL)
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for part in slices(batches):
             rows = []
             for text in part.to_pylist():
@@ -340,6 +341,7 @@ def _replace_udf(secret: str, exceptions: object) -> Callable:
     def replace(
         batches: Iterator[tuple[pa.Array, pa.Array]],
     ) -> Iterator[pa.Array]:
+        release()
         shared = exceptions.value
         pairs = (pa.StructArray.from_arrays([*pair], names=["text", "own"]) for pair in batches)
         for part in slices(pairs):

@@ -20,7 +20,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from intentloom.llm.shared import slices, unused
+from intentloom.llm.shared import release, slices, unused
 from intentloom.session import settle
 
 #: Labelled rows that a fit uses at most, in expectation; beyond it a hash picks them.
@@ -120,6 +120,7 @@ def features_udf(lexicon: Lexicon) -> Callable:
 
     @F.arrow_udf("array<double>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for part in slices(batches):
             rows = [text_features(text or "", lexicon) for text in part.to_pylist()]
             yield pa.array(rows, pa.list_(pa.float64()))

@@ -5,11 +5,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from helpers import DATA
-from intentloom.llm import graph, leaks, repeats, simhash
+from intentloom.llm import graph, leaks, repeats, shared, simhash, surrogates, toxicity
 
 DOCS = "doc_id bigint, text string, fingerprint string, kept string"
 SMALL = f"{DATA}/sf0.001"
@@ -292,3 +293,12 @@ def test_repeats_query_on_whole_texts(spark):
     expected = cut_by_definition([(r["text"] or "").encode() for r in docs])
     found = QUERIES["op7_suffix_dedup"](spark, SMALL).orderBy("doc_id").collect()
     assert [tuple(r)[1:] for r in found] == expected
+
+
+def test_work_without_models_gives_back_what_workers_keep(spark, monkeypatch):
+    """In the pipeline a worker that has encoded pieces scores texts next."""
+    lexicon = toxicity.Lexicon({"idiot": 2.5}, {})
+    for make in (lambda: toxicity.features_udf(lexicon), surrogates._keys_udf):
+        monkeypatch.setattr(shared, "_KEPT", {"pieces": "a large model"})
+        assert list(make().func(iter([pa.array(["an idiot", None])])))
+        assert not shared._KEPT
