@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 
 from intentloom.llm.tokens import byte_characters
 
@@ -59,27 +60,38 @@ class Merger:
 
     def encode(self, strings: Sequence[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each string; all have 1 to LONGEST bytes."""
-        sizes = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
-        found = [b""] * len(strings)
-        low = 0
+        return self.encode_array(pa.array(strings, pa.binary())).to_pylist()
+
+    def encode_array(self, strings: pa.BinaryArray) -> pa.LargeBinaryArray:
+        """The same for an Arrow array without nulls, whose bytes need no copies of their own."""
+        _, limits, data = strings.buffers()
+        limits = np.frombuffer(limits or b"", np.int32)[strings.offset :][: len(strings) + 1]
+        starts, sizes = limits[:-1], np.diff(limits)
+        padding = np.zeros(LONGEST, dtype=np.uint8)
+        data = np.concatenate([np.frombuffer(data or b"", np.uint8), padding])
+        counts = np.zeros(len(strings), dtype=np.int64)
+        found, low = [], 0
         for width in WIDTHS:
             places = np.flatnonzero((sizes > low) & (sizes <= width))
             low = width
             if not len(places):
                 continue
-            own = [strings[k].ljust(width, b"\0") for k in places.tolist()]
-            data = np.frombuffer(b"".join(own), dtype=np.uint8).reshape(-1, width)
-            ids, size = self.inner[data], sizes[places]
+            size, columns = sizes[places], np.arange(width, dtype=np.int32)
+            own = data[starts[places][:, None] + columns]
+            ids = self.inner[own]
             rows = np.arange(len(places))
-            ids[rows, size - 1] = self.last[data[rows, size - 1]]
-            ids[np.arange(width) >= size[:, None]] = -1
-            ids, counts = self._merge(ids)
-            flat = ids[ids >= 0].astype("<u4").tobytes()
-            ends = 4 * np.cumsum(counts)
-            counts = 4 * counts
-            for k, a, b in zip(places.tolist(), (ends - counts).tolist(), ends.tolist()):
-                found[k] = flat[a:b]
-        return found
+            ids[rows, size - 1] = self.last[own[rows, size - 1]]
+            ids[columns >= size[:, None]] = -1
+            ids, counts[places] = self._merge(ids)
+            found.append((places, ids[ids >= 0]))
+        ends = np.cumsum(counts)
+        flat = np.empty(counts.sum(), dtype="<u4")
+        for places, ids in found:
+            own = counts[places]
+            shift = ends[places] - np.cumsum(own)
+            flat[np.repeat(shift, own) + np.arange(len(ids))] = ids
+        limits = pa.py_buffer(4 * np.concatenate([[0], ends]))
+        return pa.Array.from_buffers(pa.large_binary(), len(strings), [None, limits, pa.py_buffer(flat)])
 
     def _merge(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The merged rows and their numbers of ids; ids fill a row from its start."""

@@ -31,8 +31,9 @@ from intentloom.session import settle
 CAPACITY = 4096
 #: Sets and lengths that bin completion looks at, if best fit is not proved the smallest.
 EFFORT = 400_000
-#: Words kept with their ids per worker, in two generations, and the longest kept word.
-KEPT_WORDS = 120_000
+#: Words kept with their ids per worker, of which the half used last stays when there
+#: are more, and the longest kept word.
+KEPT_WORDS = 240_000
 KEPT_LENGTH = 64
 #: Python splits at these, the vocabulary's white space does not hold them.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
@@ -118,12 +119,22 @@ class WordIds:
         model = rules["model"]
         self.merger = Merger(model["vocab"], model["merges"], model["end_of_word_suffix"])
         self.kinds = _kinds()
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
+        #: remembered parts, their ids and the latest look-up that used each
+        self.words, self.ids = pa.array([], pa.binary()), pa.array([], pa.large_binary())
+        self.used, self.looks = np.zeros(0, dtype=np.int64), 0
+
+    def _encoded(self, parts: pa.Array) -> pa.Array:
+        """The ids of parts that are not remembered."""
+        singly = pc.starts_with(parts, WHOLE).to_numpy(zero_copy_only=False)
+        singly |= pc.binary_length(parts).to_numpy() > LONGEST
+        if not singly.any():
+            return self.merger.encode_array(parts)
+        texts = [p.removeprefix(WHOLE).decode() for p in parts.filter(pa.array(singly)).to_pylist()]
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        others = pa.array([array("I", e.ids).tobytes() for e in found], pa.large_binary())
+        merged = self.merger.encode_array(parts.filter(pa.array(~singly)))
+        back = np.argsort(np.argsort(singly, kind="stable"))
+        return pa.concat_arrays([merged, others]).take(pa.array(back))
 
     def _parts(self, text: str) -> list[bytes]:
         if NOT_SPACE.search(text):
@@ -138,49 +149,49 @@ class WordIds:
                 parts.append(WHOLE + word.encode())
         return parts
 
-    def _ids(self, parts: list[bytes]) -> list[bytes]:
-        """The ids of each of the parts, which are distinct."""
-        if len(self.new) > KEPT_WORDS:
-            self.old, self.new = self.new, {}
-        found = list(map(self.new.get, parts))
-        short, others = [], []
-        for k in [k for k, ids in enumerate(found) if ids is None]:
-            part = parts[k]
-            ids = self.old.get(part)
-            if ids is not None:
-                found[k] = self.new[part] = ids
-            else:
-                (others if part.startswith(WHOLE) or len(part) > LONGEST else short).append(k)
-        merged = self.merger.encode([parts[k] for k in short])
-        singly = self._encoded([parts[k].removeprefix(WHOLE).decode() for k in others])
-        for k, ids in [*zip(short, merged), *zip(others, singly)]:
-            found[k] = ids
-            if len(parts[k]) <= KEPT_LENGTH:
-                self.new[parts[k]] = ids
-        return found
+    def _ids(self, parts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Ids of many parts, and where among them those of each given one are.
+
+        The given parts are distinct. The remembered ones are looked up among the given
+        ones, which are fewer, so that the smaller table is built.
+        """
+        self.looks += 1
+        at = pc.index_in(self.words, value_set=parts).fill_null(-1).to_numpy()
+        hit = np.flatnonzero(at >= 0)
+        self.used[hit] = self.looks
+        place = np.full(len(parts), -1, dtype=np.int64)
+        place[at[hit]] = hit
+        new = np.flatnonzero(place < 0)
+        if not len(new):
+            return self.ids, place
+        place[new] = len(self.words) + np.arange(len(new))
+        fresh = parts.take(pa.array(new))
+        words = pa.concat_arrays([self.words, fresh])
+        ids = pa.concat_arrays([self.ids, self._encoded(fresh)])
+        used = np.concatenate([self.used, np.full(len(new), self.looks)])
+        self._remember(words, ids, used)
+        return ids, place
+
+    def _remember(self, words: pa.Array, ids: pa.Array, used: np.ndarray) -> None:
+        stay = np.flatnonzero(pc.binary_length(words).to_numpy() <= KEPT_LENGTH)
+        if len(stay) > KEPT_WORDS:
+            stay = np.sort(stay[np.argsort(used[stay], kind="stable")[-(KEPT_WORDS // 2) :]])
+        if len(stay) < len(words):
+            words, ids, used = words.take(pa.array(stay)), ids.take(pa.array(stay)), used[stay]
+        self.words, self.ids, self.used = words, ids, used
 
     def _common_ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of lower-cased texts of common characters."""
         ends = np.cumsum([len(t) + 1 for t in texts])
         runs, parts, starts = split_common(b"\n".join(texts) + b"\n", self.kinds)
-        numbered = runs.dictionary_encode()
-        number = numbered.indices.to_numpy(zero_copy_only=False)[parts]
-        count, begin = (np.zeros(len(numbered.dictionary), dtype=np.int64) for _ in range(2))
-        used = np.flatnonzero(np.bincount(number, minlength=len(count)))
-        _, offsets, data = numbered.dictionary.buffers()
-        data, limits = data.to_pybytes(), np.frombuffer(offsets, np.int32)
-        written = [data[a:b] for a, b in zip(limits[used].tolist(), limits[used + 1].tolist())]
-        ids = self._ids(written)
-        count[used] = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        begin[used] = np.cumsum(count[used]) - count[used]
-        flat = np.frombuffer(b"".join(ids), dtype="<u4")
-        counts = count[number]
-        behind = np.cumsum(counts)
-        places = np.repeat(begin[number] - behind + counts, counts) + np.arange(counts.sum())
-        all_ids = flat[places].tobytes()
-        behind = np.concatenate([[0], behind])
+        numbered = runs.filter(pa.array(parts)).dictionary_encode()
+        ids, place = self._ids(numbered.dictionary)
+        number = numbered.indices.to_numpy(zero_copy_only=False)
+        _, behind, all_ids = ids.take(pa.array(place[number])).buffers()
+        behind = np.frombuffer(behind, np.int64)
         limits = behind[np.searchsorted(starts[parts], ends)].tolist()
-        return [all_ids[4 * a : 4 * b] for a, b in zip([0, *limits], limits)]
+        all_ids = memoryview(all_ids or b"")
+        return [bytes(all_ids[a:b]) for a, b in zip([0, *limits], limits)]
 
     def _lots(self, texts: list[str]) -> Iterator[list[tuple[int, bytes | None]]]:
         """Number and lower-cased bytes of the texts, in lots; without bytes if not common."""
@@ -208,7 +219,8 @@ class WordIds:
             others = [(k, self._parts(texts[k])) for k, data in lot if data is None]
             if others:
                 distinct = list(set().union(*(own for _, own in others)))
-                look = dict(zip(distinct, self._ids(distinct))).__getitem__
+                ids, place = self._ids(pa.array(distinct, pa.binary()))
+                look = dict(zip(distinct, ids.take(pa.array(place)).to_pylist())).__getitem__
                 for k, own in others:
                     found[k] = b"".join(map(look, own))
         return found

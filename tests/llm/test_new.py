@@ -16,7 +16,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from helpers import DATA
-from intentloom.llm import alignment, binpack, charpoly, packing, queries, whitening
+from intentloom.llm import alignment, binpack, charpoly, merging, packing, queries, whitening
 
 SMALL = f"{DATA}/sf0.001"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -148,6 +148,25 @@ def test_common_texts_are_split_many_at_a_time(monkeypatch):
     assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == expected
 
 
+def test_parts_are_looked_up_and_merged_together(monkeypatch):
+    """No part is an object of its own; forgetting parts leaves the ids the library's."""
+    rnd = random.Random(6)
+    words = ["".join(rnd.choices("aeinorst'\u00e9", k=rnd.randint(1, 80))) for _ in range(300)]
+    lots = [[" ".join(rnd.choices(words + PARTS, k=rnd.randrange(30))) for _ in range(40)] for _ in range(9)]
+    lots += [[""], [" ", "\n"], ["a"], words]
+    definition = open(WORDS, encoding="utf-8").read()
+    library = Tokenizer.from_str(definition)
+    expected = [[e.ids for e in library.encode_batch(lot, add_special_tokens=False)] for lot in lots]
+    monkeypatch.setattr(merging.Merger, "encode", None)
+    for kept in (packing.KEPT_WORDS, 20):
+        monkeypatch.setattr(packing, "KEPT_WORDS", kept)
+        coder = packing.WordIds(definition)
+        for lot, ids in zip(lots, expected):
+            assert [np.frombuffer(b, "<u4").tolist() for b in coder.encode(lot)] == ids
+            assert len(coder.words) <= kept
+            assert all(len(p) <= packing.KEPT_LENGTH for p in coder.words.to_pylist())
+
+
 def test_odd_documents_are_packed(spark):
     given = [(k % 50, t) for k, t in enumerate(texts(600, 4))]
     given += [(None, None), (1, ""), (1, ""), (2, "a " * 9000), (2, "a " * 9000), (3, "ab" * 9000)]
