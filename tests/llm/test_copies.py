@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -286,6 +287,52 @@ def test_windows_are_closed_by_lone_phrases_only():
     assert moved.phrases()[0].tolist()[-len(hashes) :] == hashes.tolist()
 
 
+def test_cutting_off_spans_makes_no_python_object_of_each():
+    draw = random.Random(10)
+    texts = ["".join(draw.choice("abé\0") for _ in range(n)) for n in (900, 400, 450, 0, 2000, 1200)]
+    texts[1] = "x" * 400  # nothing is left between its run and the next text's
+    spans = [
+        [(300, 5), (0, 2), (10, 1)], [(0, 1)], [(0, 3), (3, 48)], None, [], [(5, 20), (700, 1)],
+    ]
+    expected = []
+    for text, found in zip(texts, spans):
+        data = text.encode()
+        gone = bytearray(len(data))
+        for start, size in found or []:
+            gone[start : start + size + 399] = b"\1" * len(gone[start : start + size + 399])
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        runs = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
+        expected.append((kept, len(data), len(data) - len(kept), runs))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32())]))
+    rows = [s and [{"start": a, "size": n} for a, n in s] for s in spans]
+    for texts, rows, expected in ((texts, rows, expected), (texts[1:], rows[1:], expected[1:])):
+        found = repeats.cut(pa.array(texts), pa.array(rows, type=kind))
+        assert [tuple(r.values()) for r in found.to_pylist()] == expected
+    none = repeats.cut(pa.array([None, ""]), pa.array([None, []], type=kind)).to_pylist()
+    assert [tuple(r.values()) for r in none] == [(b"", 0, 0, 0)] * 2
+
+    text, many = pa.array(["x" * 40_000]), np.arange(200_000, dtype=np.int32) % 39_000
+    structs = pa.StructArray.from_arrays([many, np.ones_like(many)], ["start", "size"])
+    spans = pa.ListArray.from_arrays([0, len(many)], structs)
+    began = time.process_time()
+    spans.to_pylist()
+    as_objects = time.process_time() - began
+    began = time.process_time()
+    assert repeats.cut(text, spans)[0]["n_removed"].as_py() == 39_399
+    assert time.process_time() - began < as_objects
+
+
+def test_repeats_of_runs_of_one_byte(spark):
+    """A run of one byte has a border at each place or at none."""
+    docs = ["\0" * 1300, "a" + "\0" * 500 + "b", "é" * 300 + "\0" * 399, "\0" * 399, "z" * 450, "yz"]
+    found = repeats.remove_repeats(frame(spark, list(enumerate(docs)))).orderBy("doc_id").collect()
+    results = [
+        (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest())
+        for r in found
+    ]
+    assert results == cut_by_definition([t.encode() for t in docs])
+
+
 def test_repeats_query_on_whole_texts(spark):
     from intentloom.llm.queries import QUERIES
 
